@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def register(spark: SparkSession, **tables: DataFrame) -> None:
@@ -22,7 +23,7 @@ def scan_day(spark: SparkSession, table: str, day: str) -> DataFrame:
     Where the older archive kept a table per day (``table_yyyy_mm_dd``), one
     table pruned by day gives the same rows.
     """
-    return spark.table(table).where(f"operating_day = DATE'{day}'")
+    return spark.table(table).where(F.col("operating_day") == F.lit(day).cast("date"))
 
 
 def list_tables(spark: SparkSession) -> DataFrame:
