@@ -18,6 +18,10 @@ def as_day(value: str | dt.date) -> dt.date:
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
 
+def operating_day() -> Column:
+    return F.col("operating_day")
+
+
 def day_of(value: Column) -> Column:
     """Operating day of ISO text with any offset: the local date as written."""
     return F.substring(value, 1, 10).try_cast("date")

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctua.functions import days, incidents, match, numbers
+from punctua.functions.days import operating_day as day
 from punctua.operators.bundles import with_lines
 
-DAY = F.col("operating_day")
 
 
 def _counted(flag: str) -> list[Column]:
@@ -33,7 +33,7 @@ def operator_coverage(
         F.count(F.when(reported, operator)).alias("total_rt"),
     ]
     for back in recent:
-        that_day = days.on_day(DAY, as_of, back)
+        that_day = days.on_day(day(), as_of, back)
         counts.append(F.count(F.when(that_day, operator)).alias(f"day_{back}_total"))
         counts.append(F.count(F.when(that_day & reported, operator)).alias(f"day_{back}_rt"))
     table = journeys.groupBy("operator").agg(*counts)
@@ -44,10 +44,10 @@ def operator_coverage(
     return table.select(columns).orderBy(F.col("total").desc_nulls_last())
 
 
-def line_coverage_on(journeys: DataFrame, lines: DataFrame, day: str | days.Day) -> DataFrame:
+def line_coverage_on(journeys: DataFrame, lines: DataFrame, on: str | days.Day) -> DataFrame:
     """Percent with real time per line and bundle on one day."""
     return (
-        with_lines(journeys.where(days.on_day(DAY, day)), lines)
+        with_lines(journeys.where(days.on_day(day(), on)), lines)
         .groupBy("line_id_short", "operating_day", "bundle")
         .agg(*_counted("ever_reported"))
         .select(
@@ -70,13 +70,13 @@ def bundle_coverage_by_day(
 
     The window leaves its first day out.
     """
-    recent = journeys.where(days.in_last_days(DAY, as_of, window, strict=True))
+    recent = journeys.where(days.in_last_days(day(), as_of, window, strict=True))
     return (
         with_lines(recent, lines.where(match.any_of(F.col("tier"), tiers)))
         .groupBy("operating_day", "bundle")
         .agg(*_counted("ever_reported"))
         .select(
-            days.day_text(DAY).alias("day"),
+            days.day_text(day()).alias("day"),
             "bundle",
             numbers.percent(F.col("total_rt"), F.col("total"), 1).alias("percent_rt"),
         )
@@ -96,7 +96,7 @@ def incidents_by_day(
     keys = [*by, "operating_day", "tier_group"]
     rate = incidents.float_rate(F.col("total_rt"), F.col("total"))
     return (
-        bundle_journeys.where(days.in_last_days(DAY, as_of, window))
+        bundle_journeys.where(days.in_last_days(day(), as_of, window))
         .withColumn("tier_group", incidents.tier_group(F.col("tier")))
         .where(F.col("tier_group").isin("ebene_1_2", "ebene_3"))
         .groupBy(*keys)
@@ -114,7 +114,7 @@ def contract_incidents_by_day(
     group, rate = F.col("tier_group"), F.col("rate")
     total, missing = F.col("total"), F.col("missing")
     return (
-        bundle_journeys.where(days.in_last_days(DAY, as_of, window))
+        bundle_journeys.where(days.in_last_days(day(), as_of, window))
         .withColumn("tier_group", incidents.tier_short(F.col("tier")))
         .groupBy(*by, "operating_day", "tier_group")
         .agg(*_counted("ever_reported"))
@@ -139,10 +139,10 @@ def incomplete_journeys(
     reports count ``has_realtime`` but date by ``ever_reported``.
     """
     return (
-        bundle_journeys.where(days.in_last_days(DAY, as_of, window))
+        bundle_journeys.where(days.in_last_days(day(), as_of, window))
         .where(match.any_of(F.col("tier"), tiers))
         .groupBy(*by, "tier", "line_short", "journey_no")
-        .agg(*_counted("has_realtime"), F.max(F.when(F.col(dated_by), DAY)).alias("last_delivery"))
+        .agg(*_counted("has_realtime"), F.max(F.when(F.col(dated_by), day())).alias("last_delivery"))
         .withColumn("missing", F.col("total") - F.col("total_rt"))
         .where(F.col("missing") > 1)
         .select(
@@ -171,15 +171,15 @@ def missing_share(
 
     ``pattern`` must match the whole line id. Groups missing once only drop out.
     """
-    recent = journeys.where(days.in_last_days(DAY, as_of, window))
+    recent = journeys.where(days.in_last_days(day(), as_of, window))
     if pattern is not None:
         recent = recent.where(match.full_match(F.col("line_id"), pattern))
     keys = ["line_short", "journey_no"] if by_journey else ["line_short"]
     return (
         recent.groupBy(*keys)
         .agg(
-            F.min(DAY).alias("first_day"),
-            F.max(DAY).alias("last_day"),
+            F.min(day()).alias("first_day"),
+            F.max(day()).alias("last_day"),
             F.count("*").alias("total"),
             F.count_if(~F.col("has_realtime")).alias("missing"),
         )
@@ -198,9 +198,9 @@ def line_coverage_by_day(
 ) -> DataFrame:
     """Rate per day, tier and line over a span of days, with the last delivery."""
     return (
-        bundle_journeys.where(days.in_range(DAY, first, last))
+        bundle_journeys.where(days.in_range(day(), first, last))
         .groupBy(*by, "operating_day", "tier", "line_short", "line_id_short")
-        .agg(*_counted(flag), F.max(F.when(F.col(flag), DAY)).alias("last_delivery"))
+        .agg(*_counted(flag), F.max(F.when(F.col(flag), day())).alias("last_delivery"))
         .withColumn(
             "rate", numbers.round_scaled(numbers.ratio(F.col("total_rt"), F.col("total")), 2)
         )
@@ -210,9 +210,9 @@ def line_coverage_by_day(
 def latest_day_per_client(journeys: DataFrame, as_of: str | days.Day, window: int = 7) -> DataFrame:
     """Last day each client reported on each line."""
     return (
-        journeys.where(days.in_last_days(DAY, as_of, window))
+        journeys.where(days.in_last_days(day(), as_of, window))
         .groupBy("line_id_short", "client_id")
-        .agg(F.max(DAY).alias("last_day"))
+        .agg(F.max(day()).alias("last_day"))
         .orderBy(F.col("client_id").asc_nulls_last(), F.col("line_id_short").asc_nulls_last())
     )
 
@@ -224,7 +224,7 @@ def journey_count(journeys: DataFrame) -> DataFrame:
 def journey_span(journeys: DataFrame) -> DataFrame:
     """First day, last day and number of journeys held."""
     return journeys.agg(
-        F.min(DAY).alias("first_day"), F.max(DAY).alias("last_day"), F.count("*").alias("total")
+        F.min(day()).alias("first_day"), F.max(day()).alias("last_day"), F.count("*").alias("total")
     )
 
 

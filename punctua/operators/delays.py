@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctua.functions import days, text
+from punctua.functions.days import operating_day as day
 
-DAY = F.col("operating_day")
 # Whisker length in box heights, and the delay a boxplot leaves out from.
 WHISKER = 1.5
 OUTLIER_MINUTES = 30.0
@@ -29,7 +29,7 @@ def flat_zero_journeys(
     """
     zero = F.max(F.abs("dep_delay")) == 0 if strict_zero else F.avg("dep_delay") == 0
     chosen = stop_events.where(F.col("dep_delay").isNotNull() & F.col("has_rt"))
-    chosen = chosen.where(days.in_last_days(DAY, as_of, window, strict=True))
+    chosen = chosen.where(days.in_last_days(day(), as_of, window, strict=True))
     if line_like is not None:
         chosen = chosen.where(F.col("line_id").like(line_like))
     return (
@@ -37,7 +37,7 @@ def flat_zero_journeys(
         .agg(zero.alias("flat"))
         .where("flat")
         .groupBy("line_id", "journey_no")
-        .agg(F.min(DAY).alias("first_day"), F.max(DAY).alias("last_day"), F.count("*").alias("days"))
+        .agg(F.min(day()).alias("first_day"), F.max(day()).alias("last_day"), F.count("*").alias("days"))
         .where(F.col("days") > min_days)
         .orderBy(F.col("days").desc_nulls_last())
     )
@@ -99,7 +99,7 @@ def plausible_delays(
     below: float = OUTLIER_MINUTES,
 ) -> DataFrame:
     """Stop events of a span with a departure delay below the cut."""
-    chosen = stop_events.where(days.in_range(DAY, first, last))
+    chosen = stop_events.where(days.in_range(day(), first, last))
     chosen = chosen.where(F.col("dep_delay").isNotNull() & (F.col("dep_delay") < below))
     return chosen if line_short is None else chosen.where(F.col("line_short") == line_short)
 
@@ -119,8 +119,8 @@ def journey_days(stop_events: DataFrame) -> DataFrame:
     """On how many days a journey ran, and the first and last of them."""
     return stop_events.groupBy("line_short", "journey_no").agg(
         F.count_distinct("operating_day").alias("days"),
-        F.min(DAY).alias("first_day"),
-        F.max(DAY).alias("last_day"),
+        F.min(day()).alias("first_day"),
+        F.max(day()).alias("last_day"),
     )
 
 
@@ -133,7 +133,7 @@ def _value_counts(df: DataFrame, keys: tuple[str, ...], value: str) -> DataFrame
     """
     group = Window.partitionBy(*keys)
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    quartiles = F.percentile("v", [0.25, 0.5, 0.75], "n").over(group)
+    quartiles = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).over(group)
     low, high = F.col("q")[0], F.col("q")[2]
     return (
         counted.withColumn("q", quartiles)

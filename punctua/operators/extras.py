@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctua.functions import days, match
+from punctua.functions.days import operating_day as day
 
-DAY = F.col("operating_day")
 
 
 def without_realtime(
@@ -19,7 +19,7 @@ def without_realtime(
 ) -> DataFrame:
     """Distinct journeys that lacked real time by ``flag``."""
     return (
-        bundle_journeys.where(days.in_last_days(DAY, as_of, window) & ~F.col(flag))
+        bundle_journeys.where(days.in_last_days(day(), as_of, window) & ~F.col(flag))
         .select(*by, "operating_day", "tier", "line_short", "journey_no", "has_realtime")
         .distinct()
     )
@@ -29,7 +29,7 @@ def extra_journeys(
     extras: DataFrame, as_of: str | days.Day, window: int = 30, pattern: str | None = None
 ) -> DataFrame:
     """Distinct extra journeys, of lines whose whole id matches ``pattern`` if given."""
-    recent = extras.where(days.in_last_days(DAY, as_of, window))
+    recent = extras.where(days.in_last_days(day(), as_of, window))
     if pattern is not None:
         recent = recent.where(match.full_match(F.col("line_id"), pattern))
     return recent.select("operating_day", "line_short", "line_id", "journey_no", "operator").distinct()
@@ -48,7 +48,7 @@ def match_extras(missing: DataFrame, extras: DataFrame, null_safe: bool = False)
         F.col("line_id").alias("extra_line_id"),
         F.col("operator").alias("extra_operator"),
     )
-    left_keys, right_keys = (DAY, F.col("journey_no")), (F.col("extra_day"), F.col("extra_no"))
+    left_keys, right_keys = (day(), F.col("journey_no")), (F.col("extra_day"), F.col("extra_no"))
     if null_safe:
         on = [a.eqNullSafe(b) for a, b in zip(left_keys, right_keys)]
     else:
@@ -82,8 +82,8 @@ def missing_days_per_journey(
         left.join(right, ["operating_day", "journey_no"], "left")
         .groupBy(*keys)
         .agg(
-            F.min(DAY).alias("first_day"),
-            F.max(DAY).alias("last_day"),
+            F.min(day()).alias("first_day"),
+            F.max(day()).alias("last_day"),
             F.sum(F.col("rows") * F.coalesce("matches", F.lit(1))).alias("days_missing"),
         )
         .orderBy(F.col("days_missing").desc_nulls_last())

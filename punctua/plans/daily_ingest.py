@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctua.operators.delays import reports_with_station_names
-from punctua.schemas import DELAY_REPORTS
+from punctua.schemas import struct
 from punctua.sources import archive_xml, day_files
 
 FLATTEN = {
@@ -20,7 +20,7 @@ def delay_matrix(archive: DataFrame) -> DataFrame:
     """Delay reports with station names, from one archive."""
     reports = archive_xml.delay_reports_from_archive(archive)
     named = reports_with_station_names(reports, archive_xml.stations_from_archive(archive))
-    return named.select(*DELAY_REPORTS.fieldNames())
+    return named.select(*struct("delay_reports").fieldNames())
 
 
 def ingest_archive(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
-JOURNEYS = StructType.fromDDL("""
+JOURNEYS = """
     operating_day date, journey_no string, destination string,
     has_realtime boolean, ever_reported boolean, operator string,
     line_id string, line_id_short string, line_short string,
@@ -13,36 +13,32 @@ JOURNEYS = StructType.fromDDL("""
     device_id string, client_id string, rt_type string,
     start_time string, start_station string, start_station_id string,
     end_time string, end_station string, end_station_id string
-""")
+"""
 
 # Journeys run in addition to the timetable share the columns of journeys.
 EXTRAS = JOURNEYS
 
-STOP_EVENTS = StructType.fromDDL("""
+STOP_EVENTS = """
     operating_day date, operator string, device_id string, line_short string,
     line_id string, line_id_short string, journey_no string, idx int,
     has_rt boolean, sched_dep timestamp_ntz, sched_arr timestamp_ntz,
     dep_delay double, arr_delay double, station_no string, station_name string,
     lat double, lon double, cancelled boolean, additional boolean,
     ts_reported_cancelled string, reported_cancelled boolean
-""")
+"""
 
-DELAY_REPORTS = StructType.fromDDL("""
+DELAY_REPORTS = """
     operating_day date, operator string, line_short string, line_id string,
     journey_no string, sched_dep string, station_no int,
     delay_arrival double, delay_departure double, stop_cancelled boolean,
     reported_at string, station_name string
-""")
+"""
 
-STATIONS = StructType.fromDDL(
-    "station_no string, lat double, lon double, station_name string"
-)
+STATIONS = "station_no string, lat double, lon double, station_name string"
 
-LINES = StructType.fromDDL(
-    "line string, bundle string, tier string, line_id_short string, id string"
-)
+LINES = "line string, bundle string, tier string, line_id_short string, id string"
 
-PUBLICATION_TARGETS = StructType.fromDDL("slug string, project_url string, folder_id int")
+PUBLICATION_TARGETS = "slug string, project_url string, folder_id int"
 
 TABLES = {
     "journeys": JOURNEYS,
@@ -54,6 +50,12 @@ TABLES = {
     "publication_targets": PUBLICATION_TARGETS,
 }
 
+
+def struct(table: str) -> StructType:
+    """Schema of a table; parsing it needs a running session."""
+    return StructType.fromDDL(TABLES[table])
+
+
 # Column names in files and master tables written by older tools.
 _OLD_JOURNEYS = {
     "datum": "operating_day",

@@ -34,7 +34,10 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql("DESCRIBE IDENTIFIER(:name)", {"name": name})
 
 
-def materialise(df: DataFrame, table: str) -> DataFrame:
-    """Create or replace a stored table from a result and return its scan."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+def materialise(df: DataFrame, path: str) -> DataFrame:
+    """Write a result once and return the scan of what was written.
+
+    Cuts the plan without depending on any executor's memory or disk.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,7 +18,7 @@ from pyspark.sql.types import (
 )
 
 from punctua.functions.text import line_id_padded
-from punctua.schemas import OLD_NAMES, TABLES
+from punctua.schemas import OLD_NAMES, TABLES, struct
 
 SOURCE_FILE = "source_file"
 
@@ -74,7 +74,7 @@ def read_day_files(
         part = spark.read.option("mergeSchema", "true").parquet(glob)
         if source_file:
             part = part.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-        part = align(part, TABLES[table], OLD_NAMES.get(table))
+        part = align(part, struct(table), OLD_NAMES.get(table))
         frames.append(with_short_line_id(part))
     return union_by_name(frames)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctua.schemas import LINES, OLD_NAMES, PUBLICATION_TARGETS
+from punctua.schemas import OLD_NAMES, struct
 
 
 def active_lines(raw: DataFrame, rt_operator: bool = False) -> DataFrame:
@@ -48,7 +48,7 @@ def read_lines_csv(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("sep", ";").option("header", "true").csv(path)
     old = OLD_NAMES["lines"]
     raw = raw.withColumnsRenamed({name: old[name] for name in raw.columns if name in old})
-    return raw.select([F.col(f.name).cast(f.dataType) for f in LINES.fields])
+    return raw.select([F.col(f.name).cast(f.dataType) for f in struct("lines").fields])
 
 
 def write_lines_csv(lines: DataFrame, path: str) -> None:
@@ -60,4 +60,4 @@ def read_publication_targets(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("sep", ";").option("quote", "'").option("header", "true").csv(path)
     old = OLD_NAMES["publication_targets"]
     raw = raw.withColumnsRenamed({name: old[name] for name in raw.columns if name in old})
-    return raw.select([F.col(f.name).cast(f.dataType) for f in PUBLICATION_TARGETS.fields])
+    return raw.select([F.col(f.name).cast(f.dataType) for f in struct("publication_targets").fields])

@@ -7,35 +7,33 @@ sink commits each batch as a whole, so a restarted run repeats nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from punctua.plans.daily_ingest import FLATTEN
-from punctua.sources.archive_xml import ARCHIVE_SCHEMA, CORRUPT, ROW_TAG
-
-
-def stream_archive(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """Streaming nested rows of the archive files in a folder."""
-    return (
-        spark.readStream.format("xml")
-        .option("rowTag", ROW_TAG)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .schema(ARCHIVE_SCHEMA)
-        .load(folder)
-    )
+from punctua.sources.archive_xml import stream_archive
 
 
 def ingest_new_files(
-    spark: SparkSession, folder: str, target: str, checkpoint: str, table: str = "journeys"
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    checkpoint: str,
+    table: str = "journeys",
+    pieces_per_day: int = 8,
 ) -> StreamingQuery:
     """Append what has landed since the last run, then stop.
 
-    ``checkpoint`` must be a lasting folder of this job alone.
+    ``checkpoint`` must be a lasting folder of this job alone. A day's rows
+    are written by up to ``pieces_per_day`` tasks: few files where many days
+    arrive at once, and no single task where one day is large.
     """
     rows = FLATTEN[table](stream_archive(spark, folder))
+    piece = F.pmod(F.xxhash64("line_id", "journey_no"), F.lit(pieces_per_day))
     return (
-        rows.writeStream.format("parquet")
+        rows.repartition(F.col("operating_day"), piece)
+        .writeStream.format("parquet")
         .partitionBy("operating_day")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
