@@ -25,15 +25,19 @@ JOURNEY_ROWS = """
 
 @query("S1 C2 C3 C4 C6 C7 T10", JOURNEY_ROWS)
 def archive_journeys(spark, sf):
-    folder = shared_folder(spark, "archive")
-    archive_text.write_documents(archive_text.journey_documents(spark, sf), folder)
+    folder = archive_text.archive_folder(spark, sf, "journeys")
     return archive_xml.journeys_from_archive(archive_xml.read_archive(spark, folder))
 
 
-@query("S18 S1", JOURNEY_ROWS)
+def by_month(spark, sf):
+    """Journeys dated on the first of their month, as day tables hold many rows a day."""
+    return st.journeys(spark, sf).withColumn("operating_day", F.trunc("operating_day", "month"))
+
+
+@query("S18 S1", JOURNEY_ROWS.replace("operating_day::text", "date_trunc('month', operating_day)::date::text"))
 def streamed_archive_journeys(spark, sf):
     landed, target = shared_folder(spark, "landed"), shared_folder(spark, "streamed")
-    archive_text.write_documents(archive_text.journey_documents(spark, sf), landed)
+    archive_text.journey_documents(spark, sf, by_month(spark, sf)).write.text(landed)
     run = ingest.ingest_new_files(spark, landed, target, shared_folder(spark, "progress"), pieces_per_day=1)
     run.awaitTermination()
     return day_files.read_days(spark, "journeys", target)
@@ -50,8 +54,8 @@ def streamed_archive_journeys(spark, sf):
     NULL, NULL, NULL, NULL, station_no || '9', '-', lat, lon, false, false, ts_reported_cancelled, reported_cancelled
   FROM stop_reports""".replace("line_id_short || ':1'", "line_id_short"))
 def archive_stop_events(spark, sf):
-    documents = archive_text.stop_documents(spark, sf)
-    return archive_xml.stop_events_from_archive(archive_xml.parse_archive(documents, "document"))
+    archive = archive_xml.read_archive(spark, archive_text.archive_folder(spark, sf, "stops"))
+    return archive_xml.stop_events_from_archive(archive)
 
 
 REPORT_ROWS = """
@@ -72,16 +76,16 @@ REPORT_ROWS = """
 
 @query("S3 C8 C10 P18 T17", REPORT_ROWS + "SELECT * FROM reported")
 def archive_delay_reports(spark, sf):
-    documents = archive_text.stop_documents(spark, sf)
-    return archive_xml.delay_reports_from_archive(archive_xml.parse_archive(documents, "document"))
+    archive = archive_xml.read_archive(spark, archive_text.archive_folder(spark, sf, "stops"))
+    return archive_xml.delay_reports_from_archive(archive)
 
 
 @query("S4 A15", """
   SELECT DISTINCT station_no, lat, lon, station_name FROM stop_reports
   UNION SELECT station_no || '9', lat, lon, NULL FROM stop_reports""")
 def archive_stations(spark, sf):
-    documents = archive_text.stop_documents(spark, sf)
-    return archive_xml.stations_from_archive(archive_xml.parse_archive(documents, "document"))
+    archive = archive_xml.read_archive(spark, archive_text.archive_folder(spark, sf, "stops"))
+    return archive_xml.stations_from_archive(archive)
 
 
 OLD_ROWS = """
@@ -123,12 +127,13 @@ def day_files_with_names(spark, sf):
 
 
 @query("S12 S5", """
-  SELECT operating_day::text AS operating_day, journey_no, line_id, has_realtime AND operating_day < DATE '2000-01-01' AS has_realtime
+  SELECT date_trunc('month', operating_day)::date::text AS operating_day, journey_no, line_id,
+    has_realtime AND operating_day < DATE '2000-01-01' AS has_realtime
   FROM journeys""")
 def rewritten_days(spark, sf):
     """Writes all days, then writes the days from 2000 on again with changed rows."""
     target = shared_folder(spark, "days")
-    rows = st.journeys(spark, sf)
+    rows = by_month(spark, sf)
     day_files.write_days(rows, target)
     later = rows.where(F.col("operating_day") >= F.lit("2000-01-01").cast("date"))
     day_files.write_days(later.withColumn("has_realtime", F.lit(False)), target)
@@ -177,7 +182,11 @@ def materialised_result(spark, sf):
     return catalog.materialise(rows, shared_folder(spark, "result"))
 
 
-@query("S3 S4 J5 P18 C10", None)
+@query("S3 S4 J5 P18 C10", REPORT_ROWS + """
+  , listed AS (
+    SELECT DISTINCT station_no, lat, lon, station_name FROM stop_reports
+    UNION SELECT station_no || '9', lat, lon, NULL FROM stop_reports)
+  SELECT r.*, l.station_name FROM reported r LEFT JOIN listed l ON r.station_no = l.station_no::int""")
 def delay_matrix_from_archive(spark, sf):
-    documents = archive_text.stop_documents(spark, sf)
-    return delay_matrix(archive_xml.parse_archive(documents, "document"))
+    archive = archive_xml.read_archive(spark, archive_text.archive_folder(spark, sf, "stops"))
+    return delay_matrix(archive)
