@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from punctua.functions import days, text
 from punctua.functions.days import operating_day as day
+from punctua.operators.listing import sort
 
 # Whisker length in box heights, and the delay a boxplot leaves out from.
 WHISKER = 1.5
@@ -44,13 +45,17 @@ def flat_zero_journeys(
 
 
 def reports_with_stops(
-    reports: DataFrame, stop_events: DataFrame, line_short: str | None = None
+    reports: DataFrame,
+    stop_events: DataFrame,
+    line_short: str | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """Delay reports of stops that were not cancelled, beside the final stop events.
 
     Matched on day, line name, journey number and station name. Reports that
     lack one of them cannot match; they are spread over extra key values so
     that they do not meet in one task. Other heavy keys are left to AQE.
+    ``ordered`` sorts the rows by day, line, journey, stop and report time.
     """
     chosen = reports.where(~F.col("stop_cancelled"))
     if line_short is not None:
@@ -62,33 +67,29 @@ def reports_with_stops(
     right = stop_events.select(
         *keys, "idx", "arr_delay", "dep_delay", F.lit(0).cast("bigint").alias("piece")
     )
+    matched = left.join(right, [*keys, "piece"], "left").select(
+        "operating_day", "line_short", "line_id", "journey_no", "idx", "station_name",
+        "sched_dep", "delay_arrival", "delay_departure", "reported_at",
+        "arr_delay", "dep_delay",
+    )
     order = ("operating_day", "line_id", "journey_no", "idx", "reported_at")
-    return (
-        left.join(right, [*keys, "piece"], "left")
-        .select(
-            "operating_day", "line_short", "line_id", "journey_no", "idx", "station_name",
-            "sched_dep", "delay_arrival", "delay_departure", "reported_at",
-            "arr_delay", "dep_delay",
-        )
-        .orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    )
+    return sort(matched, *order) if ordered else matched
 
 
-def reports_with_station_names(reports: DataFrame, stations: DataFrame) -> DataFrame:
+def reports_with_station_names(
+    reports: DataFrame, stations: DataFrame, ordered: bool = False
+) -> DataFrame:
     """Delay reports with the name of their station.
 
     A station listed with several names or places repeats its reports.
+    ``ordered`` sorts the rows by line, journey and report time.
     """
     names = stations.select(
         F.col("station_no").try_cast("int").alias("station_no"), "station_name"
     )
-    order = ("line_id", "journey_no", "reported_at")
-    return (
-        reports.drop("station_name")
-        .where(F.col("sched_dep") != "")
-        .join(names, "station_no", "left")
-        .orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    )
+    planned = reports.drop("station_name").where(F.col("sched_dep") != "")
+    named = planned.join(names, "station_no", "left")
+    return sort(named, "line_id", "journey_no", "reported_at") if ordered else named
 
 
 def plausible_delays(

@@ -17,14 +17,13 @@ CARRIED = (
 
 
 def one_row_per_stop(stop_events: DataFrame, tie: tuple[str, ...]) -> DataFrame:
-    """One row per journey and index: the lowest by the ``tie`` columns, then by all others.
+    """One row per journey and index: the first in the order of the ``tie`` columns.
 
-    A grouped minimum, so repeated rows shrink before the shuffle.
+    Spark limits each scan task to one row per key before the shuffle, so a
+    key with very many copies does not travel; unused columns are pruned.
     """
-    keys = (*JOURNEY, "idx")
-    others = [c for c in stop_events.columns if c not in (*keys, *tie)]
-    lowest = stop_events.groupBy(*keys).agg(F.min(F.struct(*tie, *others)).alias("row"))
-    return lowest.select(*keys, "row.*").select(*stop_events.columns)
+    copies = Window.partitionBy(*JOURNEY, "idx").orderBy(*tie)
+    return stop_events.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy")
 
 
 def next_stops(
