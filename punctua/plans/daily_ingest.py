@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +33,20 @@ def ingest_archive(
 ) -> dict[str, str]:
     """Write the tables of archive files below ``target`` and return their paths.
 
-    Running a day again replaces that day. ``day`` keeps other days out.
+    Running a day again replaces that day. ``day`` keeps other days out. The
+    parsed elements are kept on the executors' disks while the tables are
+    written, as parsing costs far more than reading them back; what a lost
+    executor held is parsed again.
     """
-    archive = archive_xml.read_archive(spark, paths)
+    archive = archive_xml.read_archive(spark, paths).persist(StorageLevel.DISK_ONLY)
     written = {}
-    for table in tables:
-        rows = delay_matrix(archive) if table == "delay_reports" else FLATTEN[table](archive)
-        if day is not None:
-            rows = rows.where(F.col("operating_day") == F.lit(day).cast("date"))
-        written[table] = f"{target.rstrip('/')}/{table}"
-        day_files.write_days(rows, written[table])
+    try:
+        for table in tables:
+            rows = delay_matrix(archive) if table == "delay_reports" else FLATTEN[table](archive)
+            if day is not None:
+                rows = rows.where(F.col("operating_day") == F.lit(day).cast("date"))
+            written[table] = f"{target.rstrip('/')}/{table}"
+            day_files.write_days(rows, written[table])
+    finally:
+        archive.unpersist()
     return written
