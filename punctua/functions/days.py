@@ -40,11 +40,16 @@ def instant_to_local(instant: Column, zone: str = "Europe/Berlin") -> Column:
 
 
 def local_text(instant: Column, zone: str = "Europe/Berlin") -> Column:
-    return F.date_format(instant_to_local(instant, zone), "yyyy-MM-dd HH:mm:ss")
+    """The same as 'yyyy-MM-dd HH:mm:ss'; formatting would go through the session's zone."""
+    return instant_to_local(instant, zone).cast("string")
 
 
 def day_text(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    return day.cast("date").cast("string")
+
+
+def second_of_day(stamp: Column) -> Column:
+    return F.hour(stamp) * 3600 + F.minute(stamp) * 60 + F.second(stamp)
 
 
 def in_last_days(day: Column, as_of: str | Day, days: int, strict: bool = False) -> Column:

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from punctua.functions.days import second_of_day
+
 # WGS 84 ellipsoid and UTM zone 32 north.
 SEMI_MAJOR, FLATTENING = 6378137.0, 1 / 298.257223563
 SCALE, FALSE_EASTING, CENTRAL_MERIDIAN = 0.9996, 500000.0, 9.0
@@ -51,8 +53,8 @@ def straight_line_m(east: Column, north: Column, east_to: Column, north_to: Colu
 
 
 def scheduled_seconds(departure: Column, arrival: Column) -> Column:
-    """Seconds from departure to arrival, taken within one day."""
-    return F.pmod(F.timestamp_diff("SECOND", departure, arrival), F.lit(86400)).cast("int")
+    """Seconds from departure to arrival, taken within one day, by the local clock."""
+    return F.pmod(second_of_day(arrival) - second_of_day(departure), F.lit(86400)).cast("int")
 
 
 def plausible_speed(metres: Column, seconds: Column) -> Column:

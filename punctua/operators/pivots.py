@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctua.functions.days import day_text
+
 
 def line_by_day(rates: DataFrame, day_columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
     """Rates per tier and line (rows) and day (columns).
@@ -18,7 +20,7 @@ def line_by_day(rates: DataFrame, day_columns: list[str], by: tuple[str, ...] =
     """
     keys = [*by, "tier", "line_short"]
     return (
-        rates.withColumn("day", F.date_format("operating_day", "yyyy-MM-dd"))
+        rates.withColumn("day", day_text(F.col("operating_day")))
         .groupBy(*keys)
         .pivot("day", day_columns)
         .agg(F.sum("rate"))
@@ -32,7 +34,7 @@ def weighted_line_by_day(
     """As ``line_by_day``, with covered journeys divided by all journeys."""
     keys = [*by, "tier", "line_short"]
     return (
-        rates.withColumn("day", F.date_format("operating_day", "yyyy-MM-dd"))
+        rates.withColumn("day", day_text(F.col("operating_day")))
         .groupBy(*keys)
         .pivot("day", day_columns)
         .agg(F.try_divide(F.sum("total_rt").cast("double"), F.sum("total").cast("double")))

@@ -40,7 +40,7 @@ def test_clock_text(rows):
 
 
 def test_labels(rows):
-    names = ["Oldenburg Am Spreeken", "Hauptbahnhof", "Ort ", " Markt", "", "A B C D E F G"]
+    names = ["Neustadt Am Kanalufer", "Hauptbahnhof", "Ort ", " Markt", "", "A B C D E F G"]
     df = rows("i int, n string", [(i, n) for i, n in zip((1, 12, 123, 5, 6, 7), names)])
 
     def expected(name):
@@ -49,7 +49,7 @@ def test_labels(rows):
 
     assert values(df, text.stop_label(F.col("n"))) == [expected(n) for n in names]
     labels = values(df, text.indexed_stop_label(F.col("i"), F.col("n")))
-    assert labels[:3] == ["01 Am Spree", "12 Hauptbah", "123 Ort"]
+    assert labels[:3] == ["01 Am Kanal", "12 Hauptbah", "123 Ort"]
 
 
 def test_slug(rows):

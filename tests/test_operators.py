@@ -158,7 +158,7 @@ def stop_rows(rows, data):
     """(day, journey_no, idx, dep_delay) as stop events of one line."""
     return rows(
         "operating_day date, line_id string, line_short string, journey_no string, idx int, dep_delay double, has_rt boolean",
-        [(day, "de:VBN".replace("VBN", "NET") + ":610:1", "610", no, idx, delay, True) for day, no, idx, delay in data],
+        [(day, "de:NET:610:1", "610", no, idx, delay, True) for day, no, idx, delay in data],
     )
 
 

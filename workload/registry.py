@@ -27,14 +27,13 @@ QUERIES: dict[str, Query] = {}
 
 def plain(df: DataFrame) -> DataFrame:
     """Days and local times as text, so that every engine shows them alike."""
-    columns = []
-    for field in df.schema.fields:
-        value = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, DateType):
-            value = F.date_format(value, "yyyy-MM-dd").alias(field.name)
-        elif isinstance(field.dataType, TimestampNTZType):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss").alias(field.name)
-        columns.append(value)
+    kinds = (DateType, TimestampNTZType)
+    columns = [
+        F.col(f"`{f.name}`").cast("string").alias(f.name)
+        if isinstance(f.dataType, kinds)
+        else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ]
     return df.select(columns)
 
 

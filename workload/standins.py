@@ -154,7 +154,7 @@ def delay_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("de:NET:", trip % 25, ":1").alias("line_id"),
         _text("T", trip).alias("journey_no"),
         F.when(F.col("l_tax") == 0.01, "")
-        .otherwise(_text(F.date_format(day, "yyyyMMdd"), F.lpad((amount % 24).cast("string"), 2, "0"), "3000"))
+        .otherwise(_text(F.replace(day.cast("string"), F.lit("-"), F.lit("")), F.lpad((amount % 24).cast("string"), 2, "0"), "3000"))
         .alias("sched_dep"),
         place.cast("int").alias("station_no"),
         F.when(F.col("l_tax") == 0.08, None).otherwise(amount % 5 - 1).cast("double").alias("delay_arrival"),
