@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from punctua.functions import days, incidents, match, numbers
 from punctua.functions.days import operating_day as day
 from punctua.operators.bundles import with_lines
+from punctua.operators.listing import order, sort
 
 
 
@@ -41,7 +42,7 @@ def operator_coverage(
     for back in recent:
         whole, part = F.col(f"day_{back}_total"), F.col(f"day_{back}_rt")
         columns += [whole, part, numbers.percent(part, whole, 2).alias(f"day_{back}_percent")]
-    return table.select(columns).orderBy(F.col("total").desc_nulls_last())
+    return table.select(columns).orderBy(*order("-total"))
 
 
 def line_coverage_on(journeys: DataFrame, lines: DataFrame, on: str | days.Day) -> DataFrame:
@@ -88,23 +89,28 @@ def incidents_by_day(
     as_of: str | days.Day,
     window: int = 35,
     by: tuple[str, ...] = (),
+    ordered: bool = True,
 ) -> DataFrame:
     """Daily coverage and incidents of the tier groups that have a report.
 
-    ``by`` adds leading keys, such as the report bundle.
+    ``by`` adds leading keys, such as the report bundle. ``ordered`` sorts
+    the days; leave it off where another step follows.
     """
     keys = [*by, "operating_day", "tier_group"]
     rate = incidents.float_rate(F.col("total_rt"), F.col("total"))
-    return (
+    sheet = (
         bundle_journeys.where(days.in_last_days(day(), as_of, window))
         .withColumn("tier_group", incidents.tier_group(F.col("tier")))
         .where(F.col("tier_group").isin("ebene_1_2", "ebene_3"))
         .groupBy(*keys)
-        .agg(*[c.cast("int").alias(n) for c, n in zip(_counted("ever_reported"), ("total", "total_rt"))])
+        .agg(
+            F.count("*").cast("int").alias("total"),
+            F.count_if("ever_reported").cast("int").alias("total_rt"),
+        )
         .withColumn("rate", rate)
         .withColumn("incidents", incidents.report_incidents(F.col("tier_group"), F.col("rate")))
-        .orderBy(*[F.col(k).asc_nulls_last() for k in keys])
     )
+    return sort(sheet, *keys) if ordered else sheet
 
 
 def contract_incidents_by_day(
@@ -156,7 +162,7 @@ def incomplete_journeys(
             numbers.round_scaled(numbers.ratio(F.col("total_rt"), F.col("total")), 2).alias("rate"),
             "last_delivery",
         )
-        .orderBy(F.col("missing").desc_nulls_last())
+        .orderBy(*order("-missing"))
     )
 
 
@@ -185,7 +191,7 @@ def missing_share(
         )
         .where(F.col("missing") > 1)
         .withColumn("missing_share", numbers.ratio(F.col("missing"), F.col("total")))
-        .orderBy(F.col("missing_share").desc_nulls_last())
+        .orderBy(*order("-missing_share"))
     )
 
 
@@ -213,7 +219,7 @@ def latest_day_per_client(journeys: DataFrame, as_of: str | days.Day, window: in
         journeys.where(days.in_last_days(day(), as_of, window))
         .groupBy("line_id_short", "client_id")
         .agg(F.max(day()).alias("last_day"))
-        .orderBy(F.col("client_id").asc_nulls_last(), F.col("line_id_short").asc_nulls_last())
+        .orderBy(*order("client_id", "line_id_short"))
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from punctua.functions import days, text
 from punctua.functions.days import operating_day as day
-from punctua.operators.listing import sort
+from punctua.operators.listing import order, sort
 
 # Whisker length in box heights, and the delay a boxplot leaves out from.
 WHISKER = 1.5
@@ -40,7 +40,7 @@ def flat_zero_journeys(
         .groupBy("line_id", "journey_no")
         .agg(F.min(day()).alias("first_day"), F.max(day()).alias("last_day"), F.count("*").alias("days"))
         .where(F.col("days") > min_days)
-        .orderBy(F.col("days").desc_nulls_last())
+        .orderBy(*order("-days"))
     )
 
 
@@ -72,8 +72,8 @@ def reports_with_stops(
         "sched_dep", "delay_arrival", "delay_departure", "reported_at",
         "arr_delay", "dep_delay",
     )
-    order = ("operating_day", "line_id", "journey_no", "idx", "reported_at")
-    return sort(matched, *order) if ordered else matched
+    keys = ("operating_day", "line_id", "journey_no", "idx", "reported_at")
+    return sort(matched, *keys) if ordered else matched
 
 
 def reports_with_station_names(

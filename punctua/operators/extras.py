@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from punctua.functions import days, match
 from punctua.functions.days import operating_day as day
+from punctua.operators.listing import order
 
 
 
@@ -86,5 +87,5 @@ def missing_days_per_journey(
             F.max(day()).alias("last_day"),
             F.sum(F.col("rows") * F.coalesce("matches", F.lit(1))).alias("days_missing"),
         )
-        .orderBy(F.col("days_missing").desc_nulls_last())
+        .orderBy(*order("-days_missing"))
     )

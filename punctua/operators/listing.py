@@ -9,14 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _order(key: str) -> Column:
-    name = key.removeprefix("-")
-    return F.col(name).desc_nulls_last() if key.startswith("-") else F.col(name).asc_nulls_last()
+def order(*keys: str) -> list[Column]:
+    """Sort columns; a leading '-' sorts that key downwards."""
+    return [
+        F.col(k[1:]).desc_nulls_last() if k.startswith("-") else F.col(k).asc_nulls_last()
+        for k in keys
+    ]
 
 
 def sort(df: DataFrame, *keys: str) -> DataFrame:
-    """Sort by several keys; a leading '-' sorts that key downwards."""
-    return df.orderBy(*[_order(k) for k in keys])
+    return df.orderBy(*order(*keys))
 
 
 def first_rows(df: DataFrame, n: int, *keys: str, skip: int = 0) -> DataFrame:

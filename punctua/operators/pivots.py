@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctua.functions.days import day_text
+from punctua.operators.listing import order
 
 
 def line_by_day(rates: DataFrame, day_columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
@@ -24,7 +25,7 @@ def line_by_day(rates: DataFrame, day_columns: list[str], by: tuple[str, ...] =
         .groupBy(*keys)
         .pivot("day", day_columns)
         .agg(F.sum("rate"))
-        .orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+        .orderBy(*order(*keys))
     )
 
 
@@ -38,7 +39,7 @@ def weighted_line_by_day(
         .groupBy(*keys)
         .pivot("day", day_columns)
         .agg(F.try_divide(F.sum("total_rt").cast("double"), F.sum("total").cast("double")))
-        .orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+        .orderBy(*order(*keys))
     )
 
 
@@ -52,7 +53,7 @@ def day_by_bundle(rates: DataFrame, bundles: list[str]) -> DataFrame:
         F.raise_error(F.lit("more than one value for a day and bundle")).cast("double"),
     ).otherwise(F.max("percent_rt"))
     return (
-        rates.groupBy("day").pivot("bundle", bundles).agg(one).orderBy(F.col("day").desc_nulls_last())
+        rates.groupBy("day").pivot("bundle", bundles).agg(one).orderBy(*order("-day"))
     )
 
 

@@ -7,12 +7,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctua.functions import days, match
-from punctua.operators import bundles, coverage, extras, pivots
+from punctua.operators import bundles, coverage, extras, listing, pivots
 
 # City bundles, whose reports have no stop-event sheet.
 CITY_BUNDLES = ("HB Bus", "HB Tram", "BHV", "DEL", "OL Stadt")
 REPORT_TIERS = ("1+", "1", "2", "Nacht")
 BY = ("report_bundle",)
+# Order of the rows inside each written file.
+SHEET_ORDER = {
+    "incidents": ("is_total", "operating_day", "tier_group"),
+    "line_by_day": ("tier", "line_short"),
+    "incomplete": ("-missing",),
+    "extra_matches": ("tier", "line_short", "journey_no"),
+    "journeys": ("tier", "line_short", "journey_no"),
+    "stop_events": ("operating_day", "journey_no", "idx"),
+}
 
 
 def bundle_reports(
@@ -34,7 +43,7 @@ def bundle_reports(
         recent, days.as_day(days.last_days(as_of, window)[0]), as_of, "ever_reported", BY
     )
     missing = extras.without_realtime(by_report, as_of, window, "ever_reported", BY)
-    incidents = coverage.incidents_by_day(by_report, as_of, incident_window, BY)
+    incidents = coverage.incidents_by_day(by_report, as_of, incident_window, BY, ordered=False)
     return {
         "incidents": pivots.with_total_row(
             incidents, ("operating_day", "tier_group"), "incidents", BY
@@ -79,6 +88,7 @@ def write_bundle_reports(
             written[name] = f"{target.rstrip('/')}/{name}"
             (
                 rows.hint("rebalance", "report_bundle")
+                .sortWithinPartitions("report_bundle", *listing.order(*SHEET_ORDER[name]))
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
                 .partitionBy("report_bundle")

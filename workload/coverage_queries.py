@@ -267,7 +267,7 @@ def pivot_day_by_bundle(spark, sf):
   SELECT operating_day, tier_group, total, total_rt, rate, incidents::bigint AS incidents, false AS is_total FROM sheet
   UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, sum(incidents)::bigint, true FROM sheet""")
 def incidents_with_total(spark, sf):
-    sheet = coverage.incidents_by_day(every_bundle(spark, sf), AS_OF, SPAN)
+    sheet = coverage.incidents_by_day(every_bundle(spark, sf), AS_OF, SPAN, ordered=False)
     return pivots.with_total_row(sheet, ("operating_day", "tier_group"), "incidents")
 
 

@@ -168,18 +168,12 @@ def sorted_days(spark, sf):
 
 
 
-@query("O1", """
-  SELECT operator, line_short, total, row_number() OVER (ORDER BY operator ASC NULLS LAST, total DESC, line_short) AS place
-  FROM (SELECT operator, line_short, count(*) AS total FROM journeys GROUP BY ALL)
-  ORDER BY place LIMIT 20""")
+@query("O1 O3", """
+  SELECT operator, line_short, count(*) AS total FROM journeys GROUP BY ALL
+  ORDER BY operator ASC NULLS LAST, total DESC, line_short LIMIT 20""")
 def first_groups_in_order(spark, sf):
     counts = st.journeys(spark, sf).groupBy("operator", "line_short").agg(F.count("*").alias("total"))
-    # a single-partition rank over the twenty rows that remain
-    top = listing.first_rows(counts, 20, "operator", "-total", "line_short")
-    from pyspark.sql import Window
-
-    order = Window.orderBy(F.col("operator").asc_nulls_last(), F.col("total").desc(), "line_short")
-    return top.withColumn("place", F.row_number().over(order).cast("bigint"))
+    return listing.first_rows(counts, 20, "operator", "-total", "line_short")
 
 
 @query("O2 O3", """
