@@ -1,9 +1,9 @@
 """Joins of facts to lines and bundles.
 
-Lines are master data. No side is hinted for broadcast: Spark broadcasts the
-line table while its measured size is below
-``spark.sql.autoBroadcastJoinThreshold`` and sort-merges beyond it, where AQE
-splits lines that hold too many rows.
+Lines are master data, yet Spark's estimate of them is often far too high:
+unknown for a database, multiplied by every join. ``if_small`` therefore
+counts them before they are broadcast. Beyond its limits the joins are left to
+Spark, which sort-merges and splits lines that hold too many rows.
 """
 
 from __future__ import annotations
@@ -16,6 +16,9 @@ from punctua.functions.text import slug
 # Fixed value: the bundle left out of the reports.
 UNREPORTED = ("nahsh",)
 
+# A line list up to this size is broadcast.
+SMALL_ROWS, SMALL_BYTES = 100_000, 16 << 20
+
 JOURNEY_VIEW = (
     "operating_day", "tier", "operator", "journey_no", "start_station", "end_station",
     "line_short", "line_id_short", "has_realtime", "journey_cancelled",
@@ -27,10 +30,23 @@ STOP_VIEW = (
 )
 
 
-def with_lines(facts: DataFrame, lines: DataFrame) -> DataFrame:
+def if_small(side: DataFrame, most_rows: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> DataFrame:
+    """The same rows, marked for broadcast if a count finds them within the limits.
+
+    Runs a job over at most ``most_rows`` + 1 rows of the small side.
+    """
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in side.columns]
+    size = side.limit(most_rows + 1).agg(
+        F.count("*").alias("rows"), F.sum(sum(texts, F.lit(0))).alias("bytes")
+    ).first()
+    fits = size.rows <= most_rows and (size.bytes or 0) <= most_bytes
+    return F.broadcast(side) if fits else side
+
+
+def with_lines(facts: DataFrame, lines: DataFrame, most_rows: int = SMALL_ROWS) -> DataFrame:
     """Facts with bundle and tier of their line; facts of unknown lines drop out."""
     known = lines.select("line_id_short", "bundle", "tier")
-    return facts.join(known, "line_id_short", "inner")
+    return facts.join(if_small(known, most_rows), "line_id_short", "inner")
 
 
 def bundle_filter(bundle: str, match: str) -> Column:
@@ -109,7 +125,8 @@ def journeys_by_report(
 ) -> DataFrame:
     """The journey views of all bundles in one DataFrame."""
     chosen = lines_by_report(lines, "contains", unreported).drop("bundle")
-    return journeys.join(chosen, "line_id_short", "inner").select("report_bundle", *JOURNEY_VIEW)
+    joined = journeys.join(if_small(chosen), "line_id_short", "inner")
+    return joined.select("report_bundle", *JOURNEY_VIEW)
 
 
 def stops_by_report(
@@ -117,7 +134,8 @@ def stops_by_report(
 ) -> DataFrame:
     """The stop-event views of all bundles in one DataFrame."""
     chosen = lines_by_report(lines, "equals", unreported).drop("bundle")
-    return stop_events.join(chosen, "line_id_short", "inner").select("report_bundle", *STOP_VIEW)
+    joined = stop_events.join(if_small(chosen), "line_id_short", "inner")
+    return joined.select("report_bundle", *STOP_VIEW)
 
 
 def published(bundles: DataFrame, targets: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from punctua.functions import days
-from punctua.operators import bundles, coverage, segments
+from punctua.operators import bundles, coverage, pivots, segments
 from workload import QUERIES
 from workload import standins as st
 
@@ -49,16 +49,32 @@ def test_bundle_filter_reaches_the_line_scan(spark, tmp_path):
     text = plan(bundles.journeys_of_bundle(stored_journeys(spark, tmp_path), lines, "Bündel 1"))
     assert "StringContains(bundle,Bündel 1)" in text
     assert "BroadcastHashJoin" in text
-    # the size limit decides, not a hint
+    # beyond the limits Spark's own choice stands
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(bundles.journeys_of_bundle(stored_journeys(spark, tmp_path), lines, "Bündel 1"))
-        assert "SortMergeJoin" in text and "Broadcast" not in text
+        journeys = stored_journeys(spark, tmp_path)
+        assert "BroadcastHashJoin" in plan(bundles.with_lines(journeys, lines))
+        large = bundles.with_lines(journeys, lines, most_rows=3)
+        assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
+        assert large.count() == bundles.with_lines(journeys, lines).count()
+        assert "Broadcast" not in plan(bundles.if_small(lines, most_bytes=5).join(lines, "line"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_reports_broadcast_their_lines_despite_join_estimates(spark):
+    journeys, lines = st.journeys(spark, SF_DIR), st.lines(spark, SF_DIR)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(bundles.journeys_by_report(journeys, lines))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    orders = text[: text.index("orders.parquet")]
+    assert "BroadcastHashJoin" in orders and "SortMergeJoin" not in orders
+
+
 def test_coverage_shuffles_counts_only(spark):
     text = plan(coverage.operator_coverage(st.journeys(spark, SF_DIR), st.AS_OF))
     exchange = text.index("Exchange hashpartitioning(operator")
@@ -84,10 +100,10 @@ def test_copies_are_dropped_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text[:exchange] and "WindowGroupLimit" in text[exchange:]
 
 
-def test_day_text_pivot_needs_no_discovery(spark):
+def test_pivots_start_no_job(spark):
+    journeys = bundles.with_lines(st.journeys(spark, SF_DIR), st.lines(spark, SF_DIR))
+    rates = coverage.line_coverage_by_day(journeys, "2001-07-01", st.AS_OF)
     jobs = spark.sparkContext.statusTracker()
     before = len(jobs.getJobIdsForGroup(None))
-    QUERIES["report_line_by_day"].build(spark, SF_DIR)
-    # only the Parquet footers are looked at while the query is put together
-    assert len(jobs.getJobIdsForGroup(None)) - before <= 3
-    assert days.last_days(st.AS_OF, 21)[-1] == st.AS_OF
+    pivots.line_by_day(rates, days.last_days(st.AS_OF, 21))
+    assert len(jobs.getJobIdsForGroup(None)) == before
