@@ -111,13 +111,13 @@ def lines_by_report(
 ) -> DataFrame:
     """Line, tier and the report each line belongs to, for all reports at once."""
     if match == "contains":
-        return lines.join(nested_bundles(lines, unreported), "bundle", "inner").select(
-            "report_bundle", "bundle", "tier", "line_id_short"
-        )
-    reported = bundle_list(lines, unreported)
-    return lines.join(reported, "bundle", "left_semi").select(
-        F.col("bundle").alias("report_bundle"), "bundle", "tier", "line_id_short"
-    )
+        named = lines.join(nested_bundles(lines, unreported), "bundle", "inner")
+    elif match == "equals":
+        named = lines.where(~F.col("bundle").isin(*unreported))
+        named = named.withColumn("report_bundle", F.col("bundle"))
+    else:
+        raise ValueError(f"match must be 'contains' or 'equals', not {match!r}")
+    return named.select("report_bundle", "bundle", "tier", "line_id_short")
 
 
 def journeys_by_report(

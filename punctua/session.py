@@ -22,6 +22,8 @@ DEFAULTS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Set each default the session's own configuration does not mention."""
@@ -29,6 +31,9 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     for key, value in DEFAULTS.items():
         if key not in given:
             spark.conf.set(key, value)
+    if not given & {"spark.sql.shuffle.partitions", INITIAL_PARTITIONS}:
+        # many small shuffle partitions to start from; AQE merges those that stay small
+        spark.conf.set(INITIAL_PARTITIONS, str(4 * spark.sparkContext.defaultParallelism))
     return spark
 
 

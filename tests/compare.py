@@ -19,6 +19,22 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# Types that hold the same values in both engines.
+SAME_TYPE = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+    "string": "VARCHAR", "boolean": "BOOLEAN",
+}
+
+
+def type_differences(df, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    wanted = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    return [
+        f"{name} is {kind}, not {wanted.get(name)}"
+        for name, kind in df.dtypes
+        if SAME_TYPE.get(kind) != wanted.get(name)
+    ]
+
+
 def differences(df, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     """Empty if both have the same columns, value types and rows in any order."""
     result = connection.execute(sql)
@@ -31,9 +47,7 @@ def differences(df, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str
     wanted = Counter(tuple(row[i] for i in order) for row in expected)
     found = Counter(tuple(row) for row in df.collect())
     if wanted == found:
-        kinds = {n: {type(row[i]).__name__ for row in found if row[i] is not None} for i, n in enumerate(names)}
-        want_kinds = {n: {type(row[i]).__name__ for row in wanted if row[i] is not None} for i, n in enumerate(names)}
-        return [] if kinds == want_kinds else [f"types {kinds} instead of {want_kinds}"]
+        return type_differences(df, connection, sql)
     extra, lost = found - wanted, wanted - found
     return [
         f"{sum(found.values())} rows instead of {sum(wanted.values())}",

@@ -140,3 +140,20 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     ingest_new_files(spark, folder, target, progress).awaitTermination()
     got = day_files.read_days(spark, "journeys", target)
     assert sorted(r.journey_no for r in got.collect()) == ["1630018", "7"]
+
+
+def test_daily_jobs_from_the_command_line(spark, tmp_path):
+    from punctua.__main__ import main
+
+    folder, tables = write(tmp_path, FULL, BARE), str(tmp_path / "tables")
+    main(["ingest", folder, "--target", tables, "--tables", "journeys", "extras", "stop_events"])
+    lines = tmp_path / "lines.csv"
+    lines.write_text("linie;buendel;ebene;dlid;id\n630;HB;1;de:X:630;7\nx;HB Y;3;a:b:;8\n", encoding="utf-8")
+    paths = main(["report", "--tables", tables, "--lines", str(lines), "--target", str(tmp_path / "out"), "--as-of", "2024-01-12"])
+    journeys = spark.read.parquet(paths["journeys"]).collect()
+    # the report of HB also takes the bundle whose name contains it
+    assert sorted((r.report_bundle, r.journey_no) for r in journeys) == [("HB", "1630018"), ("HB", "7"), ("HB Y", "7")]
+    stops = spark.read.parquet(paths["stop_events"])
+    assert [r.idx for r in stops.orderBy("idx").collect()] == [1, 2]
+    pivot = spark.read.parquet(paths["line_by_day"]).where("report_bundle = 'HB' and tier = '1'").first()
+    assert pivot["2024-01-10"] == 1.0 and pivot["2024-01-12"] is None
