@@ -325,3 +325,13 @@ def test_written_reports(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(report_bundle" in one._jdf.queryExecution().executedPlan().toString()
     totals = spark.read.parquet(paths["incidents"]).where("is_total")
     assert totals.count() == spark.read.parquet(paths["incidents"]).select("report_bundle").distinct().count()
+
+
+def test_segments_are_stops_less_journeys(spark):
+    from conftest import SF_DIR
+
+    from workload import standins as st
+
+    stops = st.stop_events(spark, SF_DIR)
+    journeys = stops.select(*segments.JOURNEY).distinct().count()
+    assert segments.segments(stops).count() == stops.count() - journeys
