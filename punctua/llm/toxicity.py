@@ -5,8 +5,9 @@ also sees the probabilities of the earlier categories. It is trained with out-of
 probabilities, that is, with those of models that have not seen the row, as it will meet
 such probabilities later.
 
-The models are logistic regressions over the presence of words. The vocabulary is chosen
-over all training rows by how much more often toxic texts have a word.
+The models are logistic regressions over the presence of words and of word beginnings, a
+beginning also by whether several words of the text have it. The vocabulary is chosen over
+all training rows by how much more often toxic texts have such a sign.
 """
 
 from __future__ import annotations
@@ -24,9 +25,11 @@ from pyspark.sql import functions as F
 
 from punctua.llm.rows import column, extended, new_folder, prepare_workers, written
 
-VOCABULARY = 256  # words of the models
-MOST_LABELS = 50_000  # bound of the training sample
-LEAST_TEXTS = 3  # toxic training texts that must have a word
+VOCABULARY = 512  # signs of the models
+BEGINNINGS = (4, 5, 6, 7)  # letters of the beginnings
+SEVERAL = (1, 2, 3, 5)  # words with the same beginning that make a sign
+MOST_LABELS = 20_000  # bound of the training sample
+LEAST_TEXTS = 3  # toxic training texts that must have a sign
 FOLDS = 3
 REGULARISATION = 1e-4
 THRESHOLD = 0.5
@@ -41,17 +44,27 @@ CATEGORIES = {
 CHAIN = (*CATEGORIES, "toxic")
 
 
-def _words(text: str | None) -> set[str]:
-    return set(WORD.findall((text or "").lower()))
+def _signs(text: str | None) -> set[str]:
+    """Words, and beginnings with a star and the number of words that have them at least."""
+    words = Counter(WORD.findall((text or "").lower()))
+    found = set(words)
+    for n in BEGINNINGS:
+        heads: Counter = Counter()
+        for word, times in words.items():
+            if len(word) > n:
+                heads[word[:n]] += times
+        for head, times in heads.items():
+            found.update(f"{head}*{least}" for least in SEVERAL if least <= times)
+    return found
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts, toxic or not, that have a word; only words that some toxic text has."""
+    """Texts, toxic or not, that have a sign."""
     for batch in batches:
         toxic, other = Counter(), Counter()
         labels = batch.column("label").to_pylist()
         for text, label in zip(batch.column("body").to_pylist(), labels, strict=True):
-            (toxic if label else other).update(_words(text))
+            (toxic if label else other).update(_signs(text))
         names = [*toxic, *(w for w in other if w not in toxic)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([toxic[w] for w in names], pa.int64()),
@@ -65,7 +78,8 @@ def _presence(vocabulary: list[str]):
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(place[w] for w in _words(t) if w in place) for t in batch.column("body").to_pylist()]
+            signs = map(_signs, batch.column("body").to_pylist())
+            found = [sorted(place[s] for s in own if s in place) for own in signs]
             kept = [i for i, n in enumerate(batch.schema.names) if n != "body"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in kept), pa.array(found, pa.list_(pa.int32()))],
@@ -76,7 +90,7 @@ def _presence(vocabulary: list[str]):
 
 
 def choose_vocabulary(training: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """The ``size`` words whose share among toxic texts exceeds that among others most.
+    """The ``size`` signs whose share among toxic texts exceeds that among others most.
 
     The order is by the signed root of the chi-square statistic, then by word.
     """
@@ -115,8 +129,7 @@ def _fit(rows: DataFrame, category: str, size: int, earlier: list[str]) -> np.nd
     table = rows.select(_vector(size, earlier).alias("features"), F.col(f"y_{category}").alias("label"))
     shares = table.agg(F.avg("label")).first()[0]
     if shares is None or shares in (0.0, 1.0):
-        bias = 0.0 if shares is None else (12.0 if shares else -12.0)
-        return np.append(np.zeros(size + len(earlier)), bias)
+        return np.append(np.zeros(size + len(earlier)), 12.0 if shares else -12.0)
     model = LogisticRegression(
         regParam=REGULARISATION, standardization=False, maxIter=30, tol=1e-5
     ).fit(table)
@@ -166,7 +179,8 @@ def toxicity_scores(
 
     Trains on at most ``most_labels`` labels, those first by a hash of the id.
     ``keep_out``: condition on the id column ``id`` for labels that must not be trained on.
-    Words are runs of letters, digits and ``_``, in lower case. ``score`` is the last
+    Words are runs of letters, digits and ``_``, in lower case; only whole words make a row
+    one of a category. ``score`` is the last
     probability of the chain, ``predicted`` 1 if it is at least 0.5. Null and empty texts
     have no words and get the models' intercepts. Null labels and labels without document
     are left out; repeated rows count as often as they occur; rows with null id are scored

@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+from conftest import SF_DIR
+
+from punctua.llm import queries
+from punctua.llm.line_dedup import drop_site_lines, html_lines
+from punctua.llm.url_filter import host_and_path
+
+
+def plain(pages, ratio=0.3, least=3):
+    """(host, text) rows to (kept text, lines, dropped, pages of the host)."""
+    total, having = Counter(), defaultdict(Counter)
+    bare = lambda x: x.strip(" \t\r")
+    for host, text in pages:
+        total[host or ""] += 1
+        having[host or ""].update({bare(x) for x in (text or "").split("\n")} - {""})
+    out = []
+    for host, text in pages:
+        h = host or ""
+        drop = {x for x, n in having[h].items() if n >= least and n >= ratio * total[h]}
+        lines = [] if text is None else text.split("\n")
+        kept = [x for x in lines if bare(x) not in drop]
+        full = sum(bare(x) != "" for x in lines)
+        out.append((None if text is None else "\n".join(kept), full, full - sum(bare(x) != "" for x in kept), total[h]))
+    return sorted(out, key=str)
+
+
+def result(df, **options):
+    out = drop_site_lines(df, **options).select("kept_text", "n_lines", "n_dropped", "host_pages")
+    return sorted((tuple(r) for r in out.collect()), key=str)
+
+
+def test_query_against_brute_force(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    host, _ = host_and_path(pages.url)
+    given = pages.select("page_id", host.alias("host"), html_lines(pages.html).alias("text")).collect()
+    want = plain([(r.host, r.text) for r in given])
+    out = queries.op10_line_dedup(spark, SF_DIR).collect()
+    got = [(r.kept_sha256, r.n_lines, r.n_dropped, r.host_pages) for r in out]
+    assert sorted(got) == sorted((hashlib.sha256(t.encode()).hexdigest(), *rest) for t, *rest in want)
+
+
+def test_site_relative(rows):
+    pages = [("a", f"menu\n own {i}\n menu \n\n") for i in range(4)]
+    pages += [("b", f"menu\nown {i}") for i in range(2)]  # too few pages to judge
+    pages += [("c", f"{'menu' if i < 3 else 'x'}\nrow {i}") for i in range(11)]  # 3 of 11
+    pages += [(None, "menu"), ("", "menu"), (None, None), ("d", ""), ("a", "é" * 200_000)]
+    df = rows("host string, text string", pages)
+    assert result(df) == plain(pages)
+    assert result(df, ratio=0.2) == plain(pages, 0.2)
+    wide = df.withColumns({"site": df.text, "lines": df.host, "row": df.host, "n_lines": df.text})
+    assert result(wide) == plain(pages)
+
+
+def test_empty_table(rows):
+    assert result(rows("host string, text string", [])) == []
+
+
+def test_html_lines(rows):
+    html = "<p>a<b>b</b></p><script>var t='</p>';\n</script><!-- x\n<p> --> c \n\n d<br/>"
+    df = rows("html string", [(html,), (None,), ("",)])
+    got = [r.x for r in df.select(html_lines(df.html).alias("x")).collect()]
+    assert got == ["\na\nb\nc\nd\n", None, ""]
