@@ -7,7 +7,7 @@ import os
 import sys
 import time
 
-from punctua.session import build_session
+from punctua.session import build_session, clear_shared_folders
 from workload import QUERIES
 
 HEADLINE = (
@@ -37,6 +37,10 @@ HEADLINE = (
 )
 
 
+# These write their own input (archive XML, old day files) while they are built: shown apart.
+PREPARED = ("archive_journeys", "day_files_of_two_generations")
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -52,17 +56,23 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     # starts the JVM's code paths once; not measured
     QUERIES["journey_count"].build(spark, sf_dir).collect()
-    seconds = {}
+    seconds, prepared = {}, {}
     for name in names:
         start = time.perf_counter()
-        QUERIES[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        rows = QUERIES[name].build(spark, sf_dir)
+        if name in PREPARED:
+            prepared[name] = round(time.perf_counter() - start, 3)
+            start = time.perf_counter()
+        rows.write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        clear_shared_folders(spark)
     spark.stop()
     result = {
         "metric": "total seconds of the headline queries",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
+        "prepare": prepared,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": int(cpus),
     }

@@ -1,58 +1,114 @@
-"""Daily jobs: ``ingest`` archive files, write the bundle ``report``."""
+"""Daily jobs: ``ingest`` a delivery, ``land`` and ``serve`` streamed ones, ``report``, ``delays``, ``publish``."""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from punctua.functions import days
+from punctua.operators import bundles
 from punctua.operators.extras import extra_journeys
 from punctua.plans.bundle_report import write_bundle_reports
 from punctua.plans.daily_ingest import FLATTEN, ingest_archive
+from punctua.plans.delay_lists import delay_lists, write_lists
 from punctua.session import build_session
 from punctua.sources import day_files, master
+from punctua.streaming.ingest import land_new_files, serve_deliveries
+
+INGESTED = (*FLATTEN, "delay_reports")
+
+
+def _lines_from(command: argparse.ArgumentParser) -> None:
+    source = command.add_mutually_exclusive_group(required=True)
+    source.add_argument("--lines", help="line list, ';' separated")
+    source.add_argument("--lines-jdbc", nargs=2, metavar=("URL", "TABLE"), help="line table of a database")
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="punctua", description=__doc__)
     commands = top.add_subparsers(dest="command", required=True)
-    ingest = commands.add_parser("ingest", help="archive XML to day tables")
+    ingest = commands.add_parser("ingest", help="archive XML of one delivery to day tables")
     ingest.add_argument("xml", nargs="+", help="files, folders or globs")
-    ingest.add_argument("--target", required=True, help="folder of the day tables")
-    ingest.add_argument("--tables", nargs="+", choices=[*FLATTEN, "delay_reports"], default=["journeys", "stop_events"])
-    ingest.add_argument("--day", help="write this operating day only")
+    ingest.add_argument("--delivery-day", required=True, type=days.as_day)
+    land = commands.add_parser("land", help="append newly landed archive files to a landing table")
+    land.add_argument("folder")
+    land.add_argument("--landing", required=True)
+    land.add_argument("--checkpoint", required=True)
+    serve = commands.add_parser("serve", help="newest arrivals of the landing table to day tables")
+    serve.add_argument("--landing", required=True)
+    serve.add_argument("--since", type=days.as_day, help="first delivery day")
+    for writes in (ingest, serve):
+        writes.add_argument("--target", required=True, help="folder of the day tables")
+        writes.add_argument("--tables", nargs="+", choices=INGESTED, default=["journeys", "stop_events"])
+        writes.add_argument("--allow-rejected", action="store_true", help="go on without elements that cannot be used")
     report = commands.add_parser("report", help="all sheets of all bundles")
-    report.add_argument("--tables", required=True, help="folder of the day tables")
-    report.add_argument("--lines", required=True, help="line list, ';' separated")
-    report.add_argument("--target", required=True)
-    report.add_argument("--as-of", required=True, type=days.as_day)
+    _lines_from(report)
     report.add_argument("--days", type=int, default=21)
     report.add_argument("--incident-days", type=int, default=35)
     report.add_argument("--extra-days", type=int, default=30)
     report.add_argument("--extra-lines", help="pattern the line id of an extra journey must match")
+    late = commands.add_parser("delays", help="flat zeros, boxplots, segments, reports beside stops")
+    late.add_argument("--days", type=int, default=28)
+    late.add_argument("--reports", action="store_true", help="also use the table delay_reports")
+    for reads in (report, late):
+        reads.add_argument("--tables", required=True, help="folder of the day tables")
+        reads.add_argument("--target", required=True)
+        reads.add_argument("--as-of", required=True, type=days.as_day)
+    publish = commands.add_parser("publish", help="bundles with and without a publication target")
+    _lines_from(publish)
+    publish.add_argument("--targets", required=True, help="publication list, ';' separated")
+    publish.add_argument("--target", required=True)
     return top
 
 
-def main(arguments: list[str] | None = None) -> dict[str, str]:
-    args = parser().parse_args(arguments)
-    spark = build_session(f"punctua-{args.command}")
-    if args.command == "ingest":
-        return ingest_archive(spark, args.xml, args.target, tuple(args.tables), args.day)
+def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.lines_jdbc:
+        return master.read_lines_jdbc(spark, *args.lines_jdbc)
+    return master.read_lines_csv(spark, args.lines)
+
+
+def _report(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     tables = {
         name: day_files.read_days(spark, name, f"{args.tables.rstrip('/')}/{name}")
         for name in ("journeys", "stop_events", "extras")
     }
-    stops = day_files.with_short_line_id(tables["stop_events"])
     extra = extra_journeys(tables["extras"], args.as_of, args.extra_days, args.extra_lines)
-    journeys = day_files.with_short_line_id(tables["journeys"])
-    journeys = journeys.where(F.col("operating_day") <= F.lit(args.as_of))
     return write_bundle_reports(
-        journeys, stops, master.read_lines_csv(spark, args.lines), extra,
-        args.target, args.as_of, args.days, args.incident_days,
+        day_files.with_short_line_id(tables["journeys"]),
+        day_files.with_short_line_id(tables["stop_events"]),
+        _lines(spark, args), extra, args.target, args.as_of, args.days, args.incident_days,
     )
 
 
+def main(arguments: list[str] | None = None) -> dict[str, str]:
+    args = parser().parse_args(arguments)
+    spark = build_session(f"punctua-{args.command}")
+    if args.command == "ingest":
+        return ingest_archive(
+            spark, args.xml, args.target, args.delivery_day, tuple(args.tables), args.allow_rejected
+        )
+    if args.command == "land":
+        land_new_files(spark, args.folder, args.landing, args.checkpoint).awaitTermination()
+        return {"landing": args.landing}
+    if args.command == "serve":
+        served = serve_deliveries(
+            spark, args.landing, args.target, tuple(args.tables), args.since, args.allow_rejected
+        )
+        return {day: args.target for day in served}
+    if args.command == "report":
+        return _report(spark, args)
+    if args.command == "delays":
+        folder = args.tables.rstrip("/")
+        stops = day_files.read_days(spark, "stop_events", f"{folder}/stop_events")
+        reports = day_files.read_days(spark, "delay_reports", f"{folder}/delay_reports") if args.reports else None
+        return write_lists(delay_lists(stops, reports, args.as_of, args.days), args.target)
+    listed = bundles.bundle_list(_lines(spark, args))
+    targets = master.read_publication_targets(spark, args.targets)
+    lists = {"published": bundles.published(listed, targets), "unpublished": bundles.unpublished(listed, targets)}
+    return write_lists(lists, args.target)
+
+
 if __name__ == "__main__":
     for name, path in main().items():
         print(name, path)

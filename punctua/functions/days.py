@@ -53,9 +53,13 @@ def second_of_day(stamp: Column) -> Column:
 
 
 def in_last_days(day: Column, as_of: str | Day, days: int, strict: bool = False) -> Column:
-    """From ``days`` before ``as_of`` on; ``strict`` leaves that first day out."""
-    first = F.lit(as_day(as_of) - dt.timedelta(days=days))
-    return day > first if strict else day >= first
+    """From ``days`` before ``as_of`` to ``as_of``; ``strict`` leaves the first day out.
+
+    Days loaded after ``as_of`` do not count, so a report of a past date stays as it was.
+    """
+    end = as_day(as_of)
+    first = F.lit(end - dt.timedelta(days=days))
+    return (day > first if strict else day >= first) & (day <= F.lit(end))
 
 
 def on_day(day: Column, as_of: str | Day, days_back: int = 0) -> Column:

@@ -7,10 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 
 
-def contains(value: Column, part: str) -> Column:
-    return value.contains(part)
-
-
 def full_match(value: Column, pattern: str) -> Column:
     """The whole text matches, as ``SIMILAR TO`` does; ``rlike`` alone only finds."""
     return value.rlike(rf"^(?:{pattern})\z")

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from punctua.functions import days
 from punctua.functions.text import slug
+from punctua.operators.listing import sort
 
 # Fixed value: the bundle left out of the reports.
 UNREPORTED = ("nahsh",)
@@ -67,11 +69,22 @@ def journeys_of_bundle(
 
 
 def stops_of_bundle(
-    stop_events: DataFrame, lines: DataFrame, bundle: str, match: str = "equals"
+    stop_events: DataFrame,
+    lines: DataFrame,
+    bundle: str,
+    as_of: str | days.Day,
+    window: int = 35,
+    match: str = "equals",
+    ordered: bool = False,
 ) -> DataFrame:
-    """Stop events of one bundle with their tier."""
+    """Stop events of one bundle with their tier, of the days up to ``as_of``.
+
+    ``ordered`` sorts the rows by day, journey and stop.
+    """
     chosen = lines.where(bundle_filter(bundle, match))
-    return with_lines(stop_events, chosen).select(*STOP_VIEW)
+    recent = stop_events.where(days.in_last_days(F.col("operating_day"), as_of, window))
+    view = with_lines(recent, chosen).select(*STOP_VIEW)
+    return sort(view, "operating_day", "journey_no", "idx") if ordered else view
 
 
 def bundle_list(lines: DataFrame, unreported: tuple[str, ...] = UNREPORTED) -> DataFrame:

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from punctua.functions import days, text
 from punctua.functions.days import operating_day as day
+from punctua.operators.bundles import if_small
 from punctua.operators.listing import order, sort
 
 # Whisker length in box heights, and the delay a boxplot leaves out from.
 WHISKER = 1.5
 OUTLIER_MINUTES = 30.0
-# Pieces that rows without a join key are spread over.
-KEYLESS_PIECES = 64
 
 
 def flat_zero_journeys(
@@ -49,20 +48,29 @@ def reports_with_stops(
     stop_events: DataFrame,
     line_short: str | None = None,
     ordered: bool = False,
+    match_empty: bool = False,
 ) -> DataFrame:
     """Delay reports of stops that were not cancelled, beside the final stop events.
 
-    Matched on day, line name, journey number and station name. Reports that
-    lack one of them cannot match; they are spread over extra key values so
-    that they do not meet in one task. Other heavy keys are left to AQE.
+    Matched on day, line name, journey number and station name. A report that
+    lacks one of them cannot match; such reports are spread by a hash so that
+    they do not meet in one task. Other heavy keys are left to AQE.
+
+    An empty text counts as lacking: ingest writes it for a missing number,
+    and it would pair all unnumbered reports of a line at a station with all
+    its unnumbered stops of the day. ``match_empty`` lets it match itself.
     ``ordered`` sorts the rows by day, line, journey, stop and report time.
     """
     chosen = reports.where(~F.col("stop_cancelled"))
     if line_short is not None:
         chosen = chosen.where(F.col("line_short") == line_short)
     keys = ["operating_day", "line_short", "journey_no", "station_name"]
-    keyless = F.greatest(*[F.col(k).isNull() for k in keys])
-    spread = F.pmod(F.xxhash64("station_no", "reported_at", "sched_dep"), F.lit(KEYLESS_PIECES))
+    lacking = [F.col(k).isNull() for k in keys]
+    if not match_empty:
+        lacking += [F.col(k) == "" for k in keys[1:]]
+    keyless = F.greatest(*[F.coalesce(c, F.lit(True)) for c in lacking])
+    # odd, so never the 0 of the other side
+    spread = F.xxhash64("station_no", "reported_at", "sched_dep", "journey_no").bitwiseOR(F.lit(1))
     left = chosen.withColumn("piece", F.when(keyless, spread).otherwise(F.lit(0)))
     right = stop_events.select(
         *keys, "idx", "arr_delay", "dep_delay", F.lit(0).cast("bigint").alias("piece")
@@ -81,14 +89,17 @@ def reports_with_station_names(
 ) -> DataFrame:
     """Delay reports with the name of their station.
 
-    A station listed with several names or places repeats its reports.
+    Numbers are compared as the texts delivered, so "0012" is not "12"; the
+    result has them as integers. A station listed with several names or
+    places repeats its reports. The list is broadcast if a count finds it
+    small, as the reports are the largest table and busy stations its heavy keys.
     ``ordered`` sorts the rows by line, journey and report time.
     """
-    names = stations.select(
-        F.col("station_no").try_cast("int").alias("station_no"), "station_name"
-    )
+    names = stations.select(F.col("station_no").cast("string").alias("station_no"), "station_name")
     planned = reports.drop("station_name").where(F.col("sched_dep") != "")
-    named = planned.join(names, "station_no", "left")
+    planned = planned.withColumn("station_no", F.col("station_no").cast("string"))
+    named = planned.join(if_small(names), "station_no", "left")
+    named = named.withColumn("station_no", F.col("station_no").try_cast("int"))
     return sort(named, "line_id", "journey_no", "reported_at") if ordered else named
 
 

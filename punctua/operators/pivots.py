@@ -1,7 +1,7 @@
 """Pivots and total rows of the reports.
 
 Pivot columns are given, not discovered: days follow from the report's span,
-bundles from the line list. That saves a pass over the facts.
+bundles from its reader. That saves a pass over the facts.
 """
 
 from __future__ import annotations
@@ -44,8 +44,9 @@ def weighted_line_by_day(
 
 
 def day_by_bundle(rates: DataFrame, bundles: list[str]) -> DataFrame:
-    """Percentages per day (rows) and bundle (columns), latest day first.
+    """Percentages per day (rows) and the given bundles (columns), latest day first.
 
+    For any number of bundles use the long form, ``coverage.bundle_coverage_by_day``.
     Two values for one day and bundle are an error, not a sum.
     """
     one = F.when(
@@ -57,14 +58,6 @@ def day_by_bundle(rates: DataFrame, bundles: list[str]) -> DataFrame:
     )
 
 
-def bundle_columns(bundles: DataFrame, most: int = 1000) -> list[str]:
-    """Sorted bundle names for a pivot; refuses more than ``most`` columns."""
-    names = [row[0] for row in bundles.select("bundle").orderBy("bundle").take(most + 1)]
-    if len(names) > most:
-        raise ValueError(f"more than {most} bundles do not make a readable pivot")
-    return names
-
-
 def with_total_row(table: DataFrame, keys: tuple[str, ...], summed: str, per: tuple[str, ...] = ()) -> DataFrame:
     """The table's rows and, per group of ``per``, one row with only the sum.
 

@@ -2,69 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctua.functions import geo
 
 JOURNEY = ("operating_day", "line_id", "journey_no")
-# A window task holds at most this many consecutive indices of one journey.
-PIECE = 1 << 16
 CARRIED = (
     "idx", "station_no", "station_name", "sched_dep", "sched_arr",
     "dep_delay", "arr_delay", "lat", "lon",
 )
 
 
+def numbered() -> Column:
+    """Rows that name their journey; ingest writes '' for a missing number."""
+    return F.coalesce(F.col("journey_no") != "", F.lit(False))
+
+
 def one_row_per_stop(stop_events: DataFrame, tie: tuple[str, ...]) -> DataFrame:
     """One row per journey and index: the first in the order of the ``tie`` columns.
 
+    Rows without a journey number may belong to many journeys and all stay.
     Spark limits each scan task to one row per key before the shuffle, so a
     key with very many copies does not travel; unused columns are pruned.
     """
-    copies = Window.partitionBy(*JOURNEY, "idx").orderBy(*tie)
-    return stop_events.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy")
+    apart = F.when(numbered(), F.lit(0)).otherwise(F.monotonically_increasing_id())
+    copies = Window.partitionBy(*JOURNEY, "idx", "apart").orderBy(*tie)
+    ranked = stop_events.withColumn("apart", apart).withColumn("copy", F.row_number().over(copies))
+    return ranked.where("copy = 1").drop("copy", "apart")
 
 
-def next_stops(
-    stops: DataFrame, carried: tuple[str, ...] = CARRIED, piece: int = PIECE
-) -> DataFrame:
-    """Each stop with the ``carried`` columns of the next stop, as ``*_next``.
+def repeated_stops(stop_events: DataFrame) -> DataFrame:
+    """Journeys and indices that occur more than once, with the number of rows.
 
-    Expects one row per journey and index. The last stop of a journey, and
-    stops without a journey number, drop out.
-
-    The window runs over pieces of ``piece`` consecutive indices, so that a
-    key under which very many stops were filed (a line whose journeys carry
-    no number) is not sorted in one task. Real journeys fit into piece 0. The
-    end of a piece is linked to the head of the next; those heads come from a
-    scan of indices from ``piece`` on, which row-group statistics skip when
-    there are none.
+    A stop can follow only one of them, so clear these (``one_row_per_stop``)
+    before linking stops.
     """
-    ahead = F.struct(*[F.col(c).alias(c) for c in carried])
-    usable = stops.where(F.col("journey_no").isNotNull() & F.col("idx").isNotNull())
+    known = stop_events.where(numbered() & F.col("idx").isNotNull())
+    return known.groupBy(*JOURNEY, "idx").agg(F.count("*").alias("rows")).where("rows > 1")
 
-    def cut(df: DataFrame) -> DataFrame:
-        number = F.floor(F.col("idx") / F.lit(piece)).cast("int")
-        return df.withColumn("piece", F.greatest(number, F.lit(0)))
 
-    inside = Window.partitionBy(*JOURNEY, "piece").orderBy("idx")
-    paired = cut(usable).withColumn("ahead", F.lead(ahead).over(inside))
-
-    heads = (
-        cut(usable.where(F.col("idx") >= piece))
-        .groupBy(*JOURNEY, "piece")
-        .agg(F.min_by(ahead, "idx").alias("head"))
-    )
-    # a head follows the piece before it, or piece 0 where there is none
-    before = F.lag("piece", 1, 0).over(Window.partitionBy(*JOURNEY).orderBy("piece"))
-    links = heads.withColumn("piece", before)
+def next_stops(stops: DataFrame, carried: tuple[str, ...] = CARRIED) -> DataFrame:
+    """Each stop with the ``carried`` columns of the next stop, as ``*_next``.
 
-    linked = paired.join(links, [*JOURNEY, "piece"], "left")
+    The last stop of a journey drops out, as do stops without a journey
+    number or index, which no journey can be made of. Of repeated rows of a
+    journey and index (see ``repeated_stops``) only the last in the order of
+    the carried columns is linked onwards, and none to another of them.
+    """
+    ahead = F.struct(*[F.col(c).alias(c) for c in carried])
+    usable = stops.where(numbered() & F.col("idx").isNotNull())
+    along = Window.partitionBy(*JOURNEY).orderBy("idx", *[c for c in carried if c != "idx"])
+    pair = F.struct(F.lead(ahead).over(along).alias("ahead"), F.lead("idx").over(along).alias("idx"))
     return (
-        linked.withColumn("ahead", F.coalesce("ahead", "head"))
-        .where(F.col("ahead").isNotNull())
-        .select(*stops.columns, *[F.col(f"ahead.{c}").alias(f"{c}_next") for c in carried])
+        usable.withColumn("then", pair)
+        .where(F.col("then.idx") > F.col("idx"))
+        .select(*stops.columns, *[F.col(f"then.ahead.{c}").alias(f"{c}_next") for c in carried])
     )
 
 

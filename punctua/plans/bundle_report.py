@@ -24,40 +24,51 @@ SHEET_ORDER = {
 }
 
 
-def bundle_reports(
-    by_report: DataFrame,
-    stops: DataFrame,
-    extra_runs: DataFrame,
+def bundle_sheet(
+    name: str,
+    by_report: DataFrame | None,
+    stops: DataFrame | None,
+    extra_runs: DataFrame | None,
     as_of: str | days.Day,
     window: int = 21,
     incident_window: int = 35,
     city_bundles: tuple[str, ...] = CITY_BUNDLES,
-) -> dict[str, DataFrame]:
-    """Data of every sheet, keyed by sheet; each row names its report bundle.
+) -> DataFrame:
+    """Data of one sheet of all bundles; each row names its report bundle.
 
     ``by_report`` and ``stops`` come from ``bundles.journeys_by_report`` and
-    ``bundles.stops_by_report``.
+    ``bundles.stops_by_report``. The stop sheet needs only ``stops``, the
+    others only ``by_report`` and the matches ``extra_runs``. Every sheet ends
+    at ``as_of``.
     """
-    recent = by_report.where(days.in_last_days(F.col("operating_day"), as_of, window))
-    rates = coverage.line_coverage_by_day(
-        recent, days.as_day(days.last_days(as_of, window)[0]), as_of, "ever_reported", BY
-    )
-    missing = extras.without_realtime(by_report, as_of, window, "ever_reported", BY)
-    incidents = coverage.incidents_by_day(by_report, as_of, incident_window, BY, ordered=False)
-    return {
-        "incidents": pivots.with_total_row(
-            incidents, ("operating_day", "tier_group"), "incidents", BY
-        ),
-        "line_by_day": pivots.line_by_day(rates, days.last_days(as_of, window), BY),
-        "incomplete": coverage.incomplete_journeys(
+    day = F.col("operating_day")
+    if name == "stop_events":
+        recent = days.in_last_days(day, as_of, incident_window)
+        return stops.where(match.none_of(F.col("report_bundle"), city_bundles) & recent)
+    if name == "incidents":
+        incidents = coverage.incidents_by_day(by_report, as_of, incident_window, BY, ordered=False)
+        return pivots.with_total_row(incidents, ("operating_day", "tier_group"), "incidents", BY)
+    if name == "line_by_day":
+        shown = days.last_days(as_of, window)
+        rates = coverage.line_coverage_by_day(by_report, shown[0], as_of, "ever_reported", BY)
+        return pivots.line_by_day(rates, shown, BY)
+    if name == "incomplete":
+        return coverage.incomplete_journeys(
             by_report, as_of, window, REPORT_TIERS, "ever_reported", BY
-        ),
-        "extra_matches": extras.only_matched(extras.match_extras(missing, extra_runs)),
-        "journeys": recent,
-        "stop_events": stops.where(
-            match.none_of(F.col("report_bundle"), city_bundles)
-            & days.in_last_days(F.col("operating_day"), as_of, incident_window)
-        ),
+        )
+    if name == "extra_matches":
+        missing = extras.without_realtime(by_report, as_of, window, "ever_reported", BY)
+        return extras.only_matched(extras.match_extras(missing, extra_runs))
+    if name == "journeys":
+        return by_report.where(days.in_last_days(day, as_of, window))
+    raise ValueError(f"no sheet is named {name!r}")
+
+
+def bundle_reports(by_report: DataFrame, stops: DataFrame, extra_runs: DataFrame, *spans, **options) -> dict[str, DataFrame]:
+    """Every sheet of ``bundle_sheet``, keyed by sheet."""
+    return {
+        name: bundle_sheet(name, by_report, stops, extra_runs, *spans, **options)
+        for name in SHEET_ORDER
     }
 
 

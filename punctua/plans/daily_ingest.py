@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from punctua.functions.days import as_day
 from punctua.operators.delays import reports_with_station_names
 from punctua.schemas import struct
 from punctua.sources import archive_xml, day_files
@@ -19,34 +19,65 @@ FLATTEN = {
 
 def delay_matrix(archive: DataFrame) -> DataFrame:
     """Delay reports with station names, from one archive."""
-    reports = archive_xml.delay_reports_from_archive(archive)
+    reports = archive_xml.delay_reports_from_archive(archive, number_as_text=True)
     named = reports_with_station_names(reports, archive_xml.stations_from_archive(archive))
     return named.select(*struct("delay_reports").fieldNames())
 
 
+REJECTED = "rejected"
+
+
+class RejectedElements(ValueError):
+    """Elements of a delivery could not be used; no table was written."""
+
+
+def store_delivery(
+    archive: DataFrame,
+    target: str,
+    delivery_day: str,
+    tables: tuple[str, ...] = ("journeys", "stop_events"),
+    allow_rejected: bool = False,
+) -> dict[str, str]:
+    """Write the tables of one delivery below ``target`` and return their paths.
+
+    Elements that no table can take go to the table ``rejected``, which is
+    written first and always; if it has rows, nothing else is written unless
+    ``allow_rejected``. The same delivery day again replaces that delivery in
+    every table; all others stay.
+    """
+    spark, target = archive.sparkSession, target.rstrip("/")
+    day = as_day(delivery_day).isoformat()
+    aside = f"{target}/{REJECTED}/{day_files.DELIVERY}={day}"
+    archive_xml.rejected(archive).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).parquet(aside)
+    found = spark.read.parquet(aside).count()
+    if found and not allow_rejected:
+        raise RejectedElements(f"{found} elements of {day} cannot be used, see {aside}")
+    written = {REJECTED: f"{target}/{REJECTED}"}
+    for table in tables:
+        rows = delay_matrix(archive) if table == "delay_reports" else FLATTEN[table](archive)
+        written[table] = f"{target}/{table}"
+        day_files.write_days(rows, written[table], day)
+    return written
+
+
 def ingest_archive(
     spark: SparkSession,
     paths: str | list[str],
     target: str,
+    delivery_day: str,
     tables: tuple[str, ...] = ("journeys", "stop_events"),
-    day: str | None = None,
+    allow_rejected: bool = False,
 ) -> dict[str, str]:
-    """Write the tables of archive files below ``target`` and return their paths.
+    """``store_delivery`` of archive files.
 
-    Running a day again replaces that day. ``day`` keeps other days out. The
-    parsed elements are kept on the executors' disks while the tables are
+    The parsed elements are kept on the executors' disks while the tables are
     written, as parsing costs far more than reading them back; what a lost
     executor held is parsed again.
     """
     archive = archive_xml.read_archive(spark, paths).persist(StorageLevel.DISK_ONLY)
-    written = {}
     try:
-        for table in tables:
-            rows = delay_matrix(archive) if table == "delay_reports" else FLATTEN[table](archive)
-            if day is not None:
-                rows = rows.where(F.col("operating_day") == F.lit(day).cast("date"))
-            written[table] = f"{target.rstrip('/')}/{table}"
-            day_files.write_days(rows, written[table])
+        return store_delivery(archive, target, delivery_day, tables, allow_rejected)
     finally:
         archive.unpersist()
-    return written

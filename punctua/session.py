@@ -22,6 +22,7 @@ DEFAULTS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
+_MADE: list[str] = []
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -57,4 +58,17 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the executors")
         root = tempfile.mkdtemp(prefix="punctua-")
-    return f"{root.rstrip('/')}/punctua/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/punctua/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append(folder)
+    return folder
+
+
+def clear_shared_folders(spark: SparkSession) -> None:
+    """Delete what ``shared_folder`` has named so far in this process.
+
+    Results that read these folders lazily must have been written or collected
+    before: the job that uses a result calls this, not the function that built it.
+    """
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,4 +1,4 @@
-"""Parquet day tables: aligned reads, idempotent day writes."""
+"""Parquet day tables: aligned reads, deliveries stored so that a repeated one replaces itself."""
 
 from __future__ import annotations
 
@@ -17,10 +17,11 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from punctua.functions.days import as_day
 from punctua.functions.text import line_id_padded
 from punctua.schemas import OLD_NAMES, TABLES, struct
 
-SOURCE_FILE = "source_file"
+SOURCE_FILE, DELIVERY = "source_file", "delivery_day"
 
 
 def _convert(name: str, have: DataType, want: DataType) -> Column:
@@ -62,16 +63,24 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 
 def read_day_files(
-    spark: SparkSession, table: str, globs: list[str], source_file: bool = False
+    spark: SparkSession,
+    table: str,
+    globs: list[str],
+    source_file: bool = False,
+    schemas: dict[str, str] | None = None,
 ) -> DataFrame:
     """Union of day files by column name, in the declared types of ``table``.
 
     Give one glob per generation of files: within a glob the stored types are
-    equal, across globs they may differ. Old column names are understood.
+    equal, across globs they may differ. Old column names are understood. A
+    glob named in ``schemas`` is read with that schema, the others by merging
+    the footers of their files.
     """
     frames = []
     for glob in globs:
-        part = spark.read.option("mergeSchema", "true").parquet(glob)
+        known = (schemas or {}).get(glob)
+        read = spark.read.schema(known) if known else spark.read.option("mergeSchema", "true")
+        part = read.parquet(glob)
         if source_file:
             part = part.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
         part = align(part, struct(table), OLD_NAMES.get(table))
@@ -86,29 +95,74 @@ def with_short_line_id(df: DataFrame) -> DataFrame:
     return df.withColumn("line_id_short", line_id_padded(F.col("line_id")))
 
 
-def read_days(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """A table written by ``write_days``; day predicates prune its folders."""
-    return spark.read.schema(TABLES[table]).parquet(path)
+def read_days(
+    spark: SparkSession, table: str, path: str, delivery_day: bool = False
+) -> DataFrame:
+    """All deliveries of a table written by ``write_days``; day predicates prune its folders.
+
+    ``delivery_day`` adds the delivery each row came with.
+    """
+    stored = spark.read.schema(f"{TABLES[table]}, {DELIVERY} date").parquet(path)
+    return stored if delivery_day else stored.drop(DELIVERY)
 
 
 def read_day(spark: SparkSession, table: str, path: str, day: str) -> DataFrame:
-    """One operating day of a table."""
+    """One operating day of a table, from all deliveries."""
     return read_days(spark, table, path).where(F.col("operating_day") == F.lit(day).cast("date"))
 
 
-def write_days(df: DataFrame, path: str, sort_by: tuple[str, ...] = ("line_id",)) -> None:
-    """Replace the days ``df`` carries and leave all others alone.
+def is_stream_table(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming file sink keeps its log there; readers then see only its files."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
+    return log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log)
 
-    The rebalance keeps a day's rows together where they are few and splits a
-    large day over several tasks and files; sorting inside the tasks lets row
-    groups be skipped by line.
-    """
+
+def _written(df: DataFrame, path: str, partitions: tuple[str, ...], sort_by: tuple[str, ...]) -> None:
     keys = [c for c in sort_by if c in df.columns]
     (
-        df.hint("rebalance", "operating_day")
-        .sortWithinPartitions("operating_day", *keys)
+        df.hint("rebalance", *partitions)
+        .sortWithinPartitions(*partitions, *keys)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("operating_day")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partitions)
         .parquet(path)
     )
+
+
+def write_days(
+    df: DataFrame, path: str, delivery_day: str, sort_by: tuple[str, ...] = ("line_id",)
+) -> None:
+    """Store one delivery; the same delivery day again replaces it, nothing else is touched.
+
+    A delivery may hold rows of any operating days: they lie beside those that
+    other deliveries brought for the same days.
+
+    The rebalance keeps a day's rows together where they are few and splits a
+    large day over several tasks and files; sorting inside the tasks lets row
+    groups be skipped by line.
+    """
+    if is_stream_table(df.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream; give deliveries a folder of their own")
+    day = as_day(delivery_day).isoformat()
+    _written(df.drop(DELIVERY), f"{path.rstrip('/')}/{DELIVERY}={day}", ("operating_day",), sort_by)
+
+
+def migrate_day_files(
+    spark: SparkSession,
+    table: str,
+    globs: list[str],
+    path: str,
+    schemas: dict[str, str] | None = None,
+) -> DataFrame:
+    """Store old day files once as a table of ``write_days`` and return it.
+
+    Each operating day counts as a delivery of its own. ``schemas`` gives the
+    stored schema of a glob; without it the footers of all its files are read
+    and merged. Converted columns cannot be pushed into old files, so every
+    later read should go to the result. Rows whose day cannot be read stay in
+    the partition without a day.
+    """
+    rows = read_day_files(spark, table, globs, schemas=schemas)
+    dated = rows.withColumn(DELIVERY, F.col("operating_day"))
+    _written(dated, path, (DELIVERY, "operating_day"), ("line_id",))
+    return read_days(spark, table, path)

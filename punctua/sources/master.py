@@ -26,7 +26,7 @@ def active_lines(raw: DataFrame, rt_operator: bool = False) -> DataFrame:
 
 
 def read_lines_jdbc(
-    spark: SparkSession, url: str, table: str = "basis.linien", **properties: str
+    spark: SparkSession, url: str, table: str, **properties: str
 ) -> DataFrame:
     """Lines from a relational database; projection and filter run in the database."""
     raw = spark.read.format("jdbc").options(url=url, dbtable=table, **properties).load()
@@ -34,7 +34,7 @@ def read_lines_jdbc(
 
 
 def read_bundles_jdbc(
-    spark: SparkSession, url: str, table: str = "basis.lin_buendel", **properties: str
+    spark: SparkSession, url: str, table: str, **properties: str
 ) -> DataFrame:
     """The bundle table as it is."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **properties).load()

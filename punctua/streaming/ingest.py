@@ -1,41 +1,94 @@
-"""Newly landed archive files to day tables, each file once.
+"""Newly landed archive files: a stream lands each file once, a batch step serves deliveries.
 
-The rows are flattened without state: no watermark or window is needed. The
-file source remembers in the checkpoint which files it has read, and the file
-sink commits each batch as a whole, so a restarted run repeats nothing.
+The stream is stateless; no watermark or window is needed. The file source
+remembers in the checkpoint which files it has read, and the file sink commits
+each batch as a whole, so a restarted run repeats nothing. Its log makes the
+landing table unfit for batch writes; what reports read is therefore written
+by ``serve_deliveries`` through the same code as the daily batch job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from punctua.plans.daily_ingest import FLATTEN
-from punctua.sources.archive_xml import stream_archive
+from punctua.plans.daily_ingest import store_delivery
+from punctua.sources import archive_xml, day_files
 
+LANDED = f"""element string, {archive_xml.UNENDED} string, {archive_xml.SOURCE_FILE} string,
+    arrived_at timestamp, arrival string, {day_files.DELIVERY} date"""
+# The day in a file's path, and what tells two arrivals of one delivery apart.
+DAY_IN_PATH = r"(\d{4}-\d{2}-\d{2})"
+WHOLE_PATH = r"^(.*)$"
 
-def ingest_new_files(
+
+def land_new_files(
     spark: SparkSession,
     folder: str,
-    target: str,
+    landing: str,
     checkpoint: str,
-    table: str = "journeys",
-    pieces_per_day: int = 8,
+    day_pattern: str = DAY_IN_PATH,
+    arrival_pattern: str = WHOLE_PATH,
 ) -> StreamingQuery:
-    """Append what has landed since the last run, then stop.
+    """Append the elements of files that landed since the last run, then stop.
 
-    ``checkpoint`` must be a lasting folder of this job alone. A day's rows
-    are written by up to ``pieces_per_day`` tasks: few files where many days
-    arrive at once, and no single task where one day is large.
+    ``checkpoint`` must be a lasting folder of this job alone. A file's
+    delivery day is the last match of ``day_pattern`` in its path, or else the
+    day of its arrival. Each file is an arrival of its own; if deliveries come
+    in several files, let ``arrival_pattern`` pick what they have in common.
+    The tasks follow the size of the files; nothing is shuffled.
     """
-    rows = FLATTEN[table](stream_archive(spark, folder))
-    piece = F.pmod(F.xxhash64("line_id", "journey_no"), F.lit(pieces_per_day))
+    path = F.col(archive_xml.SOURCE_FILE)
+    named = F.element_at(F.regexp_extract_all(path, F.lit(day_pattern), 1), -1).try_cast("date")
+    rows = archive_xml.stream_candidates(spark, folder)
     return (
-        rows.repartition(F.col("operating_day"), piece)
+        rows.withColumn("arrival", F.regexp_extract(path, arrival_pattern, 1))
+        .withColumn(day_files.DELIVERY, F.coalesce(named, F.to_date("arrived_at")))
         .writeStream.format("parquet")
-        .partitionBy("operating_day")
+        .partitionBy(day_files.DELIVERY)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start(landing)
     )
+
+
+def newest_arrivals(landed: DataFrame) -> DataFrame:
+    """The elements of the last arrival of each delivery day; of equal times, the last name."""
+    day = day_files.DELIVERY
+    arrivals = landed.groupBy(day, "arrival").agg(F.max("arrived_at").alias("at"))
+    newest = arrivals.groupBy(day).agg(F.max(F.struct("at", "arrival"))["arrival"].alias("arrival"))
+    return landed.join(newest, [day, "arrival"], "left_semi")
+
+
+def serve_deliveries(
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    tables: tuple[str, ...] = ("journeys", "stop_events"),
+    since: str | None = None,
+    allow_rejected: bool = False,
+) -> list[str]:
+    """Store the newest arrival of each landed delivery day, and return these days.
+
+    ``since``: only deliveries from this day on. A delivery already stored is
+    replaced; deliveries that came by batch alone stay. The loop runs over
+    delivery days, each a batch job of its own size.
+    """
+    landed = spark.read.schema(LANDED).parquet(landing)
+    if since is not None:
+        landed = landed.where(F.col(day_files.DELIVERY) >= F.lit(since).cast("date"))
+    newest = newest_arrivals(landed)
+    served = [
+        row[0].isoformat()
+        for row in landed.select(day_files.DELIVERY).distinct().orderBy(day_files.DELIVERY).collect()
+    ]
+    for day in served:
+        one = newest.where(F.col(day_files.DELIVERY) == F.lit(day).cast("date"))
+        archive = archive_xml.parse_archive(one, "element").persist(StorageLevel.DISK_ONLY)
+        try:
+            store_delivery(archive, target, day, tables, allow_rejected)
+        finally:
+            archive.unpersist()
+    return served

@@ -27,6 +27,9 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    from punctua.session import clear_shared_folders
+
+    clear_shared_folders(session)
     session.stop()
 
 

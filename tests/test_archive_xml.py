@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from punctua.plans.daily_ingest import delay_matrix, ingest_archive
+from punctua.plans.daily_ingest import RejectedElements, delay_matrix, ingest_archive
 from punctua.sources import archive_xml as ax
 from punctua.sources import day_files
+from punctua.streaming.ingest import land_new_files, serve_deliveries
 
 TAG = ax.ROW_TAG
 FULL = f"""<{TAG} kind="x">
@@ -52,7 +54,7 @@ ENVELOPE = (
 
 def write(tmp_path, *elements, name="a.xml"):
     folder = tmp_path / "xml"
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(exist_ok=True, parents=True)
     (folder / name).write_text(ENVELOPE.format(t=TAG, body="\n".join(elements)), encoding="utf-8")
     return str(folder)
 
@@ -93,11 +95,21 @@ def test_delay_reports(spark, tmp_path):
     assert {r.station_name for r in got} == {"A Markt"}
 
 
-def test_broken_record_is_kept_aside(spark, tmp_path):
-    archive = ax.read_archive(spark, write(tmp_path, FULL, BROKEN, BARE)).cache()
-    assert ax.journeys_from_archive(archive).count() == 2
-    (record,) = ax.broken_records(archive).collect()
-    assert "<journeyID>9</journeyId>" in record.record
+def test_every_start_tag_is_used_or_set_aside(spark, tmp_path):
+    spaced = BARE.replace(f"</{TAG}>", f"</{TAG} >")
+    cut_off = FULL[:900]
+    undated = BARE.replace("2024-01-11T", "soon")
+    other = f"<{TAG}Other><journey/></{TAG}Other>"
+    folder = write(tmp_path, spaced, FULL, BROKEN, other, cut_off, BARE, undated, f"<{TAG}/>", f"<{TAG} a='1'></{TAG}>")
+    (tmp_path / "xml" / "b.xml").write_text(BARE[:-5], encoding="utf-8")
+    archive = ax.read_archive(spark, folder).cache()
+    assert sorted(r.journey_no for r in ax.journeys_from_archive(archive).collect()) == ["1630018", "7", "7"]
+    aside = ax.rejected(archive).collect()
+    assert sorted(r.reason for r in aside) == [
+        "does not parse", "no end tag", "no end tag", "no end tag", "no journey", "no operating day",
+    ]
+    assert {r.source_file.rsplit("/", 1)[1] for r in aside} == {"a.xml", "b.xml"}
+    assert any("<journeyID>9</journeyId>" in r.record for r in aside)
 
 
 def test_one_file_is_shared_by_tasks(spark, tmp_path):
@@ -113,40 +125,58 @@ def test_one_file_is_shared_by_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_ingest_replaces_only_its_days(spark, tmp_path):
+def test_ingest_replaces_only_its_delivery(spark, tmp_path):
     target = str(tmp_path / "tables")
     folder = write(tmp_path, FULL, BARE)
-    paths = ingest_archive(spark, folder, target, ("journeys", "stop_events", "delay_reports"))
-    ingest_archive(spark, folder, target, ("journeys",), day="2024-01-10")
-    journeys = day_files.read_days(spark, "journeys", paths["journeys"])
-    assert journeys.count() == 2
+    tables = ("journeys", "stop_events", "delay_reports")
+    paths = ingest_archive(spark, folder, target, "2024-01-12", tables)
+    ingest_archive(spark, folder, target, "2024-01-12", ("journeys",))
+    ingest_archive(spark, folder, target, "2024-01-13", ("journeys",))
+    assert day_files.read_days(spark, "journeys", paths["journeys"]).count() == 4
     assert day_files.read_days(spark, "stop_events", paths["stop_events"]).count() == 2
     assert day_files.read_days(spark, "delay_reports", paths["delay_reports"]).count() == 3
     one = day_files.read_day(spark, "journeys", paths["journeys"], "2024-01-11")
-    assert [r.journey_no for r in one.collect()] == ["7"]
+    assert [r.journey_no for r in one.collect()] == ["7", "7"]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(operating_day" in plan
 
 
-def test_stream_reads_each_file_once(spark, tmp_path):
-    from punctua.streaming.ingest import ingest_new_files
-
-    folder = write(tmp_path, FULL, name="a.xml")
-    target, progress = str(tmp_path / "t"), str(tmp_path / "p")
-    ingest_new_files(spark, folder, target, progress).awaitTermination()
-    assert day_files.read_days(spark, "journeys", target).count() == 1
-    write(tmp_path, BARE, BROKEN, name="b.xml")
-    ingest_new_files(spark, folder, target, progress).awaitTermination()
-    ingest_new_files(spark, folder, target, progress).awaitTermination()
-    got = day_files.read_days(spark, "journeys", target)
-    assert sorted(r.journey_no for r in got.collect()) == ["1630018", "7"]
+def test_rejects_stop_the_job_unless_allowed(spark, tmp_path):
+    target, folder = str(tmp_path / "tables"), write(tmp_path, FULL, BROKEN)
+    with pytest.raises(RejectedElements, match="1 elements of 2024-01-12"):
+        ingest_archive(spark, folder, target, "2024-01-12", ("journeys",))
+    assert not (tmp_path / "tables" / "journeys").exists()
+    paths = ingest_archive(spark, folder, target, "2024-01-12", ("journeys",), allow_rejected=True)
+    assert day_files.read_days(spark, "journeys", paths["journeys"]).count() == 1
+    assert [r.reason for r in spark.read.parquet(paths["rejected"]).collect()] == ["does not parse"]
+
+
+def test_stream_and_batch_share_a_table(spark, tmp_path):
+    landing, progress, target = (str(tmp_path / n) for n in ("landing", "progress", "tables"))
+    folder = write(tmp_path, FULL, BROKEN, name="export_2024-01-12.xml")
+    land_new_files(spark, folder, landing, progress).awaitTermination()
+    land_new_files(spark, folder, landing, progress).awaitTermination()
+    serve = lambda: serve_deliveries(spark, landing, target, ("journeys", "delay_reports"), allow_rejected=True)
+    assert serve() == ["2024-01-12"]
+    read = lambda table: day_files.read_days(spark, table, f"{target}/{table}")
+    assert read("journeys").count() == 1 and read("delay_reports").count() == 3
+    ingest_archive(spark, write(tmp_path / "batch", BARE), target, "2024-01-14", ("journeys",))
+    # the delivery comes again in another file, and a new one beside it
+    write(tmp_path, FULL, BARE, name="export_2024-01-12_again.xml")
+    write(tmp_path, BARE, name="export_2024-01-13.xml")
+    land_new_files(spark, folder, landing, progress).awaitTermination()
+    assert serve() == ["2024-01-12", "2024-01-13"]
+    assert sorted(r.journey_no for r in read("journeys").collect()) == ["1630018", "7", "7", "7"]
+    assert spark.read.parquet(f"{target}/rejected").count() == 0
+    with pytest.raises(ValueError, match="stream"):
+        day_files.write_days(read("journeys"), landing, "2024-01-12")
 
 
 def test_daily_jobs_from_the_command_line(spark, tmp_path):
     from punctua.__main__ import main
 
     folder, tables = write(tmp_path, FULL, BARE), str(tmp_path / "tables")
-    main(["ingest", folder, "--target", tables, "--tables", "journeys", "extras", "stop_events"])
+    main(["ingest", folder, "--delivery-day", "2024-01-12", "--target", tables, "--tables", "journeys", "extras", "stop_events", "delay_reports"])
     lines = tmp_path / "lines.csv"
     lines.write_text("linie;buendel;ebene;dlid;id\n630;HB;1;de:X:630;7\nx;HB Y;3;a:b:;8\n", encoding="utf-8")
     paths = main(["report", "--tables", tables, "--lines", str(lines), "--target", str(tmp_path / "out"), "--as-of", "2024-01-12"])
@@ -157,3 +187,11 @@ def test_daily_jobs_from_the_command_line(spark, tmp_path):
     assert [r.idx for r in stops.orderBy("idx").collect()] == [1, 2]
     pivot = spark.read.parquet(paths["line_by_day"]).where("report_bundle = 'HB' and tier = '1'").first()
     assert pivot["2024-01-10"] == 1.0 and pivot["2024-01-12"] is None
+    lists = main(["delays", "--tables", tables, "--target", str(tmp_path / "delays"), "--as-of", "2024-01-12", "--reports"])
+    assert set(lists) == {"flat_zero", "boxplots", "repeated_stops", "segments", "reports_with_stops"}
+    assert spark.read.parquet(lists["segments"]).count() == 1
+    assert spark.read.parquet(lists["reports_with_stops"]).count() == 2
+    targets = tmp_path / "targets.csv"
+    targets.write_text("buen;project_url;folder_id\n'hb';'https://example.org/';12\n", encoding="utf-8")
+    lists = main(["publish", "--lines", str(lines), "--targets", str(targets), "--target", str(tmp_path / "published")])
+    assert [spark.read.parquet(lists[n]).count() for n in ("published", "unpublished")] == [1, 1]

@@ -80,14 +80,52 @@ def test_large_day_is_split_and_small_days_are_not(spark, rows, tmp_path):
             F.lit("x").alias("line_id"),
         )
         target = str(tmp_path / "t")
-        day_files.write_days(big.unionByName(small), target)
+        day_files.write_days(big.unionByName(small), target, "2024-03-01")
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    files = lambda day: len(list(Path(target, f"operating_day={day}").glob("*.parquet")))
+    files = lambda day: len(list(Path(target, "delivery_day=2024-03-01", f"operating_day={day}").glob("*.parquet")))
     assert files("2024-01-10") > 1
     assert files("2024-02-03") == 1
 
 
+def stored(spark, path):
+    got = day_files.read_days(spark, "journeys", path, delivery_day=True)
+    return sorted(((str(r.delivery_day), str(r.operating_day), r.journey_no) for r in got.collect()))
+
+
+def journeys_of(spark, *days_and_numbers):
+    data = [(dt.date.fromisoformat(d) if d else None, n) for d, n in days_and_numbers]
+    return day_files.align(spark.createDataFrame(data, "operating_day date, journey_no string"), schemas.struct("journeys"))
+
+
+def test_deliveries_leave_each_other_alone(spark, tmp_path):
+    target = str(tmp_path / "t")
+    first = journeys_of(spark, *[("2024-01-01", str(n)) for n in range(5)], (None, "x"))
+    day_files.write_days(first, target, "2024-01-01")
+    day_files.write_days(journeys_of(spark, ("2024-01-02", "6"), ("2024-01-01", "late"), (None, "y")), target, "2024-01-02")
+    assert len(stored(spark, target)) == 9
+    # the same delivery again, without the day it had: nothing of it is left over
+    day_files.write_days(journeys_of(spark, ("2024-01-02", "7")), target, "2024-01-02")
+    assert [r for r in stored(spark, target) if r[0] == "2024-01-02"] == [("2024-01-02", "2024-01-02", "7")]
+    assert len(stored(spark, target)) == 7
+    assert day_files.read_day(spark, "journeys", target, "2024-01-01").count() == 5
+
+
+def test_migrated_days_prune(spark, tmp_path):
+    for day in ("2024-01-10", "2024-01-11"):
+        frame = pd.DataFrame({"datum": [day], "fnr": [day[-2:]], "lineid": ["a:b:c"]})
+        frame.to_parquet(tmp_path / f"fahrten_{day}.parquet")
+    pd.DataFrame({"datum": ["soon"], "fnr": ["x"], "lineid": ["a"]}).to_parquet(tmp_path / "fahrten_x.parquet")
+    glob = f"{tmp_path}/fahrten*.parquet"
+    for known in (None, {glob: "datum string, fnr string, lineid string"}):
+        target = str(tmp_path / f"t{known is None}")
+        got = day_files.migrate_day_files(spark, "journeys", [glob], target, known)
+        assert sorted(r.journey_no for r in got.collect()) == ["10", "11", "x"]
+        one = day_files.read_day(spark, "journeys", target, "2024-01-11")
+        assert [r.journey_no for r in one.collect()] == ["11"]
+        assert "PartitionFilters: [isnotnull(operating_day" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def raw_lines(rows):
     return rows(
         "nummer int, buendel string, ebene string, dlid string, id int, aktiv boolean",
@@ -119,12 +157,12 @@ def test_jdbc_reader_options(rows):
     class Session:
         read = Reader()
 
-    lines = master.read_lines_jdbc(Session, "jdbc:postgresql://db/x", user="u")
+    lines = master.read_lines_jdbc(Session, "jdbc:postgresql://db/x", "some.lines", user="u")
     assert Session.read.name == "jdbc"
-    assert Session.read.given == {"url": "jdbc:postgresql://db/x", "dbtable": "basis.linien", "user": "u"}
+    assert Session.read.given == {"url": "jdbc:postgresql://db/x", "dbtable": "some.lines", "user": "u"}
     assert lines.count() == 1
-    master.read_bundles_jdbc(Session, "jdbc:postgresql://db/x")
-    assert Session.read.given["dbtable"] == "basis.lin_buendel"
+    master.read_bundles_jdbc(Session, "jdbc:postgresql://db/x", "some.bundles")
+    assert Session.read.given["dbtable"] == "some.bundles"
 
 
 def test_csv_lists(spark, rows, tmp_path):

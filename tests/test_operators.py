@@ -78,9 +78,6 @@ def test_pivot_refuses_duplicates(spark, rows):
     assert [tuple(r) for r in got.collect()] == [("2024-01-02", None, 2.0), ("2024-01-01", 1.0, None)]
     with pytest.raises(Exception, match="more than one value"):
         pivots.day_by_bundle(rates.union(rates), ["A", "B"]).collect()
-    with pytest.raises(ValueError):
-        pivots.bundle_columns(rates, most=1)
-    assert pivots.bundle_columns(rates) == ["A", "B"]
 
 
 def test_line_pivot_adds_rates_of_same_name(rows):
@@ -235,6 +232,10 @@ def test_reports_with_stops_keeps_rows_without_keys(rows):
         [("t1", 3), ("t1", 9), ("t2", 3), ("t2", 9), ("t3", None), ("t4", None)]
     )
     assert delays.reports_with_stops(reports, stops).count() == 7
+    # '' stands for a missing number, unless it is said to match
+    reports, stops = (d.withColumn("journey_no", F.lit("")) for d in (reports, stops))
+    assert delays.reports_with_stops(reports, stops, "S").where("idx is not null").count() == 0
+    assert delays.reports_with_stops(reports, stops, "S", match_empty=True).where("idx is not null").count() == 9
 
 
 def test_station_names_fan_out(rows):
@@ -243,12 +244,15 @@ def test_station_names_fan_out(rows):
     stations = rows("station_no string, lat double, lon double, station_name string", [("1", 1.0, 1.0, "A"), ("1", 1.0, 2.0, "A"), ("1", 1.0, 1.0, "B")])
     got = delays.reports_with_station_names(reports, stations, ordered=True).collect()
     assert sorted((r.station_no, r.station_name or "") for r in got) == [(1, "A"), (1, "A"), (1, "B"), (2, "")]
+    texts = reports.withColumn("station_no", F.lit("12"))
+    two = rows("station_no string, station_name string", [("12", "A"), ("0012", "B")])
+    assert {(r.station_no, r.station_name) for r in delays.reports_with_station_names(texts, two).collect()} == {(12, "A")}
 
 
 def brute_next(data):
     groups = {}
     for day, line, no, idx, name in data:
-        if no is not None:
+        if no:
             groups.setdefault((day, line, no), []).append((idx, name))
     out = set()
     for key, stops in groups.items():
@@ -257,16 +261,15 @@ def brute_next(data):
     return out
 
 
-@pytest.mark.parametrize("piece", [1, 2, 3, 1 << 16])
-def test_next_stops_over_pieces(rows, piece):
-    random.seed(piece)
+def test_next_stops(rows):
+    random.seed(5)
     data = []
     for day in (D(2024, 1, 1), D(2024, 1, 2)):
         for no in ("1", "2", "", None):
             for idx in random.sample(range(30), random.randrange(1, 20)):
                 data.append((day, "l", no, idx, f"s{idx}"))
     stops = rows("operating_day date, line_id string, journey_no string, idx int, station_name string", data)
-    got = segments.next_stops(stops, ("idx", "station_name"), piece)
+    got = segments.next_stops(stops, ("idx", "station_name"))
     assert {tuple(r) for r in got.select("operating_day", "line_id", "journey_no", "idx", "idx_next", "station_name_next").collect()} == brute_next(data)
     assert got.count() == len(brute_next(data))
 
@@ -297,6 +300,24 @@ def test_one_row_per_stop(rows):
     got = segments.one_row_per_stop(stops, ("v",))
     assert got.columns == stops.columns
     assert sorted((r.idx, r.v) for r in got.collect()) == [(1, 3), (2, 9)]
+    # stops without a journey number may be of many journeys: none is taken for a copy
+    loose = rows(
+        "operating_day date, line_id string, journey_no string, idx int, v int",
+        [(D(2024, 1, 1), "l", no, 1, v) for no in ("", None) for v in (1, 2)],
+    )
+    assert segments.one_row_per_stop(loose, ("v",)).count() == 4
+    assert segments.repeated_stops(loose).count() == 0
+
+
+def test_repeated_stops_are_told_and_not_linked_to_each_other(rows):
+    stops = rows(
+        "operating_day date, line_id string, journey_no string, idx int, station_no string",
+        [(D(2024, 1, 1), "l", "1", idx, s) for idx, s in ((1, "a"), (2, "b"), (2, "c"), (3, "d"))],
+    )
+    (told,) = segments.repeated_stops(stops).collect()
+    assert (told.idx, told.rows) == (2, 2)
+    got = segments.next_stops(stops, ("idx", "station_no")).collect()
+    assert sorted((r.station_no, r.station_no_next) for r in got) == [("a", "b"), ("c", "d")]
 
 
 def test_listing(rows):

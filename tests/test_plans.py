@@ -9,7 +9,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from punctua.functions import days
-from punctua.operators import bundles, coverage, pivots, segments
+from punctua.operators import bundles, coverage, delays, pivots, segments
 from workload import QUERIES
 from workload import standins as st
 
@@ -18,7 +18,10 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-WRITING = {"streamed_archive_journeys", "rewritten_days", "materialised_result"}
+WRITING = {
+    "streamed_archive_journeys", "rewritten_days", "redelivered_days", "archive_rejects",
+    "day_files_of_two_generations", "materialised_result",
+}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
@@ -32,14 +35,14 @@ def stored_journeys(spark, tmp_path):
     from punctua.sources import day_files
 
     rows = st.journeys(spark, SF_DIR).withColumn("operating_day", F.trunc("operating_day", "year"))
-    day_files.write_days(rows, str(tmp_path / "journeys"))
+    day_files.write_days(rows, str(tmp_path / "journeys"), st.AS_OF)
     return day_files.read_days(spark, "journeys", str(tmp_path / "journeys"))
 
 
 def test_window_prunes_days_and_columns(spark, tmp_path):
     journeys = stored_journeys(spark, tmp_path)
     text = plan(coverage.missing_share(journeys, st.AS_OF, 400, by_journey=False))
-    assert re.search(r"PartitionFilters: \[isnotnull\(operating_day#\d+\), \(operating_day#\d+ >= 2000-06-27\)\]", text)
+    assert re.search(r"PartitionFilters: \[isnotnull\(operating_day#\d+\), \(operating_day#\d+ >= 2000-06-27\), \(operating_day#\d+ <= 2001-08-01\)\]", text)
     assert "ReadSchema: struct<has_realtime:boolean,line_short:string>" in text
 
 
@@ -84,14 +87,31 @@ def test_coverage_shuffles_counts_only(spark):
     assert counts.count("Exchange hashpartitioning") == 1
 
 
-def test_late_stop_heads_are_pushed_to_the_scan(spark, tmp_path):
+def test_next_stops_scan_and_shuffle_once(spark, tmp_path):
     columns = ("operating_day", "line_id", "journey_no", "idx", "station_no")
     st.stop_events(spark, SF_DIR).select(*columns).write.parquet(str(tmp_path / "stops"))
     stops = spark.read.parquet(str(tmp_path / "stops"))
     text = plan(segments.next_stops(stops, ("idx", "station_no")))
-    assert f"GreaterThanOrEqual(idx,{segments.PIECE})" in text
-    # one shuffle of the stops; the others carry the few heads
-    assert len(re.findall(r"Exchange hashpartitioning\(operating_day#\d+, line_id#\d+, journey_no#\d+, piece#\d+", text)) == 2
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+    assert "Join" not in text and "IsNotNull(idx)" in text
+
+
+def test_reports_meet_stations_without_a_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reports, stations = st.delay_reports(spark, SF_DIR), st.stations(spark, SF_DIR)
+        text = plan(delays.reports_with_station_names(reports, stations))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+@pytest.mark.parametrize("name", ["pivot_line_by_day", "pivot_line_by_day_weighted", "report_line_by_day"])
+def test_pivots_filter_their_span_at_the_scan(spark, name):
+    text = plan(QUERIES[name].build(spark, SF_DIR))
+    scan = text[: text.index("orders.parquet")]
+    assert re.search(r">= 2001-07-\d\d\).*<= 2001-0[78]-\d\d\)", scan)
 
 
 def test_copies_are_dropped_before_the_shuffle(spark):

@@ -35,7 +35,7 @@ def every_bundle(spark, sf):
   SELECT operating_day::text AS day, bundle,
     round(count(*) FILTER (ever_reported) / count(*) * 100, 1) AS percent_rt
   FROM known_journeys
-  WHERE operating_day > DATE '2001-08-01' - 2500 AND tier IN ('1+', '1', '2', 'Stadt', 'Nacht')
+  WHERE operating_day > DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01' AND tier IN ('1+', '1', '2', 'Stadt', 'Nacht')
   GROUP BY ALL""")
 def bundle_coverage_by_day(spark, sf):
     journeys, lines = st.journeys(spark, sf), st.lines(spark, sf)
@@ -74,7 +74,7 @@ def line_coverage_on_day(spark, sf):
     FROM (
       SELECT operating_day, tier, count(*) AS n, count(*) FILTER (ever_reported) AS n_rt,
         CASE WHEN tier IN ('1+', '1', '2') THEN 'ebene_1_2' WHEN tier = '3' THEN 'ebene_3' ELSE 'andere' END AS tier_group
-      FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 GROUP BY ALL)
+      FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01' GROUP BY ALL)
     WHERE tier_group IN ('ebene_1_2', 'ebene_3') GROUP BY ALL)""")
 def incidents_by_day(spark, sf):
     return coverage.incidents_by_day(every_bundle(spark, sf), AS_OF, SPAN)
@@ -119,7 +119,7 @@ def incident_forms(spark, sf):
   , groups AS (
     SELECT operating_day, CASE WHEN tier IN ('1+', '1', '2') THEN '1_2' ELSE tier END AS tier_group,
       count(*) AS total, count(*) FILTER (ever_reported) AS total_rt
-    FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 GROUP BY ALL),
+    FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01' GROUP BY ALL),
   rates AS (SELECT *, total - total_rt AS missing, total_rt / total AS rate FROM groups)
   SELECT operating_day::text AS operating_day, tier_group, total, total_rt, missing, rate,
     CASE WHEN tier_group = '1_2' AND rate < 0.85::double
@@ -139,7 +139,7 @@ def contract_incidents_by_day(spark, sf):
   FROM (
     SELECT tier, line_short, journey_no, count(*) AS total, count(*) FILTER (has_realtime) AS total_rt,
       max(operating_day) FILTER (has_realtime) AS last_delivery
-    FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 GROUP BY ALL)
+    FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01' GROUP BY ALL)
   WHERE total - total_rt > 1 AND tier IN ('1+', '1', '2')""")
 def incomplete_journeys(spark, sf):
     return coverage.incomplete_journeys(every_bundle(spark, sf), AS_OF, SPAN)
@@ -151,7 +151,7 @@ def incomplete_journeys(spark, sf):
   FROM (
     SELECT tier, line_short, journey_no, count(*) AS total, count(*) FILTER (has_realtime) AS total_rt,
       max(operating_day) FILTER (ever_reported) AS last_delivery
-    FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 GROUP BY ALL)
+    FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01' GROUP BY ALL)
   WHERE total - total_rt > 1 AND tier IN ('1+', '1', '2', 'Nacht')""")
 def incomplete_journeys_by_ever_reported(spark, sf):
     return coverage.incomplete_journeys(
@@ -163,7 +163,7 @@ def incomplete_journeys_by_ever_reported(spark, sf):
   SELECT line_short, journey_no, min(operating_day)::text AS first_day, max(operating_day)::text AS last_day,
     count(*) AS total, count(*) FILTER (has_realtime = false) AS missing, missing / count(*) AS missing_share
   FROM journeys
-  WHERE line_id SIMILAR TO '.*(:3:|:17:|:22:).*' AND operating_day >= DATE '2001-08-01' - 2500
+  WHERE line_id SIMILAR TO '.*(:3:|:17:|:22:).*' AND operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01'
   GROUP BY line_short, journey_no HAVING count(*) FILTER (has_realtime = false) > 1""")
 def missing_share_by_journey(spark, sf):
     return coverage.missing_share(st.journeys(spark, sf), AS_OF, SPAN, ".*(:3:|:17:|:22:).*")
@@ -172,7 +172,7 @@ def missing_share_by_journey(spark, sf):
 @query("A10 P15", """
   SELECT line_short, min(operating_day)::text AS first_day, max(operating_day)::text AS last_day,
     count(*) AS total, count(*) FILTER (has_realtime = false) AS missing, missing / count(*) AS missing_share
-  FROM journeys WHERE operating_day >= DATE '2001-08-01' - 2500
+  FROM journeys WHERE operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01'
   GROUP BY line_short HAVING count(*) FILTER (has_realtime = false) > 1""")
 def missing_share_by_line(spark, sf):
     return coverage.missing_share(st.journeys(spark, sf), AS_OF, SPAN, by_journey=False)
@@ -183,8 +183,7 @@ def missing_share_by_line(spark, sf):
     count(*) FILTER (has_realtime) AS total_rt, {RATE} AS rate,
     (max(operating_day) FILTER (has_realtime))::text AS last_delivery
   FROM known_journeys
-  WHERE operating_day >= date_trunc('month', (date_trunc('month', DATE '2001-08-01') - interval 1 day)::date)
-    AND operating_day <= (date_trunc('month', DATE '2001-08-01') - interval 1 day)::date
+  WHERE operating_day BETWEEN DATE '{MONTH[0]}' AND DATE '{MONTH[1]}'
   GROUP BY operating_day, tier, line_short, line_id_short""")
 def line_coverage_previous_month(spark, sf):
     return coverage.line_coverage_by_day(every_bundle(spark, sf), *MONTH)
@@ -201,7 +200,7 @@ def line_coverage_all_days(spark, sf):
 
 @query("A14 P6 O1", """
   SELECT DISTINCT line_id_short, client_id, max(operating_day)::text AS last_day FROM journeys
-  WHERE operating_day >= DATE '2001-08-01' - 2500 GROUP BY ALL""")
+  WHERE operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01' GROUP BY ALL""")
 def latest_day_per_client(spark, sf):
     return coverage.latest_day_per_client(st.journeys(spark, sf), AS_OF, SPAN)
 
@@ -229,18 +228,20 @@ def line_share(spark, sf):
   SELECT * FROM (PIVOT (
     SELECT operating_day::text AS day, tier, line_short, line_id_short, count(*) AS total,
       count(*) FILTER (has_realtime) AS total_rt, {RATE} AS rate
-    FROM known_journeys GROUP BY operating_day, tier, line_short, line_id_short)
+    FROM known_journeys WHERE operating_day BETWEEN DATE '{MONTH[0]}' AND DATE '{MONTH[1]}'
+    GROUP BY operating_day, tier, line_short, line_id_short)
   ON day IN ({QUOTED_MONTH}) USING sum(rate) GROUP BY tier, line_short)""")
 def pivot_line_by_day(spark, sf):
-    rates = coverage.line_coverage_by_day(every_bundle(spark, sf), "1990-01-01", AS_OF)
+    rates = coverage.line_coverage_by_day(every_bundle(spark, sf), *MONTH)
     return pivots.line_by_day(rates, days.days_between(*MONTH))
 
 
 @query("A24 T9", f"""
   SELECT tier, line_short, {WEIGHTED_RECENT}
-  FROM (SELECT tier, line_short, operating_day::text AS day, has_realtime FROM known_journeys) GROUP BY tier, line_short""")
+  FROM (SELECT tier, line_short, operating_day::text AS day, has_realtime FROM known_journeys
+    WHERE operating_day BETWEEN DATE '{RECENT[0]}' AND DATE '{RECENT[-1]}') GROUP BY tier, line_short""")
 def pivot_line_by_day_weighted(spark, sf):
-    rates = coverage.line_coverage_by_day(every_bundle(spark, sf), "1990-01-01", AS_OF)
+    rates = coverage.line_coverage_by_day(every_bundle(spark, sf), RECENT[0], RECENT[-1])
     return pivots.weighted_line_by_day(rates, RECENT)
 
 
@@ -249,12 +250,12 @@ def pivot_line_by_day_weighted(spark, sf):
     SELECT operating_day::text AS day, bundle,
       round(count(*) FILTER (ever_reported) / count(*) * 100, 1) AS percent_rt
     FROM known_journeys
-    WHERE operating_day > DATE '2001-08-01' - 2500 AND tier IN ('1+', '1', '2', 'Stadt', 'Nacht')
+    WHERE operating_day > DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01' AND tier IN ('1+', '1', '2', 'Stadt', 'Nacht')
     GROUP BY operating_day, bundle)
   ON bundle IN ({", ".join(f"'{b}'" for b in BUNDLES)}) USING first(percent_rt) GROUP BY day)""")
 def pivot_day_by_bundle(spark, sf):
     rates = bundle_coverage_by_day(spark, sf)
-    return pivots.day_by_bundle(rates, pivots.bundle_columns(bundles.bundle_list(st.lines(spark, sf))))
+    return pivots.day_by_bundle(rates, BUNDLES)
 
 
 @query("A26 A6", f"""
@@ -331,13 +332,13 @@ def tier_groups(spark, sf):
 
 @query("P6", """
   SELECT line_short,
-    count(*) FILTER (operating_day >= DATE '2001-08-01' - 7) AS last_7,
-    count(*) FILTER (operating_day >= DATE '2001-08-01' - 21) AS last_21,
-    count(*) FILTER (operating_day >= DATE '2001-08-01' - 28) AS last_28,
-    count(*) FILTER (operating_day >= DATE '2001-08-01' - 30) AS last_30,
-    count(*) FILTER (operating_day >= DATE '2001-08-01' - 35) AS last_35,
-    count(*) FILTER (operating_day > DATE '2001-08-01' - 28) AS after_28,
-    count(*) FILTER (operating_day > DATE '2001-08-01' - 60) AS after_60,
+    count(*) FILTER (operating_day >= DATE '2001-08-01' - 7 AND operating_day <= DATE '2001-08-01') AS last_7,
+    count(*) FILTER (operating_day >= DATE '2001-08-01' - 21 AND operating_day <= DATE '2001-08-01') AS last_21,
+    count(*) FILTER (operating_day >= DATE '2001-08-01' - 28 AND operating_day <= DATE '2001-08-01') AS last_28,
+    count(*) FILTER (operating_day >= DATE '2001-08-01' - 30 AND operating_day <= DATE '2001-08-01') AS last_30,
+    count(*) FILTER (operating_day >= DATE '2001-08-01' - 35 AND operating_day <= DATE '2001-08-01') AS last_35,
+    count(*) FILTER (operating_day > DATE '2001-08-01' - 28 AND operating_day <= DATE '2001-08-01') AS after_28,
+    count(*) FILTER (operating_day > DATE '2001-08-01' - 60 AND operating_day <= DATE '2001-08-01') AS after_60,
     count(*) AS total
   FROM journeys GROUP BY ALL""")
 def rolling_window_counts(spark, sf):
@@ -349,22 +350,32 @@ def rolling_window_counts(spark, sf):
 
 @query("P6", """
   SELECT operating_day::text AS operating_day, journey_no, line_id FROM journeys
-  WHERE operating_day >= DATE '2001-08-01' - interval '365 days'""")
+  WHERE operating_day >= DATE '2001-08-01' - interval '365 days' AND operating_day <= DATE '2001-08-01'""")
 def rolling_window_rows(spark, sf):
     recent = st.journeys(spark, sf).where(days.in_last_days(F.col("operating_day"), AS_OF, 365))
     return recent.select("operating_day", "journey_no", "line_id")
 
 
+@query("P6 A6 C20", f"""
+  SELECT operating_day::text AS operating_day, tier_group, count(*)::int AS total,
+    (count(*) FILTER (ever_reported))::int AS total_rt, total_rt::float / total::float AS rate, {INCIDENTS} AS incidents
+  FROM (SELECT *, CASE WHEN tier IN ('1+', '1', '2') THEN 'ebene_1_2' WHEN tier = '3' THEN 'ebene_3' END AS tier_group
+    FROM known_journeys WHERE operating_day BETWEEN DATE '1998-06-15' - 300 AND DATE '1998-06-15')
+  WHERE tier_group IS NOT NULL GROUP BY operating_day, tier_group""")
+def incidents_of_a_past_date(spark, sf):
+    """Days after ``as_of`` are in the table and do not count."""
+    return coverage.incidents_by_day(every_bundle(spark, sf), "1998-06-15", 300, ordered=False)
+
+
 @query("P7", "SELECT operating_day::text AS operating_day, journey_no, line_id, has_realtime FROM journeys WHERE operating_day = DATE '2001-07-31'")
 def single_day_rows(spark, sf):
     day = st.journeys(spark, sf).where(days.on_day(F.col("operating_day"), AS_OF, 1))
     return day.select("operating_day", "journey_no", "line_id", "has_realtime")
 
 
-@query("P8", """
+@query("P8", f"""
   SELECT operating_day::text AS operating_day, journey_no, line_id FROM journeys
-  WHERE operating_day >= date_trunc('month', (date_trunc('month', DATE '2001-08-01') - interval 1 day)::date)
-    AND operating_day <= (date_trunc('month', DATE '2001-08-01') - interval 1 day)::date""")
+  WHERE operating_day BETWEEN DATE '{MONTH[0]}' AND DATE '{MONTH[1]}'""")
 def previous_month_rows(spark, sf):
     month = st.journeys(spark, sf).where(days.in_previous_month(F.col("operating_day"), AS_OF))
     return month.select("operating_day", "journey_no", "line_id")

@@ -16,7 +16,7 @@ from workload.registry import query
   FROM (
     SELECT operating_day, line_id, journey_no, avg(dep_delay) AS mean
     FROM stop_events WHERE dep_delay IS NOT NULL AND has_rt = true GROUP BY ALL)
-  WHERE mean = 0 AND line_id LIKE 'de:NET:%' AND operating_day > DATE '2001-08-01' - 2500
+  WHERE mean = 0 AND line_id LIKE 'de:NET:%' AND operating_day > DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01'
   GROUP BY ALL HAVING count(*) > 3""")
 def flat_zero_journeys(spark, sf):
     return delays.flat_zero_journeys(st.stop_events(spark, sf), AS_OF, st.WHOLE_SPAN, "de:NET:%")
@@ -175,6 +175,72 @@ def next_stops(spark, sf):
     )
 
 
+UNNUMBERED = "CASE WHEN journey_no LIKE '%7' THEN '' WHEN journey_no LIKE '%8' THEN NULL ELSE journey_no END"
+
+
+def _some_unnumbered(spark, sf):
+    """Stop events of which some journeys carry no number, as '' or NULL."""
+    number = F.col("journey_no")
+    number = F.when(number.endswith("7"), "").when(number.endswith("8"), None).otherwise(number)
+    return st.stop_events(spark, sf).withColumn("journey_no", number)
+
+
+@query("W1 J9", f"""
+  , partly AS (SELECT * REPLACE ({UNNUMBERED} AS journey_no) FROM stop_events)
+  SELECT operating_day::text AS operating_day, line_id, journey_no, idx, station_no,
+    lead(idx) OVER w AS idx_next, lead(station_no) OVER w AS station_no_next
+  FROM partly WHERE journey_no <> ''
+  WINDOW w AS (PARTITION BY operating_day, line_id, journey_no ORDER BY idx) QUALIFY idx_next IS NOT NULL""")
+def next_stops_of_numbered(spark, sf):
+    linked = segments.next_stops(_some_unnumbered(spark, sf), ("idx", "station_no"))
+    return linked.select("operating_day", "line_id", "journey_no", "idx", "station_no", "idx_next", "station_no_next")
+
+
+@query("J9", """
+  SELECT operating_day::text AS operating_day, line_id, journey_no, idx, count(*) AS rows
+  FROM stop_reports GROUP BY ALL HAVING count(*) > 1""")
+def repeated_stops(spark, sf):
+    return segments.repeated_stops(st.stop_reports(spark, sf))
+
+
+@query("J4", f"""
+  , partly AS (SELECT * REPLACE ({UNNUMBERED} AS journey_no) FROM stop_events),
+  some_reports AS (SELECT * REPLACE ({UNNUMBERED} AS journey_no) FROM delay_reports)
+  SELECT m.operating_day::text AS operating_day, m.line_short, m.line_id, m.journey_no, v.idx, m.station_name,
+    m.sched_dep, m.delay_arrival, m.delay_departure, m.reported_at, v.arr_delay, v.dep_delay
+  FROM some_reports m LEFT JOIN partly v
+    ON m.operating_day = v.operating_day AND m.line_short = v.line_short AND m.journey_no <> ''
+    AND m.journey_no = v.journey_no AND m.station_name = v.station_name
+  WHERE stop_cancelled = false""")
+def unnumbered_reports_with_stops(spark, sf):
+    number = F.col("journey_no")
+    number = F.when(number.endswith("7"), "").when(number.endswith("8"), None).otherwise(number)
+    reports = st.delay_reports(spark, sf).withColumn("journey_no", number)
+    return delays.reports_with_stops(reports, _some_unnumbered(spark, sf))
+
+
+@query("J5", """
+  , texts AS (SELECT * REPLACE (CASE WHEN l_suppkey % 3 = 0 THEN '00' || l_suppkey ELSE l_suppkey::text END AS station_no)
+    FROM (SELECT operating_day, journey_no, station_no, sched_dep, reported_at, station_no AS l_suppkey FROM delay_reports)),
+  places AS (SELECT station_no, station_name FROM stations
+    UNION ALL SELECT '00' || station_no, 'Padded ' || station_no FROM stations WHERE station_no::int % 6 = 0)
+  SELECT r.operating_day::text AS operating_day, r.journey_no, r.sched_dep, r.reported_at, r.station_no::int AS station_no, s.station_name
+  FROM texts r LEFT JOIN places s USING (station_no) WHERE r.sched_dep <> ''""")
+def padded_station_numbers(spark, sf):
+    """ "0012" and "12" are two stations."""
+    number, places = F.col("station_no").cast("string"), st.stations(spark, sf)
+    padded = places.where(F.col("station_no").cast("int") % 6 == 0).select(
+        F.concat(F.lit("00"), "station_no").alias("station_no"),
+        F.concat(F.lit("Padded "), "station_no").alias("station_name"),
+    )
+    reports = st.delay_reports(spark, sf).select(
+        "operating_day", "journey_no", "sched_dep", "reported_at",
+        F.when(F.col("station_no") % 3 == 0, F.concat(F.lit("00"), number)).otherwise(number).alias("station_no"),
+    )
+    both = places.select("station_no", "station_name").unionByName(padded)
+    return delays.reports_with_station_names(reports, both)
+
+
 def _metres(lat: str, lon: str, suffix: str) -> str:
     """The projection as SQL, one subquery level per step."""
     k = geo.KRUEGER

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from punctua.functions import days
-from punctua.operators import bundles, extras, listing, pivots
-from punctua.plans.bundle_report import bundle_reports
+from punctua.operators import bundles, extras, listing
+from punctua.plans.bundle_report import bundle_sheet
 from punctua.sources import master
 from workload import standins as st
 from workload.coverage_queries import AS_OF, INCIDENTS, QUOTED_RECENT, RATE, SPAN, every_bundle
@@ -26,9 +25,11 @@ def bundle_journeys_by_part(spark, sf):
 
 
 @query("J2 P11 S15 T12", f"""
-  SELECT {STOP_VIEW} FROM stop_events LEFT JOIN lines USING (line_id_short) WHERE bundle = 'Bündel 1'""")
+  SELECT {STOP_VIEW} FROM stop_events LEFT JOIN lines USING (line_id_short)
+  WHERE bundle = 'Bündel 1' AND operating_day BETWEEN DATE '1999-06-15' - 400 AND DATE '1999-06-15'""")
 def bundle_stops_by_name(spark, sf):
-    return bundles.stops_of_bundle(st.stop_events(spark, sf), st.lines(spark, sf), "Bündel 1")
+    stops, lines = st.stop_events(spark, sf), st.lines(spark, sf)
+    return bundles.stops_of_bundle(stops, lines, "Bündel 1", "1999-06-15", 400)
 
 
 @query("J3", """
@@ -54,14 +55,14 @@ def nested_bundle_journeys(spark, sf):
 
 @query("A13 P6", """
   SELECT DISTINCT operating_day::text AS operating_day, tier, line_short, journey_no, has_realtime
-  FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 AND has_realtime = false""")
+  FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01' AND has_realtime = false""")
 def without_realtime(spark, sf):
     return extras.without_realtime(every_bundle(spark, sf), AS_OF, SPAN)
 
 
 @query("A13 P13 T13", """
   SELECT DISTINCT operating_day::text AS operating_day, line_short, line_id, journey_no, operator
-  FROM extras WHERE line_id SIMILAR TO 'de:NET:.*(1|3|17).*' AND operating_day >= DATE '2001-08-01' - 2500""")
+  FROM extras WHERE line_id SIMILAR TO 'de:NET:.*(1|3|17).*' AND operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01'""")
 def extra_journeys(spark, sf):
     return extras.extra_journeys(st.extras(spark, sf), AS_OF, SPAN, PATTERN)
 
@@ -69,10 +70,10 @@ def extra_journeys(spark, sf):
 MATCHED = """
   , missing AS (
     SELECT DISTINCT operating_day, tier, line_short, journey_no, has_realtime
-    FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 AND has_realtime = false),
+    FROM known_journeys WHERE operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01' AND has_realtime = false),
   extra_runs AS (
     SELECT DISTINCT operating_day, line_short, line_id, journey_no, operator
-    FROM extras WHERE operating_day >= DATE '2001-08-01' - 2500),
+    FROM extras WHERE operating_day >= DATE '2001-08-01' - 2500 AND operating_day <= DATE '2001-08-01'),
   matched AS (
     SELECT m.*, e.line_short AS extra_line_short, e.line_id AS extra_line_id, e.operator AS extra_operator
     FROM missing m LEFT JOIN extra_runs e ON m.operating_day = e.operating_day AND m.journey_no = e.journey_no)
@@ -198,18 +199,16 @@ def star_with_leading_columns(spark, sf):
     return listing.star_with(few, led_line_id="line_id", led_short="line_id_short")
 
 
-def _reports(spark, sf):
-    lines = st.lines(spark, sf)
-    by_report = bundles.journeys_by_report(st.journeys(spark, sf), lines)
-    stops = bundles.stops_by_report(st.stop_events(spark, sf), lines)
-    extra_runs = extras.extra_journeys(st.extras(spark, sf), AS_OF, SPAN)
-    return by_report, stops, extra_runs
-
-
-def _sheet(spark, sf, name):
-    return bundle_reports(
-        *_reports(spark, sf), AS_OF, SPAN, SPAN, city_bundles=("Bündel 4", "Bündel 9")
-    )[name]
+def _sheet(spark, sf, name, span=SPAN):
+    """One sheet; only the input it is made of is joined to the lines."""
+    lines, stops = st.lines(spark, sf), name == "stop_events"
+    return bundle_sheet(
+        name,
+        None if stops else bundles.journeys_by_report(st.journeys(spark, sf), lines),
+        bundles.stops_by_report(st.stop_events(spark, sf), lines) if stops else None,
+        extras.extra_journeys(st.extras(spark, sf), AS_OF, span),
+        AS_OF, span, span, city_bundles=("Bündel 4", "Bündel 9"),
+    )
 
 
 @query("S16 A26 C20 J8", f"""
@@ -229,14 +228,11 @@ def report_incidents(spark, sf):
   SELECT * FROM (PIVOT (
     SELECT report_bundle, operating_day::text AS day, tier, line_short, line_id_short, count(*) AS total,
       count(*) FILTER (ever_reported) AS total_rt, {RATE} AS rate
-    FROM report_journeys GROUP BY report_bundle, operating_day, tier, line_short, line_id_short)
+    FROM report_journeys WHERE operating_day BETWEEN DATE '2001-08-01' - 21 AND DATE '2001-08-01'
+    GROUP BY report_bundle, operating_day, tier, line_short, line_id_short)
   ON day IN ({QUOTED_RECENT}) USING sum(rate) GROUP BY report_bundle, tier, line_short)""")
 def report_line_by_day(spark, sf):
-    from punctua.operators import coverage
-
-    by_report = bundles.journeys_by_report(st.journeys(spark, sf), st.lines(spark, sf))
-    rates = coverage.line_coverage_by_day(by_report, "1990-01-01", AS_OF, "ever_reported", ("report_bundle",))
-    return pivots.line_by_day(rates, days.last_days(AS_OF, 21), ("report_bundle",))
+    return _sheet(spark, sf, "line_by_day", 21)
 
 
 @query("S16 A8", f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from punctua import schemas
-from punctua.plans.daily_ingest import delay_matrix
+from punctua.plans.daily_ingest import delay_matrix, ingest_archive
 from punctua.session import shared_folder
 from punctua.sources import archive_xml, catalog, day_files, master
 from punctua.streaming import ingest
@@ -36,11 +36,68 @@ def by_month(spark, sf):
 
 @query("S18 S1", JOURNEY_ROWS.replace("operating_day::text", "date_trunc('month', operating_day)::date::text"))
 def streamed_archive_journeys(spark, sf):
-    landed, target = shared_folder(spark, "landed"), shared_folder(spark, "streamed")
-    archive_text.journey_documents(spark, sf, by_month(spark, sf)).write.text(landed)
-    run = ingest.ingest_new_files(spark, landed, target, shared_folder(spark, "progress"), pieces_per_day=1)
-    run.awaitTermination()
-    return day_files.read_days(spark, "journeys", target)
+    """Two deliveries by stream, the first delivered again, and one by batch into the same table."""
+    landed, landing = shared_folder(spark, "landed"), shared_folder(spark, "landing")
+    progress, served = shared_folder(spark, "progress"), shared_folder(spark, "served")
+    rows = by_month(spark, sf)
+    late = F.col("operating_day") >= F.lit("2000-01-01").cast("date")
+    early = F.col("operating_day") < F.lit("1996-01-01").cast("date")
+
+    def land(part, delivery):
+        archive_text.journey_documents(spark, sf, part).write.text(f"{landed}/{delivery}")
+        by_folder = r"/([^/]+)/[^/]+$"
+        ingest.land_new_files(spark, f"{landed}/*/", landing, progress, arrival_pattern=by_folder).awaitTermination()
+
+    land(rows.where(~late & ~early), "2000-01-01-a")
+    land(rows.where(late), "2000-01-02-a")
+    land(rows.where(~late & ~early), "2000-01-01-b")
+    ingest.serve_deliveries(spark, landing, served, ("journeys",))
+    by_batch = shared_folder(spark, "batch")
+    archive_text.journey_documents(spark, sf, rows.where(early)).write.text(by_batch)
+    ingest_archive(spark, by_batch, served, "2000-01-03", ("journeys",))
+    return day_files.read_days(spark, "journeys", f"{served}/journeys")
+
+
+@query("S1 S12", """
+  SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'does not parse' WHEN o_orderkey % 11 = 0 THEN 'no end tag'
+    WHEN o_orderkey % 13 = 0 THEN 'no operating day' END AS reason, count(*) AS total FROM orders GROUP BY 1""", prelude=False)
+def archive_rejects(spark, sf):
+    """Every start tag is accounted for: used, or set aside with a reason; blanks in an end tag do no harm."""
+    key, tag = F.col("o_orderkey"), archive_xml.ROW_TAG
+    day = F.when(key % 13 == 0, "soon").otherwise("2024-01-10T00:00:00+01:00")
+    number = F.concat(F.lit("<journeyID>"), key.cast("string"), F.lit("</journeyID>"))
+    inner = F.concat(
+        F.lit("<journey><operatingDay>"), day, F.lit("</operatingDay>"), number,
+        F.when(key % 7 == 0, "</journey_>").otherwise("</journey>"),
+    )
+    end = F.when((key % 11 == 0) & (key % 7 != 0), "").when(key % 2 == 0, f"</{tag} >").otherwise(f"</{tag}>")
+    landed, target = shared_folder(spark, "landed"), shared_folder(spark, "deliveries")
+    st.table(spark, sf, "orders").select(F.concat(F.lit(f"<{tag}>"), inner, end)).write.text(landed)
+    paths = ingest_archive(spark, landed, target, "2024-01-10", ("journeys",), allow_rejected=True)
+    used = day_files.read_days(spark, "journeys", paths["journeys"])
+    aside = spark.read.parquet(paths["rejected"])
+    both = used.select(F.lit(None).cast("string").alias("reason")).unionByName(aside.select("reason"))
+    return both.groupBy("reason").agg(F.count("*").alias("total"))
+
+
+@query("S12 S5", """
+  SELECT operating_day::text AS operating_day, journey_no, line_id, has_realtime AND operating_day < DATE '2000-01-01' AS has_realtime
+  FROM (SELECT * REPLACE (date_trunc('month', operating_day)::date AS operating_day) FROM journeys)
+  WHERE operating_day < DATE '2000-01-01'
+  UNION ALL
+  SELECT operating_day::text, journey_no, line_id, false
+  FROM (SELECT * REPLACE (date_trunc('month', operating_day)::date AS operating_day) FROM journeys)
+  WHERE operating_day >= DATE '1999-10-01'""")
+def redelivered_days(spark, sf):
+    """The second delivery carries stray rows of the first one's days, and comes twice: nothing is lost or doubled."""
+    target, rows = shared_folder(spark, "deliveries"), by_month(spark, sf)
+    turn, stray = F.lit("2000-01-01").cast("date"), F.lit("1999-10-01").cast("date")
+    day_files.write_days(rows.where(F.col("operating_day") < turn), target, "2000-01-01")
+    second = rows.where(F.col("operating_day") >= stray).withColumn("has_realtime", F.lit(False))
+    day_files.write_days(rows, target, "2000-01-02")
+    day_files.write_days(second, target, "2000-01-02")
+    stored = day_files.read_days(spark, "journeys", target)
+    return stored.select("operating_day", "journey_no", "line_id", "has_realtime")
 
 
 @query("S2 C1 C5 C9 C12", """
@@ -99,7 +156,7 @@ OLD_ROWS = """
 @query("S5 U1 C9 T6 T7 T18", OLD_ROWS.format(cancelled="journey_cancelled", last="end_station_id", where="operating_day < DATE '1998-01-01'")
        + " UNION ALL " + OLD_ROWS.format(cancelled="CASE WHEN journey_cancelled THEN true END", last="NULL", where="operating_day >= DATE '1998-01-01'"))
 def day_files_of_two_generations(spark, sf):
-    """Files with declared types, and older ones with old names, text days and a column less."""
+    """Files with declared types, and older ones with old names, text days and a column less; stored once as days."""
     rows = st.journeys(spark, sf)
     boundary = F.lit("1998-01-01").cast("date")
     recent, older = shared_folder(spark, "day-files"), shared_folder(spark, "old-day-files")
@@ -113,7 +170,7 @@ def day_files_of_two_generations(spark, sf):
         .withColumnsRenamed(new_to_old)
         .write.parquet(older)
     )
-    return day_files.read_day_files(spark, "journeys", [recent, older])
+    return day_files.migrate_day_files(spark, "journeys", [recent, older], shared_folder(spark, "days"))
 
 
 @query("S5", """
@@ -131,12 +188,13 @@ def day_files_with_names(spark, sf):
     has_realtime AND operating_day < DATE '2000-01-01' AS has_realtime
   FROM journeys""")
 def rewritten_days(spark, sf):
-    """Writes all days, then writes the days from 2000 on again with changed rows."""
+    """Stores two deliveries, then the second one again with changed rows."""
     target = shared_folder(spark, "days")
     rows = by_month(spark, sf)
-    day_files.write_days(rows, target)
-    later = rows.where(F.col("operating_day") >= F.lit("2000-01-01").cast("date"))
-    day_files.write_days(later.withColumn("has_realtime", F.lit(False)), target)
+    later = F.col("operating_day") >= F.lit("2000-01-01").cast("date")
+    day_files.write_days(rows.where(~later), target, "2000-01-01")
+    day_files.write_days(rows.where(later), target, "2000-01-02")
+    day_files.write_days(rows.where(later).withColumn("has_realtime", F.lit(False)), target, "2000-01-02")
     return day_files.read_days(spark, "journeys", target).select(
         "operating_day", "journey_no", "line_id", "has_realtime"
     )
