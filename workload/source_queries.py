@@ -244,7 +244,7 @@ def materialised_result(spark, sf):
   , listed AS (
     SELECT DISTINCT station_no, lat, lon, station_name FROM stop_reports
     UNION SELECT station_no || '9', lat, lon, NULL FROM stop_reports)
-  SELECT r.*, l.station_name FROM reported r LEFT JOIN listed l ON r.station_no = l.station_no::int""")
+  SELECT r.*, l.station_name FROM reported r LEFT JOIN listed l ON r.station_no::text = l.station_no""")
 def delay_matrix_from_archive(spark, sf):
     archive = archive_xml.read_archive(spark, archive_text.archive_folder(spark, sf, "stops"))
     return delay_matrix(archive)
