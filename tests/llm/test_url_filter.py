@@ -85,7 +85,7 @@ paths = st.lists(st.sampled_from(["/", "/a", "b", "/é"]), max_size=3).map("".jo
 
 
 @pytest.mark.parametrize("parts", [1, 5])
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(
     st.lists(st.tuples(hosts, paths).map(lambda x: f"s://{x[0]}{x[1]}"), max_size=30),
     st.lists(st.tuples(hosts, paths, st.sampled_from(["allow", "block"])), max_size=12),
