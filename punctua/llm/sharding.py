@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from punctua.llm.rows import column, new_folder, packed, unpacked, written
 
-BUCKET_ROWS = 100_000  # rows of a shard that one task permutes, about
+BUCKET_ROWS = 20_000  # rows of a shard that one task permutes, about
 
 
 def _log_factorial(x: Column) -> Column:
