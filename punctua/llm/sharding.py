@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctua.llm.rows import column, new_folder, packed, unpacked, written
+from punctua.llm.rows import new_folder, packed, unpacked, written
 
 BUCKET_ROWS = 20_000  # rows of a shard that one task permutes, about
 
