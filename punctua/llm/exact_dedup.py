@@ -59,10 +59,15 @@ def exact_duplicates(
         .groupBy("full")
         .agg(F.max(first).alias("stays"), F.count("*").alias("size"))
     )
-    alone = F.col("size").isNull()
-    judged = stored.join(classes, "full", "left").withColumns({
-        "keep_id": F.when(alone, F.col("id")).otherwise(F.col("stays.id")),
-        "group_size": F.coalesce("size", F.lit(1)).cast("long"),
-        "kept": alone | (F.col("tag") == -F.col("stays.minus_tag")),
-    })
-    return unpacked(judged, "keep_id", "group_size", "kept")
+    # Written, so that both sides of the join are plain tables: Spark can then split the
+    # rows of a very large group, which it does not where one side is still an aggregate.
+    classes = written(classes, folder, "classes")
+    grouped = stored.filter(F.col("full").isNotNull()).join(classes, "full").select(
+        "row", F.col("stays.id").alias("keep_id"), F.col("size").alias("group_size"),
+        (F.col("tag") == -F.col("stays.minus_tag")).alias("kept"),
+    )
+    alone = stored.filter(F.col("full").isNull()).select(
+        "row", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+        F.lit(True).alias("kept"),
+    )
+    return unpacked(grouped.unionByName(alone), "keep_id", "group_size", "kept")
