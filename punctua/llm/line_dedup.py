@@ -1,8 +1,9 @@
 """Drops lines that too many pages of the same host share.
 
 Site-relative frequency: pages of a host that contain a line, divided by all pages of the
-host. Only digests of lines cross the network for counting; the texts move once, with the
-positions of the lines to drop.
+host. Only digests of lines cross the network for counting. The lines of each host that are to
+be dropped are few and meet its pages where these are read, if the list of hosts is small
+enough to broadcast.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctua.llm.rows import column, packed, unpacked
+from punctua.llm.rows import column, new_folder, packed, unpacked, written
 
 BREAKS = "(?i)<!--.*?-->|<(?:script|style)\\b.*?</(?:script|style)>|<[^>]*>"
 
@@ -40,7 +41,11 @@ def drop_site_lines(
     """
     site = F.coalesce(column(host), F.lit(""))
     rows = packed(df, site=site, lines=F.split(column(text), "\n"))
+    # Written, so that Spark knows the size of each small side: it broadcasts it if it is
+    # below the session's threshold, and else can split a host that fills a third of the rows.
+    folder = new_folder(df, "line-dedup")
     per_host = rows.groupBy("site").agg(F.count("*").alias("host_pages"))
+    per_host = written(per_host, folder, "hosts")
     per_line = (
         rows.select("site", F.explode(F.array_distinct(_digests("lines"))).alias("digest"))
         .filter(F.col("digest").isNotNull())
@@ -56,8 +61,9 @@ def drop_site_lines(
         .groupBy("site")
         .agg(F.collect_set("digest").alias("common"))
     )
+    sites = written(per_host.join(common, "site", "left"), folder, "sites")
     judged = (
-        rows.join(per_host.join(common, "site", "left"), "site", "left")
+        rows.join(sites, "site", "left")
         .withColumn("common", F.coalesce("common", F.array().cast("array<binary>")))
         .withColumn(
             "kept",
