@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctua.llm.rows import column, packed, prepare_workers, unpacked
+from punctua.llm.rows import column, new_folder, packed, prepare_workers, unpacked, written
 
 LEDGER = "blob binary, spans array<struct<start:int,end:int>>, rule string, version int"
 
@@ -156,6 +156,8 @@ def scan_secrets(df: DataFrame, ledger: str, text: str = "text", rules=RULES) ->
         .groupBy("blob")
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
     )
+    # A plain table and not an aggregate: Spark can then split the rows of a much copied blob.
+    found = written(found, new_folder(df, "findings"), "by-blob")
     findings = F.transform(
         F.coalesce("spans", F.array().cast(found.schema["spans"].dataType)),
         lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
