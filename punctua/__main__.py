@@ -14,7 +14,7 @@ from punctua.plans.daily_ingest import FLATTEN, ingest_archive
 from punctua.plans.delay_lists import delay_lists, write_lists
 from punctua.session import build_session
 from punctua.sources import day_files, master
-from punctua.streaming.ingest import land_new_files, serve_deliveries
+from punctua.streaming.ingest import DAY_IN_PATH, EXTRA_IN_PATH, land_new_files, serve_deliveries
 
 INGESTED = (*FLATTEN, "delay_reports")
 
@@ -35,9 +35,14 @@ def parser() -> argparse.ArgumentParser:
     land.add_argument("folder")
     land.add_argument("--landing", required=True)
     land.add_argument("--checkpoint", required=True)
+    land.add_argument("--day-pattern", default=DAY_IN_PATH, help="the delivery day in a path, as group 1")
+    land.add_argument("--arrival-pattern", help="what the paths of one arrival have in common, as group 1")
+    land.add_argument("--recursive", action=argparse.BooleanOptionalAction, default=True, help="also list subfolders")
     serve = commands.add_parser("serve", help="newest arrivals of the landing table to day tables")
     serve.add_argument("--landing", required=True)
     serve.add_argument("--since", type=days.as_day, help="first delivery day")
+    serve.add_argument("--extra", action="store_true", help="the deliveries of extra journeys, not the main ones")
+    serve.add_argument("--extra-pattern", default=EXTRA_IN_PATH, help="what marks their paths")
     for writes in (ingest, serve):
         writes.add_argument("--target", required=True, help="folder of the day tables")
         writes.add_argument("--tables", nargs="+", choices=INGESTED, default=["journeys", "stop_events"])
@@ -89,12 +94,15 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
             spark, args.xml, args.target, args.delivery_day, tuple(args.tables), args.allow_rejected
         )
     if args.command == "land":
-        land_new_files(spark, args.folder, args.landing, args.checkpoint).awaitTermination()
+        land_new_files(
+            spark, args.folder, args.landing, args.checkpoint, args.day_pattern, args.arrival_pattern, args.recursive
+        ).awaitTermination()
         return {"landing": args.landing}
     if args.command == "serve":
         served = serve_deliveries(
-            spark, args.landing, args.target, tuple(args.tables), args.since, args.allow_rejected
-        )
+            spark, args.landing, args.target, tuple(args.tables), args.since, args.allow_rejected,
+            args.extra, args.extra_pattern,
+        )
         return {day: args.target for day in served}
     if args.command == "report":
         return _report(spark, args)

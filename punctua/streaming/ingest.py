@@ -9,8 +9,10 @@ by ``serve_deliveries`` through the same code as the daily batch job.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,9 +21,18 @@ from punctua.sources import archive_xml, day_files
 
 LANDED = f"""element string, {archive_xml.UNENDED} string, {archive_xml.SOURCE_FILE} string,
     arrived_at timestamp, arrival string, {day_files.DELIVERY} date"""
-# The day in a file's path, and what tells two arrivals of one delivery apart.
+# The day in a file's path, and what marks files of extra journeys.
 DAY_IN_PATH = r"(\d{4}-\d{2}-\d{2})"
-WHOLE_PATH = r"^(.*)$"
+EXTRA_IN_PATH = r"\d{4}-\d{2}-\d{2}[-_]extra(?![A-Za-z])"
+log = logging.getLogger(__name__)
+
+
+def _arrival(path: Column, day_pattern: str) -> Column:
+    """The last folder named by a day, or else the file named by one, or else the file's folder."""
+    dated_folder = F.regexp_extract(path, rf"^(.*{day_pattern}[^/]*)/", 1)
+    folder = F.regexp_extract(path, r"^(.*)/", 1)
+    by_name = F.when(F.regexp_like(path, F.lit(day_pattern)), path).otherwise(folder)
+    return F.when(dated_folder != "", dated_folder).otherwise(by_name)
 
 
 def land_new_files(
@@ -30,21 +41,31 @@ def land_new_files(
     landing: str,
     checkpoint: str,
     day_pattern: str = DAY_IN_PATH,
-    arrival_pattern: str = WHOLE_PATH,
+    arrival_pattern: str | None = None,
+    recursive: bool = True,
 ) -> StreamingQuery:
     """Append the elements of files that landed since the last run, then stop.
 
     ``checkpoint`` must be a lasting folder of this job alone. A file's
     delivery day is the last match of ``day_pattern`` in its path, or else the
-    day of its arrival. Each file is an arrival of its own; if deliveries come
-    in several files, let ``arrival_pattern`` pick what they have in common.
+    day of its arrival. The files of a folder named by a day are one arrival,
+    those of its subfolders too; a file named by a day in a folder that is not
+    is an arrival of its own, and undated files of a folder are one. If files
+    of one delivery have only part of their names in common, let
+    ``arrival_pattern`` pick it. Folders are listed with their subfolders
+    unless ``recursive`` is false.
     The tasks follow the size of the files; nothing is shuffled.
     """
     path = F.col(archive_xml.SOURCE_FILE)
     named = F.element_at(F.regexp_extract_all(path, F.lit(day_pattern), 1), -1).try_cast("date")
-    rows = archive_xml.stream_candidates(spark, folder)
+    arrival = _arrival(path, day_pattern)
+    if arrival_pattern is not None:
+        # a path without match is an arrival by the general rule, never one with all others
+        picked = F.regexp_extract(path, arrival_pattern, 1)
+        arrival = F.when(picked != "", picked).otherwise(arrival)
+    rows = archive_xml.stream_candidates(spark, folder, recursive=recursive)
     return (
-        rows.withColumn("arrival", F.regexp_extract(path, arrival_pattern, 1))
+        rows.withColumn("arrival", arrival)
         .withColumn(day_files.DELIVERY, F.coalesce(named, F.to_date("arrived_at")))
         .writeStream.format("parquet")
         .partitionBy(day_files.DELIVERY)
@@ -69,21 +90,30 @@ def serve_deliveries(
     tables: tuple[str, ...] = ("journeys", "stop_events"),
     since: str | None = None,
     allow_rejected: bool = False,
+    extra: bool = False,
+    extra_pattern: str = EXTRA_IN_PATH,
 ) -> list[str]:
     """Store the newest arrival of each landed delivery day, and return these days.
 
     ``since``: only deliveries from this day on. A delivery already stored is
-    replaced; deliveries that came by batch alone stay. The loop runs over
-    delivery days, each a batch job of its own size.
+    replaced; deliveries that came by batch alone stay. Files whose path
+    matches ``extra_pattern`` are deliveries of their own beside the main ones:
+    they are served, and alone, if ``extra``. Older arrivals left out are
+    logged with their number. The loop runs over delivery days, each a batch
+    job of its own size.
     """
     landed = spark.read.schema(LANDED).parquet(landing)
     if since is not None:
         landed = landed.where(F.col(day_files.DELIVERY) >= F.lit(since).cast("date"))
+    is_extra = F.regexp_like(archive_xml.SOURCE_FILE, F.lit(extra_pattern))
+    landed = landed.where(is_extra if extra else ~is_extra)
     newest = newest_arrivals(landed)
-    served = [
-        row[0].isoformat()
-        for row in landed.select(day_files.DELIVERY).distinct().orderBy(day_files.DELIVERY).collect()
-    ]
+    counted = landed.groupBy(day_files.DELIVERY).agg(F.count_distinct("arrival").alias("arrivals"))
+    served = []
+    for found in counted.orderBy(day_files.DELIVERY).collect():
+        served.append(found[0].isoformat())
+        if found.arrivals > 1:
+            log.warning("%s: %d older arrivals are left out", served[-1], found.arrivals - 1)
     for day in served:
         one = newest.where(F.col(day_files.DELIVERY) == F.lit(day).cast("date"))
         archive = archive_xml.parse_archive(one, "element").persist(StorageLevel.DISK_ONLY)

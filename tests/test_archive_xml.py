@@ -172,6 +172,49 @@ def test_stream_and_batch_share_a_table(spark, tmp_path):
         day_files.write_days(read("journeys"), landing, "2024-01-12")
 
 
+def test_landed_folders_are_served_whole(spark, tmp_path, caplog):
+    """A day folder of two files, files of another day in both names, an -extra folder; then a redelivery."""
+    from punctua.__main__ import main
+
+    landed, landing, target = (str(tmp_path / n) for n in ("landed", "landing", "tables"))
+
+    def put(folder, name, *numbers):
+        place = tmp_path / "landed" / folder
+        place.mkdir(parents=True, exist_ok=True)
+        found = (BARE.replace(">7<", f">{n}<") for n in numbers)
+        (place / name).write_text(ENVELOPE.format(t=TAG, body="\n".join(found)), encoding="utf-8")
+
+    def served(table, *more):
+        main(["land", landed, "--landing", landing, "--checkpoint", str(tmp_path / "progress")])
+        main(["serve", "--landing", landing, "--target", target, "--tables", table, *more])
+        return sorted(r.journey_no for r in day_files.read_days(spark, table, f"{target}/{table}").collect())
+
+    put("2024-01-12", "a.xml", 1, 2)
+    put("2024-01-12", "b.xml", 3)
+    put("2024-01-13", "export_2024-01-13_a.xml", 4)
+    put("2024-01-13/rest", "export_2024-01-13_b.xml", 5)
+    put("2024-01-12-extra", "a.xml", 8)
+    put("2024-01-12-extra", "b.xml", 9)
+    assert served("journeys") == ["1", "2", "3", "4", "5"]
+    assert served("extras", "--extra") == ["8", "9"]
+    assert not caplog.records
+    put("2024-01-12-again", "c.xml", 6)
+    assert served("journeys") == ["4", "5", "6"]
+    assert "2024-01-12: 1 older arrivals are left out" in caplog.text
+
+
+def test_parts_named_by_a_day_need_an_arrival_pattern(spark, tmp_path):
+    from punctua.__main__ import main
+
+    landing, target = str(tmp_path / "landing"), str(tmp_path / "tables")
+    for part in "ab":
+        folder = write(tmp_path, BARE, name=f"export_2024-01-12_{part}.xml")
+    pattern = r"(export_\d{4}-\d{2}-\d{2})_[a-z]\.xml$"
+    main(["land", folder, "--landing", landing, "--checkpoint", str(tmp_path / "progress"), "--no-recursive", "--arrival-pattern", pattern])
+    main(["serve", "--landing", landing, "--target", target, "--tables", "journeys"])
+    assert day_files.read_days(spark, "journeys", f"{target}/journeys").count() == 2
+
+
 def test_daily_jobs_from_the_command_line(spark, tmp_path):
     from punctua.__main__ import main
 
