@@ -98,7 +98,7 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    scores = toxicity_scores(docs, labels, keep_out=held_out)
+    scores = toxicity_scores(docs, labels, keep_out=held_out, language="lang")
     rest = [c for c in scores.columns if c != "id"]
     return scores.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), *rest)
 

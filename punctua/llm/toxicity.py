@@ -8,12 +8,15 @@ such probabilities later.
 The models are logistic regressions over the presence of words and of word beginnings, a
 beginning also by whether several words of the text have it. The vocabulary is chosen over
 all training rows by how much more often toxic texts have such a sign.
+
+The earlier categories come from the training labels: in each language the strong signs are
+parted into two groups by the toxic texts they share, see ``sign_groups``. No word is given.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +38,12 @@ REGULARISATION = 1e-4
 THRESHOLD = 0.5
 WORD = re.compile(r"\w+")
 
-# Words that make a toxic text one of a category. The labels only say
-# whether a text is toxic; the last category of the chain is that label itself.
-CATEGORIES = {
-    "insult": ("clown", "idiot", "loser", "moron", "scum", "stupid"),
-    "contempt": ("disgusting", "pathetic", "trash", "worthless"),
-}
+# The labels only say whether a text is toxic. The last category of the chain is that label
+# itself; the earlier ones are two groups of its texts, found by ``sign_groups``, and their
+# names are no more than names of columns.
+CATEGORIES = ("insult", "contempt")
 CHAIN = (*CATEGORIES, "toxic")
+STRONG = 0.5  # of the strength of a language's strongest sign
 
 
 def _signs(text: str | None) -> set[str]:
@@ -114,9 +116,92 @@ def choose_vocabulary(training: DataFrame, size: int = VOCABULARY) -> list[str]:
     return [r["word"] for r in best]
 
 
+def _strength(toxic: int, both: int, n_toxic: int, n_all: int) -> float:
+    """Signed root of the chi-square statistic, as in ``choose_vocabulary``."""
+    expected = both * n_toxic / n_all
+    return (toxic - expected) / (expected * (1 - n_toxic / n_all)) ** 0.5
+
+
+def sign_groups(training: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
+    """Two groups of signs for each language, from the training labels alone.
+
+    ``training``: (language, label, found). A language's strong signs are those in
+    ``LEAST_TEXTS`` of its toxic texts that are at least ``STRONG`` times as strong as its
+    strongest. That one leads the first group. The sign in most toxic texts without it leads
+    the second, or if there is no such text, the one that shares the smallest part of their
+    toxic texts with it; if all strong signs have the same texts, the second group is empty.
+    Any other strong sign goes to the leader with which it shares the larger part, in doubt
+    to the first.
+    Where all texts of a language have one label, there are no groups.
+
+    The driver gets counts by language and sign, never texts.
+    """
+    totals = training.groupBy("language").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
+    n = {r.language: (r.toxic, r.n) for r in totals.collect() if 0 < r.toxic < r.n}
+    signs = training.select("language", "label", "found", F.explode("found").alias("sign"))
+    counted = signs.groupBy("language", "sign").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
+    strength: dict[str, dict[int, float]] = defaultdict(dict)
+    toxic: dict[tuple[str, int], int] = {}
+    for r in counted.filter(F.col("toxic") >= LEAST_TEXTS).collect():
+        if r.language in n and (x := _strength(r.toxic, r.n, *n[r.language])) > 0:
+            strength[r.language][r.sign], toxic[r.language, r.sign] = x, r.toxic
+    strong = {}
+    for language, own in strength.items():
+        order = sorted(own, key=lambda s: (-own[s], s))
+        strong[language] = [s for s in order if own[s] >= STRONG * own[order[0]]]
+
+    def shared(leaders: dict[str, int]) -> Counter:
+        """Toxic texts that have both a sign and the leader of their language."""
+        rows = training.sparkSession.createDataFrame([*leaders.items()], "language string, leader int")
+        both = signs.filter("label = 1").join(F.broadcast(rows), "language")
+        both = both.filter(F.array_contains("found", F.col("leader"))).groupBy("language", "sign").count()
+        return Counter({(r.language, r.sign): r["count"] for r in both.collect()})
+
+    def part(language: str, sign: int, leader: int, common: Counter) -> float:
+        both = common[language, sign]
+        return both / (toxic[language, sign] + toxic[language, leader] - both)
+
+    first = {language: order[0] for language, order in strong.items()}
+    with_first = shared(first)
+    second = {}
+    for language, order in strong.items():
+        more = {s: toxic[language, s] - with_first[language, s] for s in order}
+        parts = {s: part(language, s, first[language], with_first) for s in order}
+        best = max(order, key=more.get) if any(more.values()) else min(order, key=parts.get)
+        if parts[best] < 1:
+            second[language] = best
+    with_second = shared(second)
+
+    groups = {}
+    for language, order in strong.items():
+        later = set()
+        if language in second:
+            later = {
+                s for s in order
+                if part(language, s, second[language], with_second) > part(language, s, first[language], with_first)
+            }
+        groups[language] = ([s for s in order if s not in later], [s for s in order if s in later])
+    return groups
+
+
+def with_targets(training: DataFrame) -> DataFrame:
+    """Adds y_<category>: a toxic row with a sign of its language's group, and the label itself."""
+    found = [(language, *groups) for language, groups in sign_groups(training).items()]
+    schema = ", ".join(["language string", *(f"signs_{c} array<int>" for c in CATEGORIES)])
+    groups = training.sparkSession.createDataFrame(found, schema)
+    rows = training.join(F.broadcast(groups), "language", "left")
+    targets = {
+        f"y_{c}": (F.coalesce(F.arrays_overlap("found", f"signs_{c}"), F.lit(False)) & (F.col("label") == 1))
+        .cast("double")
+        for c in CATEGORIES
+    }
+    targets["y_toxic"] = F.col("label").cast("double")
+    return rows.withColumns(targets).drop("language", *(f"signs_{c}" for c in CATEGORIES))
+
+
 def _vector(size: int, earlier: list[str]):
     """Presence of each word as 0 or 1, then the logits of the earlier categories."""
-    there = F.transform(
+    there = F.array().cast("array<double>") if not size else F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),
         lambda i: F.array_contains("found", i).cast("double"),
     )
@@ -137,7 +222,7 @@ def _fit(rows: DataFrame, category: str, size: int, earlier: list[str]) -> np.nd
 
 
 def _probability(weights: np.ndarray, size: int, earlier: list[str]):
-    w = F.lit([float(x) for x in weights[:size]])
+    w = F.lit([float(x) for x in weights[:size]]).cast("array<double>")
     logit = F.aggregate(
         "found", F.lit(float(weights[-1])), lambda a, i: a + F.element_at(w, i + 1)
     )
@@ -174,13 +259,15 @@ def toxicity_scores(
     keep_out=None,
     vocabulary: int = VOCABULARY,
     most_labels: int = MOST_LABELS,
+    language: str | None = None,
 ) -> DataFrame:
     """One row (id, p_<category>..., score, predicted, toxic) for each row of ``df``.
 
     Trains on at most ``most_labels`` labels, those first by a hash of the id.
     ``keep_out``: condition on the id column ``id`` for labels that must not be trained on.
-    Words are runs of letters, digits and ``_``, in lower case; only whole words make a row
-    one of a category. ``score`` is the last
+    ``language``: column by which the earlier categories are found apart; null is a language
+    of its own, and without the column all rows are of one.
+    Words are runs of letters, digits and ``_``, in lower case. ``score`` is the last
     probability of the chain, ``predicted`` 1 if it is at least 0.5. Null and empty texts
     have no words and get the models' intercepts. Null labels and labels without document
     are left out; repeated rows count as often as they occur; rows with null id are scored
@@ -196,24 +283,18 @@ def toxicity_scores(
         known = known.filter(~keep_out(F.col("id")))
     # Two numbers a row and ``most_labels`` rows at most: small enough to send to every task.
     sample = known.orderBy(F.xxhash64("id"), "id", "label").limit(most_labels)
-    labelled = written(source.join(F.broadcast(sample), "id"), folder, "labelled")
+    spoken = F.coalesce(column(language).cast("string"), F.lit("")) if language else F.lit("")
+    texts = df.select(column(id).alias("id"), body.alias("body"), spoken.alias("language"))
+    labelled = written(texts.join(F.broadcast(sample), "id"), folder, "labelled")
     words = choose_vocabulary(labelled, vocabulary)
-    for category in CATEGORIES.values():
-        words += [w for w in category if w not in words]
     size = len(words)
-    place = {w: i for i, w in enumerate(words)}
 
     marked_schema = extended(source.select("id"), "found array<int>")
     labelled_schema = extended(labelled.drop("body"), "found array<int>")
     marked = labelled.mapInArrow(_presence(words), labelled_schema)
-    targets = {
-        f"y_{c}": (F.col("label") * F.arrays_overlap("found", F.lit([place[w] for w in ws])).cast("int"))
-        .cast("double")
-        for c, ws in CATEGORIES.items()
-    }
-    targets["y_toxic"] = F.col("label").cast("double")
     fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS))
-    training = written(marked.withColumns(targets | {"fold": fold}), folder, "training")
+    marked = written(marked.withColumn("fold", fold), folder, "marked")
+    training = written(with_targets(marked), folder, "training")
     models = fit_chain(training, size, folder)
 
     scored, earlier = source.mapInArrow(_presence(words), marked_schema), []

@@ -36,6 +36,32 @@ def test_chain_uses_earlier_categories(spark, rows, tmp_path):
     assert models["toxic"][6] > 1  # weight of the probability of "insult"
 
 
+def test_categories_follow_the_labels(rows):
+    """Other toxic words, in two languages: both categories are found in each, with no word given."""
+    rng = np.random.default_rng(2)
+    toxic_words = {"xx": ("zorp", "blick", "quax"), "yy": ("grumo", "velka")}
+    docs, labels = [], []
+    for i in range(600):
+        language = "xx" if i % 3 else "yy"
+        plain = [f"{language}w{rng.integers(40)}" for _ in range(12)]
+        toxic = i % 4 == 0
+        own = list(rng.permutation(toxic_words[language])[: 1 + i % 2]) if toxic else []
+        docs.append((i, " ".join([*plain, *own]), language))
+        labels.append((i, int(toxic)))
+    df = rows("doc_id int, text string, lang string", docs)
+    out = toxicity.toxicity_scores(df, rows("doc_id int, toxic int", labels), language="lang").collect()
+    toxic = {i for i, t in labels if t}
+    for language in toxic_words:
+        own = [r for r in out if docs[r.id][2] == language]
+        for p in ("p_insult", "p_contempt"):
+            assert any(r[p] > 0.5 for r in own if r.id in toxic)
+            assert all(r[p] < 0.5 for r in own if r.id not in toxic)
+        # every toxic text is one of a category, and the two are not the same
+        assert all(max(r.p_insult, r.p_contempt) > 0.5 for r in own if r.id in toxic)
+        assert any((r.p_insult > 0.5) != (r.p_contempt > 0.5) for r in own)
+    assert all(r.toxic == (r.id in toxic) for r in out)
+
+
 def test_signs():
     got = toxicity._signs("Badword badword! bad")
     assert {"badword", "bad", "badw*1", "badw*2"} <= got and "badw*3" not in got
