@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 from conftest import SF_DIR
@@ -20,6 +21,25 @@ def test_held_out_accuracy(spark):
     assert np.mean([t == p for t, p in held]) > 0.92 and np.mean(clean) < 0.02
 
 
+def test_held_out_recall_by_language(spark):
+    """Toxic rows are found in every language, and both earlier categories occur in each."""
+    sf_dir = SF_DIR.replace("sf0.001", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
+    toxic = labels.where("toxic = 1").join(docs, "doc_id").select("doc_id", "lang").collect()
+    language = {r.doc_id: r.lang for r in toxic}
+    n, found, groups = Counter(), Counter(), Counter()
+    for r in queries.op4_toxicity(spark, sf_dir).collect():
+        if r.held_out and r.doc_id in language:
+            n[language[r.doc_id]] += 1
+            found[language[r.doc_id]] += r.predicted
+            for p in ("p_insult", "p_contempt"):
+                groups[language[r.doc_id], p] += r[p] >= 0.5
+    assert set(n) == {"en", "de", "es", "fr"} and min(n.values()) > 10
+    assert found.total() / n.total() > 0.85
+    assert all(found[x] / n[x] > 0.75 for x in n), (n, found)
+    assert all(groups[x, p] > 0 for x in n for p in ("p_insult", "p_contempt")), groups
+
+
 def test_chain_uses_earlier_categories(spark, rows, tmp_path):
     """A later category that follows from an earlier one alone is learned through it."""
     rng = np.random.default_rng(1)
