@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctua.llm.byte_bpe import encode_and_decode
+from punctua.llm.conversation_trie import ordered_turns, rebuilt, trie_of
 from punctua.llm.decontaminate import contamination
 from punctua.llm.exact_dedup import exact_duplicates
 from punctua.llm.line_dedup import drop_site_lines, html_lines
 from punctua.llm.near_dedup import near_groups
+from punctua.llm.periodic_runs import periodic_runs, planted, strongest
 from punctua.llm.quality import held_out, quality_scores
-from punctua.llm.rows import new_folder
+from punctua.llm.rows import new_folder, written
 from punctua.llm.secrets import BASE_RULES, scan_secrets
 from punctua.llm.sharding import shuffle_into_shards
+from punctua.llm.token_files import read_token_files, write_token_files
 from punctua.llm.toxicity import toxicity_scores
 from punctua.llm.url_filter import LOWER, UPPER, host_and_path, judge_urls
 
@@ -210,11 +213,153 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs(docs, keep=["doc_id"]).withColumn("best", strongest(F.col("runs")))
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *(F.col("best")[c].alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text in DuckDB, one bit after the other."""
+    bits = (
+        f"flatten(list_transform(string_split({text}, ''), "
+        "lambda c: list_transform(range(8), lambda k: (ascii(c) >> k) & 1)))"
+    )
+    step = "lambda acc, bit: xor(acc >> 1, 3988292384 * (xor(acc, bit) & 1))"
+    return f"xor(list_reduce(list_prepend(4294967295, {bits}), {step}), 4294967295)"
+
+
+OP11_SQL = f"""
+WITH docs AS (
+    SELECT doc_id, h, h // 10 AS g, words, CAST(len(words) AS BIGINT) AS n FROM (
+        SELECT doc_id, {_crc32_sql("CAST(doc_id AS VARCHAR)")} AS h,
+            regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents
+    )
+), starts AS (
+    SELECT doc_id, words, n, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a, g FROM docs
+), periods AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM starts
+), places AS (
+    SELECT doc_id, n, i, words[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM periods)
+), equal AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i FROM places x
+    JOIN places y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal)
+    GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+), best AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC, start, period
+    ) AS rank FROM runs
+), dropped AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS body
+    FROM places p ANTI JOIN dropped d ON p.doc_id = d.doc_id AND p.i = d.i GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+    1000 * length // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+    sha256(coalesce(body, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN listed l ON d.doc_id = l.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+    LEFT JOIN best b ON d.doc_id = b.doc_id AND rank = 1
+"""
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = f"{new_folder(docs, 'token-set')}/set"
+    write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), target, end_id=1)
+    return read_token_files(spark, target).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations")
+    turns = written(ordered_turns(talks), new_folder(talks, "turns"), "turns")
+    return trie_of(*rebuilt(turns)).drop("node")
+
+
+OP13_SQL = f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, ''))
+        ) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, {_crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS taken
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+    SELECT c.conv_id, place, role, text FROM convs c JOIN turns t ON c.conv_id = t.conv_id AND place > taken
+    UNION ALL
+    SELECT c.conv_id, place, role, text
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND place <= taken
+), paths AS (
+    SELECT c.conv_id, coalesce(path, []) AS path FROM convs c LEFT JOIN (
+        SELECT conv_id, list(strlen(role) || ':' || role || text ORDER BY place) AS path
+        FROM rebuilt GROUP BY conv_id
+    ) r ON c.conv_id = r.conv_id
+), steps AS (
+    SELECT conv_id, path[1:depth] AS node, depth, len(path) AS size
+    FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM paths)
+), lengths AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth, length(text) AS chars
+    FROM rebuilt
+), nodes AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) = depth AS childless,
+        string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth) AS ends
+    FROM steps GROUP BY node, depth
+), valued AS (
+    SELECT n.*, (n_convs - 1) * coalesce(chars, 0) AS saved
+    FROM nodes n LEFT JOIN lengths l ON n.conv_id = l.conv_id AND n.depth = l.depth
+), family AS (
+    SELECT path[1:up] AS node, up AS depth, v.depth AS below, childless, saved FROM (
+        SELECT *, node AS path, unnest(range(0, depth + 1)) AS up FROM valued
+    ) v
+), sums AS (
+    SELECT node, depth, count(*) FILTER (WHERE below = depth + 1) AS n_children,
+        count(*) FILTER (WHERE childless) AS n_leaves, sum(saved) AS saved_tokens
+    FROM family GROUP BY node, depth
+)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, s.n_children,
+    s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM valued v JOIN sums s ON v.node = s.node AND v.depth = s.depth
+    LEFT JOIN valued p ON p.depth = v.depth - 1 AND p.node = v.node[1 : v.depth - 1]
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_url_filter, op3_minhash_near_dedup, op4_toxicity, op5_sharding,
         op6_decontamination, op7_byte_bpe, op8_exact_dedup, op9_quality, op10_line_dedup,
+        op11_periodic_runs, op12_token_files, op13_conversation_trie,
     )
 }
-SQL = {"op2_url_filter": OP2_SQL, "op6_decontamination": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+SQL = {
+    "op2_url_filter": OP2_SQL,
+    "op6_decontamination": OP6_SQL,
+    "op8_exact_dedup": OP8_SQL,
+    "op11_periodic_runs": OP11_SQL,
+    "op13_conversation_trie": OP13_SQL,
+}

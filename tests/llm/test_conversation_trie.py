@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import compare
+from conftest import SF_DIR
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from punctua.llm import conversation_trie as trie
+from punctua.llm import queries
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def plain_paths(data):
+    talks = defaultdict(list)
+    for conv, turn, role, text in data:
+        if conv is not None:
+            role, text = role or "", text or ""
+            code = hashlib.sha256(f"{len(role.encode())}:{role}:{text}".encode()).digest()
+            talks[conv].append(((turn is not None, turn or 0), role, code, text))
+    return {c: [(t[1], t[3]) for t in sorted(turns)] for c, turns in talks.items()}
+
+
+def plain_nodes(paths):
+    """Every beginning and everything below it, by looking at all pairs."""
+    nodes = {tuple(p[:d]) for p in paths.values() for d in range(len(p) + 1)}
+    members = {v: sorted(c for c, p in paths.items() if tuple(p[: len(v)]) == v) for v in nodes}
+    out = []
+    for v in nodes:
+        below = [u for u in nodes if u[: len(v)] == v]
+        children = [u for u in below if len(u) == len(v) + 1]
+        leaves = [u for u in below if not any(len(w) == len(u) + 1 and w[: len(u)] == u for w in nodes)]
+        saved = sum((len(members[u]) - 1) * len(u[-1][1]) for u in below if u)
+        ends = ",".join(str(c) for c in members[v] if len(paths[c]) == len(v))
+        parent = members[v[:-1]][0] if v else None
+        out.append((members[v][0], len(v), parent, len(members[v]), len(children), len(leaves), saved,
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def plain_rebuilt(paths):
+    out = {}
+    for c, own in paths.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = paths.get(c - c % 100, [])[:h] + own[h:]
+    return out
+
+
+def collected(df):
+    return sorted((tuple(r) for r in df.drop("node").collect()), key=str)
+
+
+turn = st.tuples(
+    st.sampled_from([0, 1, 2, 100, 101, None]), st.sampled_from([0, 1, 2, None]),
+    st.sampled_from(["u", None]), st.sampled_from(["a", "é😀", None]),
+)
+
+
+@given(st.lists(turn, max_size=25))
+@settings(max_examples=8, deadline=None)
+def test_nodes_equal_brute_force(spark, data):
+    df = spark.createDataFrame(data, SCHEMA)
+    assert collected(trie.conversation_trie(df)) == plain_nodes(plain_paths(data))
+
+
+def rebuilt_nodes(df):
+    from punctua.llm.rows import new_folder, written
+
+    turns = written(trie.ordered_turns(df), new_folder(df, "test"), "turns")
+    return collected(trie.trie_of(*trie.rebuilt(turns)))
+
+
+def test_rebuilt_conversations_equal_brute_force(rows):
+    data = [(c, t, "u", f"{t % 3}") for c in [*range(95, 130), 200, 205, 399] for t in range(c % 7 + 1)]
+    data += [(150, None, None, None), (150, 3, "u", "x" * 5000)]
+    wanted = plain_nodes(plain_rebuilt(plain_paths(data)))
+    assert any(n[1] == 0 and n[7] != hashlib.sha256(b"").hexdigest() for n in wanted)  # turnless ones, too
+    assert rebuilt_nodes(rows(SCHEMA, data)) == wanted
+
+
+def test_one_beginning_common_to_all_and_many_copies(rows, monkeypatch):
+    monkeypatch.setattr(trie, "ENDS", 7)  # ids of one node then come in several texts
+    data = [(c, t, "u", "hello" if t < 4 else str(c % 3)) for c in range(120) for t in range(4 + c % 2)]
+    data += [(1000, t, "u", str(t)) for t in range(300)]  # a long conversation costs no round a turn
+    paths = plain_paths(data)
+    short = {c: p for c, p in paths.items() if c != 1000}
+    found = collected(trie.conversation_trie(rows(SCHEMA, data)))
+    deep = [n for n in found if n[0] == 1000]
+    assert len(deep) == 300 and all(n[3] == 1 and n[6] == 0 for n in deep)
+    below = [n for n in plain_nodes(short) if n[1] > 0]
+    assert [n for n in found if n[0] != 1000 and n[1] > 0] == below
+
+
+def test_empty_table_ties_and_clashing_names(rows):
+    assert trie.conversation_trie(rows(SCHEMA, [])).count() == 0
+    assert trie.conversation_trie(rows(SCHEMA, [(None, 1, "u", "a")])).count() == 0
+    data = [(1, 0, "u", "b", "x", 1), (1, 0, "u", "a", "y", 2), (2, 0, "u", "a", "z", 3), (2, 0, "u", "b", "z", 4)]
+    df = rows(SCHEMA + ", node string, depth long", data)
+    assert collected(trie.conversation_trie(df)) == plain_nodes(plain_paths([d[:4] for d in data]))
+
+
+def test_query_equals_its_sql(spark, oracle):
+    df = queries.op13_conversation_trie(spark, SF_DIR)
+    assert compare.differences(df, oracle, queries.OP13_SQL) == []

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest import SF_DIR
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from punctua.llm import queries, token_files
+from punctua.llm.rows import new_folder
+from punctua.llm.token_files import find_documents, read_token_files, write_token_files
+
+FILE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(FILE)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(FILE, encoding="utf-8") as f:
+        return token_files.WordwiseEncoder(f.read(), 1)
+
+
+def plain(tokenizer, text):
+    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
+
+
+odd = st.sampled_from([" ", "\t", "\n", " ", " ", "\x1c", "\x85", "́", "Σ", "ς", "'s", "İ", "Å", "1",
+                       "<|endoftext|>", "가", "ㅏ", "é", "̧", "ﬁ", "​", "😀", "a", "É"])
+
+
+@given(st.lists(st.lists(odd | st.characters(codec="utf-8"), max_size=30).map("".join), max_size=5))
+@settings(max_examples=300, deadline=None)
+def test_words_one_by_one_give_the_ids_of_the_whole_text(tokenizer, encoder, bodies):
+    found = [np.frombuffer(i, "<u2").astype("<u4").tobytes() for i in encoder.encode(bodies)]
+    assert found == [plain(tokenizer, b) for b in bodies]
+
+
+def test_few_words_are_kept_and_long_ones_not_at_all(encoder, tokenizer, monkeypatch):
+    monkeypatch.setattr(token_files, "KEPT", 3)
+    for body in ("a b c d e f g", "x" * 500 + " a", "a b c a b c", "q r s t u v"):
+        assert np.frombuffer(encoder.encode([body])[0], "<u2").astype("<u4").tobytes() == plain(tokenizer, body)
+        assert not any(len(w) > token_files.LONGEST_KEPT for w in encoder.known)
+
+
+def wanted(tokenizer, data):
+    start, out = 0, []
+    for id, text in data:
+        ids = plain(tokenizer, text)
+        out.append((id, start, len(ids) // 4, ids))
+        start += len(ids) // 4
+    return out
+
+
+def test_files_give_back_all_documents_in_order(rows, spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(token_files, "LEAST_BYTES", 64)  # several files
+    data = [(i, f"Text {i} {'word ' * (i % 9)}" if i % 7 else None) for i in range(-5, 300)]
+    data += [(300, "long " * 50_000), (301, "")]
+    df = rows("doc_id long, text string, start long, frame string", [(i, t, 1, "x") for i, t in reversed(data)])
+    target = f"{new_folder(df, 'test')}/set"
+    assert write_token_files(df, FILE, target) == target
+    found = read_token_files(spark, target)
+    assert found.columns == ["id", "start", "n_tokens", "ids"]
+    expected = wanted(tokenizer, data)
+    assert sorted((tuple(r) for r in found.collect())) == expected
+    manifest = spark.read.parquet(f"{target}/manifest").orderBy("number").collect()
+    assert len(manifest) > 3
+    assert [m.first_id for m in manifest] == sorted(m.first_id for m in manifest)
+    some = find_documents(spark, target, [7, 250, 10_000])
+    assert sorted(tuple(r) for r in some.collect()) == [e for e in expected if e[0] in (7, 250)]
+    assert find_documents(spark, target, [10_000]).count() == 0
+
+
+def test_null_and_repeated_ids_and_an_empty_table(rows, spark, tokenizer):
+    df = rows("doc_id long, text string", [(2, "b"), (None, "n"), (2, "b"), (1, "a")])
+    target = write_token_files(df, FILE, f"{new_folder(df, 'test')}/set")
+    found = read_token_files(spark, target).orderBy("start").collect()
+    assert [tuple(r) for r in found] == wanted(tokenizer, [(None, "n"), (1, "a"), (2, "b"), (2, "b")])
+    empty = write_token_files(df.limit(0), FILE, f"{new_folder(df, 'test')}/set")
+    assert read_token_files(spark, empty).count() == 0
+    assert find_documents(spark, empty, [1]).count() == 0
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        write_token_files(df, FILE, target)
+
+
+def test_a_file_is_refused_with_another_dictionary_or_cut():
+    from punctua.llm.token_files import TokenFile, _compressor, pack_file
+
+    shared = b"abcd" * 100
+    ids = np.arange(50, dtype="<u2").tobytes()
+    blocks = iter([[(3, 50, _compressor(shared).compress(ids))]])
+    content = b"".join(r + b"\n" for out in pack_file(blocks, shared, 2) for r in out)
+    assert TokenFile(content, shared).read(0) == np.arange(50, dtype="<u4").tobytes()
+    with pytest.raises(ValueError, match="another dictionary"):
+        TokenFile(content, b"other")
+    with pytest.raises(ValueError, match="cut short"):
+        TokenFile(content[:-9], shared)
+
+
+def test_starts_over_many_blocks_equal_one_running_sum(rows):
+    df = rows("number long, tokens long", [(i, i * i % 13) for i in range(50)])
+    found = token_files.running_totals(df, "number", "tokens", block=7).orderBy("number").collect()
+    assert [r.start for r in found] == [sum(i * i % 13 for i in range(n)) for n in range(50)]
+
+
+def test_query_equals_the_library_on_all_documents(spark, tokenizer):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    expected = [
+        (i, s, n, zlib.crc32(ids)) for i, s, n, ids in wanted(tokenizer, [(d.doc_id, d.text) for d in docs])
+    ]
+    found = queries.op12_token_files(spark, SF_DIR)
+    assert found.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert sorted(tuple(r) for r in found.collect()) == expected
