@@ -289,9 +289,10 @@ def planted(text: Column, id: Column) -> Column:
     g = F.floor(h / 10)
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     n = F.size(words)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    repeated = F.transform(
-        words, lambda w, i: F.when(i >= a, F.get(words, (a + (i - a) % p).cast("int"))).otherwise(w)
-    )
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    # whole arrays: a lambda per word would compute the words anew for each
+    times = F.ceil((n - a) / p).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice(words, a + 1, p), times))
+    changed = F.concat(F.slice(words, F.lit(1), a), F.slice(repeated, F.lit(1), n - a))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(changed, " ")).otherwise(text)
