@@ -38,13 +38,17 @@ MAGIC = b"TOKFILE1"
 HEADER = struct.Struct("<8s32sB")
 FOOTER = struct.Struct("<QQ8s")
 LEVEL = 3
-FILE_BYTES = 64 << 20  # of a file; less where that leaves cores idle
+FILE_BYTES = 8 << 20  # of a file, which a task reads whole; less where that leaves cores idle
 LEAST_BYTES = 1 << 20
 SAMPLE = 2000  # documents the dictionary is trained on, at most
 SAMPLE_BYTES = 4096  # length of their texts, at most
 DICTIONARY_BYTES = 64 << 10
 KEPT = 1 << 18  # words whose ids a worker keeps before it starts anew
 LONGEST_KEPT = 128  # bytes of such a word
+JOINED = 50  # words of a text for the library
+MARK = b"\x01"
+PLAIN_LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100))).replace("÷", "")
+PLAIN = re.compile(f"([{PLAIN_LETTERS}]+)([.,;:!?]*)").fullmatch
 BLOCK_IDS = 1 << 21  # ids read back at once
 
 
@@ -52,8 +56,10 @@ class WordwiseEncoder:
     """Ids of texts by a tokenizer of the library that sees white space as a border only.
 
     Of such a tokenizer a text's ids are those of its words one after the other, so the library
-    is asked once for each word. Words are cut at ASCII blanks; all else, other white space and
-    special tokens included, is left to the library.
+    is asked once for each word. Words of plain small letters, and marks of punctuation after
+    them, are whole pieces already and go to the library's merging itself; other words go through
+    all of it, many as one text, with a MARK of its own token between any two. Words are cut at
+    ASCII blanks; all else, other white space and special tokens included, is left to the library.
     """
 
     def __init__(self, tokenizer_json: str, end_id: int | None):
@@ -61,25 +67,92 @@ class WordwiseEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.width = id_bytes(self.tokenizer.get_vocab_size(), end_id)
+        size = self.tokenizer.get_vocab_size()
+        self.width = id_bytes(size, end_id)
         self.end = b"" if end_id is None else end_id.to_bytes(self.width, "little")
+        self.packed = [i.to_bytes(self.width, "little") for i in range(size)]
         self.known: dict[bytes, bytes] = {}
+        self.folds = "Lowercase" in str(self.tokenizer.normalizer)
+        mark = self._library([MARK.decode()])[0]
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.letters = self._plain_letters()
+
+    def _library(self, bodies: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(bodies, add_special_tokens=False)
+        return [np.array(e.ids, f"<u{self.width}") for e in found]
+
+    def _merged(self, piece: str) -> bytes:
+        return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(piece)])
+
+    def _plain_letters(self) -> dict[int, str] | None:
+        """How the tokenizer spells the letters of PLAIN; None if it does more than that to words."""
+        if self.tokenizer.normalizer is None or self.tokenizer.pre_tokenizer is None:
+            return None
+        letters, marks = PLAIN_LETTERS, ".,;:!?"
+        normal = self.tokenizer.normalizer.normalize_str
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        spelled = {ord(c): "".join(p for p, _ in cut(c)) for c in letters}
+        whole = [p for p, _ in cut(normal(letters + marks))]
+        if normal(letters) != letters or whole != [letters.translate(spelled), marks]:
+            return None
+        words = [letters[i : i + 7] for i in range(len(letters))]
+        through = [i.tobytes() for i in self._library([w + marks for w in words])]
+        merged = [self._merged(w.translate(spelled)) + self._merged(marks) for w in words]
+        return spelled if through == merged else None
+
+    def _plain(self, word: bytes) -> bytes | None:
+        match = PLAIN(word.decode())
+        if match is None:
+            return None
+        letters, marks = match.groups()
+        base = self.known.get(word[: len(word) - len(marks)]) if marks else None
+        if base is None:
+            base = self._merged(letters if letters.isascii() else letters.translate(self.letters))
+        return base + self._merged(marks) if marks else base
 
     def _ids(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, encoding in zip(words, found, strict=True):
-            yield word, np.array(encoding.ids, f"<u{self.width}").tobytes()
+        rest = words
+        if self.letters is not None:
+            rest = []
+            for word in words:
+                ids = self._plain(word)
+                if ids is None:
+                    rest.append(word)
+                else:
+                    yield word, ids
+        alone = [w for w in rest if self.mark is None or MARK in w]
+        if alone:
+            ids = self._library([w.decode() for w in alone])
+            yield from zip(alone, (i.tobytes() for i in ids), strict=True)
+            rest = [w for w in rest if MARK not in w] if self.mark is not None else []
+        groups = [rest[i : i + JOINED] for i in range(0, len(rest), JOINED)]
+        between = b" " + MARK + b" "
+        for group, ids in zip(groups, self._library([between.join(g).decode() for g in groups]), strict=True):
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) != len(group) - 1:
+                raise ValueError("the tokenizer does not see white space as a border only")
+            raw, w = ids.tobytes(), self.width
+            starts = [0, *((cuts + 1) * w).tolist()]
+            ends = [*(cuts * w).tolist(), len(raw)]
+            yield from zip(group, (raw[a:b] for a, b in zip(starts, ends, strict=True)), strict=True)
+
+    def _lower(self, body: bytes) -> bytes:
+        """A-Z as a-z where the tokenizer does the same later, so that fewer words differ.
+
+        It composes letters and marks before; marks that compose with ASCII letters are those from
+        U+0300 to U+033F, whose first byte no other character has. Special tokens keep their case.
+        """
+        return body.lower() if self.folds and b"\xcc" not in body and b"<|" not in body else body
 
     def encode(self, bodies: Sequence[str]) -> list[bytes]:
         """Ids of each text, the end id last, in ``width`` bytes each."""
         out = []
         for _, block in texts.blocks([b.encode() for b in bodies]):
-            words = [body.split() for body in block]
+            words = [self._lower(body).split() for body in block]
             different = set().union(*words)
             new = different.difference(self.known)
-            if len(self.known) + len(new) > KEPT:
-                self.known = {}
-                new = different
+            if len(self.known) + len(new) > KEPT:  # what this block uses stays
+                self.known = {w: self.known[w] for w in different - new}
             self.known.update(self._ids(list(new)))
             out += [b"".join(map(self.known.__getitem__, w)) + self.end for w in words]
             for word in new:
@@ -147,14 +220,15 @@ def pack_file(documents: Iterator[list[tuple]], dictionary: bytes, width: int) -
 class TokenFile:
     """Index of a file's bytes; frames are decompressed on demand."""
 
-    def __init__(self, content: bytes, dictionary: bytes):
+    def __init__(self, content: bytes | pa.Buffer, dictionary: bytes):
+        content = memoryview(content)
         magic, digest, self.width = HEADER.unpack_from(content)
         at, size, tail = FOOTER.unpack_from(content, len(content) - FOOTER.size - 1)
         if magic != MAGIC or tail != MAGIC:
             raise ValueError("no token file, or one cut short")
         if digest != hashlib.sha256(dictionary).digest():
             raise ValueError("the file was written with another dictionary")
-        self.content, self.frames = memoryview(content), _decompressor(dictionary)
+        self.content, self.frames = content, _decompressor(dictionary)
         index = zstandard.ZstdDecompressor().decompress(content[at : at + size])
         (count,) = struct.unpack_from("<Q", index)
         known = np.frombuffer(index, np.uint8, count, 8)
@@ -177,8 +251,9 @@ def _sampled(rows: DataFrame, count: int) -> DataFrame:
 
 
 def write_token_files(
-    df: DataFrame, tokenizer_file: str, target: str, id: str = "doc_id", text: str = "text", end_id: int | None = 1
-) -> str:
+    df: DataFrame, tokenizer_file: str, target: str, id: str = "doc_id", text: str = "text",
+    end_id: int | None = 1, file_bytes: int = FILE_BYTES,
+) -> str:
     """Encode the texts of ``df`` and write them as token files into the new folder ``target``.
 
     Each document ends with ``end_id``, if given. Documents stand in ascending order of ``id``
@@ -197,6 +272,7 @@ def write_token_files(
     body = F.coalesce(column(text), F.lit(""))
     rows = df.select(column(id).cast("long").alias("id"), body.alias("body"))
     shared = spark.sparkContext.broadcast(tokenizer)
+    width = _encoder(tokenizer, end_id).width
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, end_id)
@@ -227,14 +303,13 @@ def write_token_files(
     )
     frames = written(frames, folder, "frames")
     size = frames.agg(F.coalesce(F.sum(F.octet_length("frame")), F.lit(0))).first()[0]
-    files = max(-(-size // FILE_BYTES), min(spark.sparkContext.defaultParallelism, size // LEAST_BYTES), 1)
+    files = max(-(-size // file_bytes), min(spark.sparkContext.defaultParallelism, size // LEAST_BYTES), 1)
     # repeated rows are told apart by their place, so that they need not meet in one file
     order = ("id", "print", "path", "place")
     placed = frames.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("place"))
     ordered = placed.repartitionByRange(int(files), *order).sortWithinPartitions(*order)
 
     def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = _encoder(shared.value, end_id).width
         documents = (
             list(zip(*(b.column(c).to_pylist() for c in ("id", "n", "frame")), strict=True)) for b in batches
         )
@@ -287,7 +362,7 @@ def _manifest(spark: SparkSession, target: str) -> DataFrame:
         for batch in batches:
             rows = []
             for path, raw in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                f = TokenFile(raw.as_py(), content.value)
+                f = TokenFile(raw.as_buffer(), content.value)
                 known = f.ids.drop_null().to_pylist()
                 ends = (known[0], known[-1]) if known else (None, None)
                 rows.append((path, *ends, len(f.ids), int(f.n_tokens.sum())))
@@ -310,7 +385,7 @@ def _documents(dictionary: Callable[[], bytes], wanted: frozenset | None):
         )
         for batch in batches:
             for path, raw in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                f = TokenFile(raw.as_py(), dictionary())
+                f = TokenFile(raw.as_buffer(), dictionary())
                 number = int(re.search(r"/part-(\d+)[^/]*$", path)[1])
                 before = np.cumsum(f.n_tokens) - f.n_tokens
                 ids = f.ids.to_pylist()

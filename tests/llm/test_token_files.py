@@ -33,7 +33,7 @@ def plain(tokenizer, text):
 
 
 odd = st.sampled_from([" ", "\t", "\n", " ", " ", "\x1c", "\x85", "́", "Σ", "ς", "'s", "İ", "Å", "1",
-                       "<|endoftext|>", "가", "ㅏ", "é", "̧", "ﬁ", "​", "😀", "a", "É"])
+                       "<|endoftext|>", "<|ENDOFTEXT|>", "H", "h", "\u0331", "I", "\u0307", "\x01", "가", "ㅏ", "é", "̧", "ﬁ", "​", "😀", "a", "É"])
 
 
 @given(st.lists(st.lists(odd | st.characters(codec="utf-8"), max_size=30).map("".join), max_size=5))
