@@ -10,11 +10,11 @@ from punctua.functions import days
 from punctua.operators import bundles
 from punctua.operators.extras import extra_journeys
 from punctua.plans.bundle_report import write_bundle_reports
-from punctua.plans.daily_ingest import FLATTEN, ingest_archive
+from punctua.plans.daily_ingest import FLATTEN, Stored, ingest_archive
 from punctua.plans.delay_lists import delay_lists, write_lists
 from punctua.session import build_session
-from punctua.sources import day_files, master
-from punctua.streaming.ingest import DAY_IN_PATH, EXTRA_IN_PATH, land_new_files, serve_deliveries
+from punctua.sources import day_files, deliveries, master
+from punctua.streaming.ingest import AGAIN_IN_NAME, DAY_IN_PATH, EXTRA_IN_PATH, MAIN, land_new_files, serve_deliveries
 
 INGESTED = (*FLATTEN, "delay_reports")
 
@@ -43,9 +43,10 @@ def parser() -> argparse.ArgumentParser:
     serve.add_argument("--since", type=days.as_day, help="first delivery day")
     serve.add_argument("--extra", action="store_true", help="the deliveries of extra journeys, not the main ones")
     serve.add_argument("--extra-pattern", default=EXTRA_IN_PATH, help="what marks their paths")
+    serve.add_argument("--again-pattern", default=AGAIN_IN_NAME, help="what may follow the day in a redelivery's name")
     for writes in (ingest, serve):
         writes.add_argument("--target", required=True, help="folder of the day tables")
-        writes.add_argument("--tables", nargs="+", choices=INGESTED, default=["journeys", "stop_events"])
+        writes.add_argument("--tables", nargs="+", choices=INGESTED, help="default: extras with --extra, else journeys and stop_events")
         writes.add_argument("--allow-rejected", action="store_true", help="go on without elements that cannot be used")
     report = commands.add_parser("report", help="all sheets of all bundles")
     _lines_from(report)
@@ -60,6 +61,8 @@ def parser() -> argparse.ArgumentParser:
         reads.add_argument("--tables", required=True, help="folder of the day tables")
         reads.add_argument("--target", required=True)
         reads.add_argument("--as-of", required=True, type=days.as_day)
+    expire = commands.add_parser("expire", help="delete versions of day tables that no delivery uses any more")
+    expire.add_argument("--target", required=True, help="folder of the day tables")
     publish = commands.add_parser("publish", help="bundles with and without a publication target")
     _lines_from(publish)
     publish.add_argument("--targets", required=True, help="publication list, ';' separated")
@@ -91,7 +94,7 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
     spark = build_session(f"punctua-{args.command}")
     if args.command == "ingest":
         return ingest_archive(
-            spark, args.xml, args.target, args.delivery_day, tuple(args.tables), args.allow_rejected
+            spark, args.xml, args.target, args.delivery_day, tuple(args.tables or MAIN), args.allow_rejected
         )
     if args.command == "land":
         land_new_files(
@@ -100,10 +103,12 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
         return {"landing": args.landing}
     if args.command == "serve":
         served = serve_deliveries(
-            spark, args.landing, args.target, tuple(args.tables), args.since, args.allow_rejected,
-            args.extra, args.extra_pattern,
+            spark, args.landing, args.target, tuple(args.tables or ()), args.since, args.allow_rejected,
+            args.extra, args.extra_pattern, args.again_pattern,
         )
         return {day: args.target for day in served}
+    if args.command == "expire":
+        return {path: "deleted" for path in deliveries.expire(spark, args.target.rstrip("/"))}
     if args.command == "report":
         return _report(spark, args)
     if args.command == "delays":
@@ -118,5 +123,6 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
 
 
 if __name__ == "__main__":
-    for name, path in main().items():
-        print(name, path)
+    done = main()
+    for name, path in done.items():
+        print(name, path, *([f"{done.rows[name]} rows"] if isinstance(done, Stored) else []))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -20,8 +20,10 @@ from pyspark.sql.types import (
 from punctua.functions.days import as_day
 from punctua.functions.text import line_id_padded
 from punctua.schemas import OLD_NAMES, TABLES, struct
+from punctua.sources import deliveries
+from punctua.sources.deliveries import DELIVERY, VERSION, Publication
 
-SOURCE_FILE, DELIVERY = "source_file", "delivery_day"
+SOURCE_FILE = "source_file"
 
 
 def _convert(name: str, have: DataType, want: DataType) -> Column:
@@ -98,11 +100,17 @@ def with_short_line_id(df: DataFrame) -> DataFrame:
 def read_days(
     spark: SparkSession, table: str, path: str, delivery_day: bool = False
 ) -> DataFrame:
-    """All deliveries of a table written by ``write_days``; day predicates prune its folders.
+    """All present deliveries of a table written by ``write_days``; day predicates prune its folders.
 
-    ``delivery_day`` adds the delivery each row came with.
+    ``delivery_day`` adds the delivery each row came with. Of each delivery the last published
+    version is read, as the manifests stand now; a table without deliveries is empty.
     """
-    stored = spark.read.schema(f"{TABLES[table]}, {DELIVERY} date").parquet(path)
+    schema = f"{TABLES[table]}, {DELIVERY} date"
+    root, name = deliveries.home(spark, path)
+    if deliveries.exists(spark, f"{root}/{deliveries.FOLDER}"):
+        stored = deliveries.read(spark, schema, root, name, deliveries.paths(spark, root, name))
+    else:
+        stored = spark.read.schema(schema).parquet(path)
     return stored if delivery_day else stored.drop(DELIVERY)
 
 
@@ -117,34 +125,44 @@ def is_stream_table(spark: SparkSession, path: str) -> bool:
     return log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log)
 
 
-def _written(df: DataFrame, path: str, partitions: tuple[str, ...], sort_by: tuple[str, ...]) -> None:
+def write_version(
+    df: DataFrame, path: str, partitions: tuple[str, ...], sort_by: tuple[str, ...] = ("line_id",)
+) -> int:
+    """Write rows into a new folder and return their number, counted as they are written.
+
+    The rebalance keeps a day's rows together where they are few and splits a large day over
+    several tasks and files; sorting inside the tasks lets row groups be skipped by line.
+    """
     keys = [c for c in sort_by if c in df.columns]
+    counted = Observation()
     (
         df.hint("rebalance", *partitions)
+        .observe(counted, F.count(F.lit(1)).alias("rows"))
         .sortWithinPartitions(*partitions, *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*partitions)
+        .write.partitionBy(*partitions)
         .parquet(path)
     )
+    return counted.get["rows"]
 
 
 def write_days(
     df: DataFrame, path: str, delivery_day: str, sort_by: tuple[str, ...] = ("line_id",)
-) -> None:
-    """Store one delivery; the same delivery day again replaces it, nothing else is touched.
-
-    A delivery may hold rows of any operating days: they lie beside those that
-    other deliveries brought for the same days.
+) -> int:
+    """Store one delivery and return its number of rows.
 
-    The rebalance keeps a day's rows together where they are few and splits a
-    large day over several tasks and files; sorting inside the tasks lets row
-    groups be skipped by line.
+    The same delivery day again replaces it, nothing else is touched. A delivery may hold rows of
+    any operating days: they lie beside those that other deliveries brought for the same days.
     """
-    if is_stream_table(df.sparkSession, path):
+    spark = df.sparkSession
+    if is_stream_table(spark, path):
         raise ValueError(f"{path} is written by a stream; give deliveries a folder of their own")
     day = as_day(delivery_day).isoformat()
-    _written(df.drop(DELIVERY), f"{path.rstrip('/')}/{DELIVERY}={day}", ("operating_day",), sort_by)
+    root, name = deliveries.home(spark, path)
+    below = f"{VERSION}={deliveries.new_version()}/{DELIVERY}={day}"
+    below = f"{name}/{below}" if name else below
+    rows = write_version(df.drop(DELIVERY), f"{root}/{below}", ("operating_day",), sort_by)
+    deliveries.publish(spark, root, [Publication(day, {name: below}, {name: rows})])
+    return rows
 
 
 def migrate_day_files(
@@ -160,9 +178,21 @@ def migrate_day_files(
     stored schema of a glob; without it the footers of all its files are read
     and merged. Converted columns cannot be pushed into old files, so every
     later read should go to the result. Rows whose day cannot be read stay in
-    the partition without a day.
+    the partition without a day. A target that holds deliveries already is refused.
     """
+    root, name = deliveries.home(spark, path)
+    kept = [n for n in deliveries.names(spark, path) if n.startswith((VERSION, DELIVERY))]
+    if kept or (name and deliveries.paths(spark, root, name)):
+        raise ValueError(f"{path} holds deliveries; migrate into a folder of its own")
     rows = read_day_files(spark, table, globs, schemas=schemas)
     dated = rows.withColumn(DELIVERY, F.col("operating_day"))
-    _written(dated, path, (DELIVERY, "operating_day"), ("line_id",))
+    version = f"{VERSION}={deliveries.new_version()}"
+    version = f"{name}/{version}" if name else version
+    write_version(dated, f"{root}/{version}", (DELIVERY, "operating_day"))
+    days = [n for n in deliveries.names(spark, f"{root}/{version}") if n.startswith(f"{DELIVERY}=")]
+    lines = [
+        Publication(None if "__HIVE" in n else n.partition("=")[2], {name: f"{version}/{n}"}, source="migrated")
+        for n in days
+    ]
+    deliveries.publish(spark, root, lines)
     return read_days(spark, table, path)

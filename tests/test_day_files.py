@@ -83,7 +83,7 @@ def test_large_day_is_split_and_small_days_are_not(spark, rows, tmp_path):
         day_files.write_days(big.unionByName(small), target, "2024-03-01")
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    files = lambda day: len(list(Path(target, "delivery_day=2024-03-01", f"operating_day={day}").glob("*.parquet")))
+    files = lambda day: len(list(Path(target).glob(f"version=*/delivery_day=2024-03-01/operating_day={day}/*.parquet")))
     assert files("2024-01-10") > 1
     assert files("2024-02-03") == 1
 

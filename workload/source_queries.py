@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from punctua import schemas
-from punctua.plans.daily_ingest import delay_matrix, ingest_archive
+from punctua.plans.daily_ingest import delay_matrix, ingest_archive, read_rejected
 from punctua.session import shared_folder
-from punctua.sources import archive_xml, catalog, day_files, master
+from punctua.sources import archive_xml, catalog, day_files, deliveries, master
 from punctua.streaming import ingest
 from workload import archive_text
 from workload import standins as st
@@ -34,9 +34,10 @@ def by_month(spark, sf):
     return st.journeys(spark, sf).withColumn("operating_day", F.trunc("operating_day", "month"))
 
 
-@query("S18 S1", JOURNEY_ROWS.replace("operating_day::text", "date_trunc('month', operating_day)::date::text"))
+@query("S18 S1 S12", JOURNEY_ROWS.replace("operating_day::text", "date_trunc('month', operating_day)::date::text"))
 def streamed_archive_journeys(spark, sf):
-    """Two deliveries by stream, the first delivered again, and one by batch into the same table."""
+    """Two deliveries by stream, the first delivered again with less, corrected by batch and served
+    once more; extra journeys land beside it; a third delivery comes by batch alone."""
     landed, landing = shared_folder(spark, "landed"), shared_folder(spark, "landing")
     progress, served = shared_folder(spark, "progress"), shared_folder(spark, "served")
     rows = by_month(spark, sf)
@@ -45,24 +46,62 @@ def streamed_archive_journeys(spark, sf):
 
     def land(part, delivery):
         archive_text.journey_documents(spark, sf, part).write.text(f"{landed}/{delivery}")
-        by_folder = r"/([^/]+)/[^/]+$"
+        by_folder = r"/?([^/]+)/[^/]+$"
         ingest.land_new_files(spark, f"{landed}/*/", landing, progress, arrival_pattern=by_folder).awaitTermination()
 
-    land(rows.where(~late & ~early), "2000-01-01-a")
+    def by_batch(part, day):
+        folder = shared_folder(spark, "batch")
+        archive_text.journey_documents(spark, sf, part).write.text(folder)
+        ingest_archive(spark, folder, served, day, ("journeys",))
+
+    first = ~late & ~early
+    land(rows.where(first), "2000-01-01-a")
     land(rows.where(late), "2000-01-02-a")
-    land(rows.where(~late & ~early), "2000-01-01-b")
+    land(rows.where(first & (F.col("line_short") != "1")), "2000-01-01-b")
+    land(rows.where(late), "extra-2000-01-02")
+    ingest.serve_deliveries(spark, landing, served, ("journeys",))
+    by_batch(rows.where(first), "2000-01-01")
+    by_batch(rows.where(early), "2000-01-03")
     ingest.serve_deliveries(spark, landing, served, ("journeys",))
-    by_batch = shared_folder(spark, "batch")
-    archive_text.journey_documents(spark, sf, rows.where(early)).write.text(by_batch)
-    ingest_archive(spark, by_batch, served, "2000-01-03", ("journeys",))
+    ingest.serve_deliveries(spark, landing, served, extra=True)
     return day_files.read_days(spark, "journeys", f"{served}/journeys")
 
 
+@query("S18 S12", """
+  SELECT * FROM (VALUES ('2000-01-01', 1::bigint, 'stream', 'journeys'), ('2000-01-02', 2, 'stream', 'journeys'),
+    ('2000-01-01', 3, 'batch', 'journeys'), ('2000-01-02', 4, 'stream', 'extras')) AS t(delivery_day, number, source, "table"),
+  LATERAL (SELECT count(*) AS total FROM journeys WHERE CASE number WHEN 1 THEN line_short <> '1' AND operating_day < DATE '2000-01-01'
+    WHEN 3 THEN operating_day < DATE '2000-01-01' ELSE operating_day >= DATE '2000-01-01' END)""")
+def served_arrivals(spark, sf):
+    """The ledger: what was served, from where and with how many rows, in order; a second run serves nothing."""
+    landed, landing = shared_folder(spark, "landed"), shared_folder(spark, "landing")
+    progress, served = shared_folder(spark, "progress"), shared_folder(spark, "served")
+    rows = by_month(spark, sf)
+    late = F.col("operating_day") >= F.lit("2000-01-01").cast("date")
+    for part, delivery in (
+        (rows.where(~late & (F.col("line_short") != "1")), "2000-01-01"),
+        (rows.where(late), "2000-01-02"), (rows.where(late), "2000-01-02-extra"),
+    ):
+        archive_text.journey_documents(spark, sf, part).write.text(f"{landed}/{delivery}")
+    ingest.land_new_files(spark, landed, landing, progress).awaitTermination()
+    ingest.serve_deliveries(spark, landing, served, ("journeys",))
+    by_hand = shared_folder(spark, "batch")
+    archive_text.journey_documents(spark, sf, rows.where(~late)).write.text(by_hand)
+    ingest_archive(spark, by_hand, served, "2000-01-01", ("journeys",))
+    ingest.serve_deliveries(spark, landing, served, ("journeys",))
+    ingest.serve_deliveries(spark, landing, served, extra=True)
+    told = deliveries.ledger(spark, served).select("delivery_day", "number", "source", F.explode("rows").alias("table", "total"))
+    return told.where(~F.col("table").isin(deliveries.REJECTED, deliveries.ACCOUNTS))
+
+
 @query("S1 S12", """
   SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'does not parse' WHEN o_orderkey % 11 = 0 THEN 'no end tag'
-    WHEN o_orderkey % 13 = 0 THEN 'no operating day' END AS reason, count(*) AS total FROM orders GROUP BY 1""", prelude=False)
+    WHEN o_orderkey % 13 = 0 THEN 'no operating day' END AS reason, count(*) AS total FROM orders GROUP BY 1
+  UNION ALL SELECT 'no element', count(*) FROM region""", prelude=False)
 def archive_rejects(spark, sf):
-    """Every start tag is accounted for: used, or set aside with a reason; blanks in an end tag do no harm."""
+    """Every start tag is accounted for: used, or set aside with a reason; blanks in an end tag and
+    prefixes do no harm. Files without an element, one a region, are set aside as well; another
+    table of the same day, delivered later, leaves all of this in place."""
     key, tag = F.col("o_orderkey"), archive_xml.ROW_TAG
     day = F.when(key % 13 == 0, "soon").otherwise("2024-01-10T00:00:00+01:00")
     number = F.concat(F.lit("<journeyID>"), key.cast("string"), F.lit("</journeyID>"))
@@ -72,10 +111,19 @@ def archive_rejects(spark, sf):
     )
     end = F.when((key % 11 == 0) & (key % 7 != 0), "").when(key % 2 == 0, f"</{tag} >").otherwise(f"</{tag}>")
     landed, target = shared_folder(spark, "landed"), shared_folder(spark, "deliveries")
-    st.table(spark, sf, "orders").select(F.concat(F.lit(f"<{tag}>"), inner, end)).write.text(landed)
-    paths = ingest_archive(spark, landed, target, "2024-01-10", ("journeys",), allow_rejected=True)
+    plain = F.concat(F.lit(f"<{tag}>"), inner, end)
+    prefixed = F.regexp_replace(F.regexp_replace(plain, "</", "</x:"), "<(?!/)", "<x:")
+    whole = (key % 17 == 0) & (key % 7 != 0) & (key % 11 != 0)
+    st.table(spark, sf, "orders").select(F.when(whole, prefixed).otherwise(plain)).write.text(landed)
+    other = st.table(spark, sf, "region").select(F.col("r_regionkey").alias("part"), F.lit("<other/>").alias("text"))
+    other.write.partitionBy("part").text(f"{landed}-other")
+    files = [landed, f"{landed}-other/*"]
+    paths = ingest_archive(spark, files, target, "2024-01-10", ("journeys",), allow_rejected=True)
+    extras = shared_folder(spark, "landed")
+    archive_text.journey_documents(spark, sf, by_month(spark, sf)).write.text(extras)
+    ingest_archive(spark, extras, target, "2024-01-10", ("extras",))
     used = day_files.read_days(spark, "journeys", paths["journeys"])
-    aside = spark.read.parquet(paths["rejected"])
+    aside = read_rejected(spark, target)
     both = used.select(F.lit(None).cast("string").alias("reason")).unionByName(aside.select("reason"))
     return both.groupBy("reason").agg(F.count("*").alias("total"))
 
