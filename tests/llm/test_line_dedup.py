@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import time
 from collections import Counter, defaultdict
 
+import pytest
 from conftest import SF_DIR
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from punctua.llm import queries
-from punctua.llm.line_dedup import drop_site_lines, html_lines
+from punctua.llm.line_dedup import drop_site_lines, html_lines, visible_text
 from punctua.llm.url_filter import host_and_path
 
 
@@ -20,7 +25,7 @@ def plain(pages, ratio=0.3, least=3):
     out = []
     for host, text in pages:
         h = host or ""
-        drop = {x for x, n in having[h].items() if n >= least and n >= ratio * total[h]}
+        drop = {x for x, n in having[h].items() if n >= least and n > ratio * total[h]}
         lines = [] if text is None else text.split("\n")
         kept = [x for x in lines if bare(x) not in drop]
         full = sum(bare(x) != "" for x in lines)
@@ -59,6 +64,24 @@ def test_empty_table(rows):
     assert result(rows("host string, text string", [])) == []
 
 
+BREAKS = re.compile(r"(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)>|<[^>]*>", re.ASCII)
+PARTS = ("<", ">", "<!--", "-->", "<script>", "<SCRIPT a>", "</script>", "<style", "</Style>", "<styles>", "<b>", "</b>",
+         "a", "É", " ", "\t", "\n", "\r", "--", "/")
+
+
+@given(st.lists(st.sampled_from(PARTS), max_size=25).map("".join))
+@settings(max_examples=500, deadline=None)
+def test_visible_text_equals_patterns(html):
+    assert visible_text(html) == re.sub(r"[ \t\r\n]*\n[ \t\r\n]*", "\n", BREAKS.sub("\n", html))
+
+
+@pytest.mark.parametrize("piece", [" ", "\n ", "<!--", "<script ", "<script>", "<", "<style></", "--><!-- ", "<b>\n"])
+def test_long_pages_take_linear_time(piece):
+    began = time.process_time()
+    visible_text(piece * ((1 << 20) // len(piece)))
+    assert time.process_time() - began < 2
+
+
 def test_html_lines(rows):
     html = "<p>a<b>b</b></p><script>var t='</p>';\n</script><!-- x\n<p> --> c \n\n d<br/>"
     df = rows("html string", [(html,), (None,), ("",)])
