@@ -1,23 +1,23 @@
 """Exact duplicates by progressive refinement: length, then prefix hash, then full hash.
 
 Only rows that share their length and the hash of their beginning with another row have
-their whole content hashed. Whether a row may be such a one is read from a bitmap of fixed
-size inside the scan, so no text is shuffled to find out; a wrong yes costs one hash.
+their whole content hashed. Whether a row may be such a one is read from a bitmap, sized by the
+number of such groups, inside the scan, so no text is shuffled to find out; a wrong yes costs
+one hash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctua.llm.bitmap import bitmap, place
+from punctua.llm.bitmap import with_maybe
 from punctua.llm.rows import column, new_folder, unpacked, written
 
 PREFIX = 256  # characters of the first hash
-BITS = 1 << 20  # of the bitmap: 16,384 longs, whatever the size of the table
+BITS, MOST_BITS = 1 << 20, 1 << 26  # of the bitmap: 2^20 longs at most, whatever the size of the table
 
 
 def exact_duplicates(
@@ -28,7 +28,8 @@ def exact_duplicates(
     Texts are equal when all characters are; null counts as empty. Of equal texts the row
     with the largest id stays (a null id is the smallest); of rows equal in id and text one
     stays, so every group keeps exactly one row. ``keep_id`` is the id of the row that
-    stays. The carried columns are written once. Columns with the new names are replaced.
+    stays. Texts of any length are hashed whole; an empty table stays empty. The carried columns
+    are written once. Columns with the new names are replaced.
     """
     folder = new_folder(df, "exact-dedup")
     body = F.coalesce(column(text), F.lit(""))
@@ -43,13 +44,10 @@ def exact_duplicates(
     by_prefix = rows.groupBy("length", "prefix").agg(F.count("*").alias("n"))
     shared = by_prefix.groupBy("length").agg(F.sum("n").alias("all")).filter("all > 1")
     groups = by_prefix.filter("n > 1").join(shared, "length", "left_semi")
+    groups = written(groups.select("length", "prefix"), folder, "groups")
     code = F.xxhash64("length", "prefix")
-    known = F.lit(np.array(bitmap(groups, code, BITS), np.int64))
-
-    word, bit = place(code, BITS)
-    maybe = F.getbit(F.element_at(known, word + 1), bit) == 1
-    hashed = rows.select(
-        "row", "id", F.when(maybe, F.unhex(F.sha2("body", 256))).alias("full")
+    hashed = with_maybe(rows, code, groups, code, BITS, MOST_BITS).select(
+        "row", "id", F.when(F.col("maybe"), F.unhex(F.sha2("body", 256))).alias("full")
     ).withColumn("tag", F.monotonically_increasing_id())
     # Written so that the tags, which tell equal rows apart, stay what they are.
     stored = written(hashed, folder, "hashed")

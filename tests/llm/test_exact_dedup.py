@@ -5,6 +5,7 @@ from conftest import SF_DIR
 
 from punctua.llm import exact_dedup, queries
 from punctua.llm.exact_dedup import exact_duplicates
+from punctua.llm.rows import written
 
 
 def test_query_against_sql(spark, oracle):
@@ -43,7 +44,26 @@ def test_empty_table(rows):
 
 def test_full_bitmap_changes_nothing(rows, monkeypatch):
     monkeypatch.setattr(exact_dedup, "BITS", 64)
+    monkeypatch.setattr(exact_dedup, "MOST_BITS", 64)
     data = [(i, f"text {i % 150}") for i in range(400)]
     got = result(rows("doc_id int, text string", data))
     last = {i % 150: i for i in range(400)}
     assert [g[1] for g in sorted(got)] == [last[i % 150] for i in range(400)]
+
+
+def test_full_hashes_stay_in_proportion_to_the_groups(rows, monkeypatch):
+    """With more groups than the smallest map has bits, rows without a twin are still let off."""
+    hashed = []
+
+    def counted(df, folder, name):
+        out = written(df, folder, name)
+        if name == "hashed":
+            hashed.append(out.filter("full IS NOT NULL").count())
+        return out
+
+    monkeypatch.setattr(exact_dedup, "BITS", 64)
+    monkeypatch.setattr(exact_dedup, "written", counted)
+    data = [(i, f"twin {i % 300}") for i in range(600)] + [(1000 + i, f"alone {i} {'x' * i}") for i in range(900)]
+    got = result(rows("doc_id int, text string", data))
+    assert sum(not g[3] for g in got) == 300
+    assert 600 <= hashed[0] < 600 + 0.2 * 900
