@@ -3,7 +3,8 @@
 Incremental blob ledger: texts are addressed by their SHA-256. The ledger is a Parquet
 table, one folder per rule and rule version, that says which blobs the rule has seen and
 what it found. A run scans only pairs of blob and rule version that the ledger lacks,
-appends them, and joins the findings back to every row that holds the blob.
+appends them, and joins the findings back to every row that holds the blob. What moves to find
+the unseen pairs are addresses; texts move for unseen blobs only, one copy of each.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctua.llm.bitmap import with_maybe
 from punctua.llm.rows import column, new_folder, packed, prepare_workers, unpacked, written
 
+BITS, MOST_BITS = 1 << 20, 1 << 26  # of the bitmap of unseen blobs
 LEDGER = "blob binary, spans array<struct<start:int,end:int>>, rule string, version int"
 
 
@@ -104,22 +107,28 @@ def update_ledger(df: DataFrame, ledger: str, text: str = "text", rules=RULES) -
     """Scan each blob of ``df`` with each rule version that has not seen it yet.
 
     One copy of a text leaves each scan task (partial aggregation), however many rows hold it.
+    If the ledger has seen anything, the addresses are compared with it first, and a bitmap of
+    the unseen ones keeps the texts of the others in the scan.
     """
     spark = df.sparkSession
     prepare_workers(spark)
     wanted = F.array(*(F.lit(f"{r.name}@{r.version}") for r in rules))
-    blobs = _addressed(df, text).groupBy("blob").agg(F.first("text").alias("text"))
-    seen = (
-        read_ledger(spark, ledger)
-        .groupBy("blob")
-        .agg(F.collect_set(F.concat_ws("@", "rule", F.col("version").cast("string"))).alias("seen"))
-    )
-    todo = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
-    unseen = (
-        blobs.join(seen, "blob", "left")
-        .select("blob", "text", todo.alias("todo"))
-        .filter(F.size("todo") > 0)
-    )
+    blobs = _addressed(df, text).select("blob", "text")
+    current = F.concat_ws("@", "rule", F.col("version").cast("string"))
+    known = read_ledger(spark, ledger).filter(current.isin([f"{r.name}@{r.version}" for r in rules]))
+    if known.isEmpty():
+        unseen = blobs.groupBy("blob").agg(F.first("text").alias("text")).withColumn("todo", wanted)
+    else:
+        folder = new_folder(df, "unseen")
+        digests = written(blobs.select("blob").distinct(), folder, "digests")
+        seen = known.join(digests, "blob", "left_semi").groupBy("blob").agg(F.collect_set(current).alias("seen"))
+        todo = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
+        pairs = digests.join(seen, "blob", "left").select("blob", todo.alias("todo")).filter(F.size("todo") > 0)
+        pairs = written(pairs, folder, "pairs")
+        code = F.xxhash64("blob")
+        texts = with_maybe(blobs, code, pairs, code, BITS, MOST_BITS).filter("maybe")
+        unseen = texts.groupBy("blob").agg(F.first("text").alias("text")).join(pairs, "blob")
+    unseen = unseen.select("blob", "text", "todo")
     found = unseen.mapInArrow(_scan(tuple(rules)), LEDGER)
     found.write.mode("append").partitionBy("rule", "version").parquet(ledger)
 

@@ -74,3 +74,28 @@ def test_only_unseen_pairs_are_scanned(spark, rows):
     found = {r.path: r.findings for r in scan_secrets(second, ledger, rules=changed).collect()}
     assert [s.kind for s in found["a"]] == ["access"] and found["b"] == []
     assert read_ledger(spark, ledger).count() == 8
+
+
+def test_a_ledger_that_knows_nearly_all_moves_few_texts(spark, rows, monkeypatch):
+    """Of 500 texts 495 are known: the others' texts, and none else, leave the scan."""
+    from punctua.llm import secrets
+
+    moved = []
+
+    def counted(*args):
+        out = with_maybe(*args)
+        moved.append(out.filter("maybe").count())
+        return out
+
+    with_maybe = secrets.with_maybe
+    monkeypatch.setattr(secrets, "with_maybe", counted)
+    old = rows("id int, text string", [(i, f"token = {HEX}{i:06d} {'x' * 2000}") for i in range(495)])
+    ledger = new_folder(old, "t")
+    scan_secrets(old, ledger).collect()
+    assert moved == []
+    new = old.union(rows("id int, text string", [(i, f"token = {HEX}{i:06d} {'y' * 2000}") for i in range(500, 505)]))
+    found = scan_secrets(new, ledger).collect()
+    assert len(found) == 500 and all(r.findings for r in found)
+    assert 5 <= moved[0] <= 8
+    assert read_ledger(spark, ledger).count() == 500 * len(RULES)
+    assert len(scan_secrets(new, ledger).collect()) == 500 and moved[1] == 0
