@@ -50,9 +50,11 @@ class ByteBPE:
         self.pieces = regex.compile(pattern)
         self.halves = {i: self._last_merge(t) for t, i in ranks.items()}
         self.merges = {h: i for i, h in self.halves.items() if h is not None}
+        # a token that no merge reaches only stands for a whole piece
+        self.reached = {t for t, i in ranks.items() if len(t) == 1 or self.halves[i] is not None}
         self.shorter = {i: self._shorter(t) for t, i in ranks.items()}
         self.longest = ahocorasick.Automaton()
-        for token, i in ranks.items():
+        for token, i in ((t, i) for t, i in ranks.items() if t in self.reached):
             self.longest.add_word(token[::-1].decode("latin-1"), (len(token), i))
         self.longest.make_automaton()
         self.pairs = Kept(self._compatible)
@@ -77,15 +79,15 @@ class ByteBPE:
                 if rank < best:
                     best, at = rank, i
             if at < 0:
-                return None  # no merge reaches it: it only stands for a whole piece
+                return None  # no merge reaches it
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
 
     def _shorter(self, token: bytes) -> int | None:
-        """The longest token that is a proper beginning of this one."""
+        """The longest token that merges reach and that is a proper beginning of this one."""
         for n in range(len(token) - 1, 0, -1):
-            if (i := self.ranks.get(token[:n])) is not None:
-                return i
+            if token[:n] in self.reached:
+                return self.ranks[token[:n]]
         return None
 
     def _compatible(self, pair: tuple[int, int]) -> bool:
@@ -165,7 +167,8 @@ def encode_and_decode(
     """Rows of ``df`` (all columns or those of ``keep``) with ``n_tokens``, ``ids``, ``decoded``.
 
     ``ids`` holds the token ids as little-endian unsigned 32-bit integers, as in token
-    files; ``decoded`` the bytes they stand for. Matches of ``pattern`` are encoded each on
+    files; ``decoded`` the bytes they stand for. Texts of any length are encoded whole, in time
+    linear in it; an empty table stays empty. Matches of ``pattern`` are encoded each on
     its own, without special tokens. A null text counts as empty and has no ids; rows are
     independent of each other, so repeated ones are alike. Columns with the new names are
     replaced. The rank file is read on the driver and sent along (its size is that of the

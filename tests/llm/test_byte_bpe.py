@@ -71,3 +71,11 @@ def test_nulls_and_clashing_columns(rows):
     assert set(out[0].asDict()) == {"doc_id", "text", "row", "body", "n_tokens", "ids", "decoded"}
     empty = rows("doc_id int, text string", [])
     assert encode_and_decode(empty, FILE, public_tokenizers.PATTERN).collect() == []
+
+
+def test_tokens_that_no_merge_reaches_stand_for_whole_pieces_only():
+    ranks = {bytes([i]): i for i in range(256)} | {b"abc": 256, b"xy": 257, b"xyzw": 258}
+    theirs = tiktoken.Encoding("odd", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ours = ByteBPE(ranks, public_tokenizers.PATTERN)
+    for text in ("abc", "abcd", "dabc", "xyzw", "xyzwx", "axyzw", "abcabc"):
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode_ordinary(text)
