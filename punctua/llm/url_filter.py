@@ -131,7 +131,8 @@ def judge_urls(
 
     A null or malformed url has host and path '' and meets only a rule for these. A rule
     with null host is void, one with null path fits every path; of repeated rules with
-    different verdicts the last in alphabetical order counts. Repeated urls are judged once
+    different verdicts the last in alphabetical order counts. Urls of any length are compared
+    whole; an empty table stays empty, without rules every url has the default. Repeated urls are judged once
     and each row gets the verdict. Columns of ``df`` with the new names are replaced.
     """
     host, path = host_and_path(column(url))
@@ -176,6 +177,8 @@ def judge_urls(
             F.col("won.verdict").alias("verdict"),
         )
     )
+    # A plain table and not an aggregate: Spark can then split the rows of a much repeated url.
+    judged = written(judged, new_folder(df, "url-filter"), "judged")
     result = rows.join(judged, ["host", "path"], "left")
     result = result.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
     return unpacked(result, "host", "path", "rule", "verdict")
