@@ -8,7 +8,7 @@ import sys
 import time
 
 from punctua.session import build_session, clear_shared_folders
-from workload import QUERIES
+from workload import QUERIES, source_queries
 
 HEADLINE = (
     "bundle_coverage_by_day",
@@ -37,8 +37,10 @@ HEADLINE = (
 )
 
 
-# These write their own input (archive XML, old day files) while they are built: shown apart.
-PREPARED = ("archive_journeys", "day_files_of_two_generations")
+# Writes its own input (archive XML) while it is built: shown apart.
+PREPARED = ("archive_journeys",)
+# Old day files are written before the clock starts; their migration is timed.
+INPUTS = {"day_files_of_two_generations": source_queries.old_day_files}
 
 
 def main() -> None:
@@ -58,6 +60,10 @@ def main() -> None:
     QUERIES["journey_count"].build(spark, sf_dir).collect()
     seconds, prepared = {}, {}
     for name in names:
+        if name in INPUTS:
+            start = time.perf_counter()
+            INPUTS[name](spark, sf_dir)
+            prepared[name] = round(time.perf_counter() - start, 3)
         start = time.perf_counter()
         rows = QUERIES[name].build(spark, sf_dir)
         if name in PREPARED:

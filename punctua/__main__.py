@@ -10,7 +10,7 @@ from punctua.functions import days
 from punctua.operators import bundles
 from punctua.operators.extras import extra_journeys
 from punctua.plans.bundle_report import write_bundle_reports
-from punctua.plans.daily_ingest import FLATTEN, Stored, ingest_archive
+from punctua.plans.daily_ingest import COUNTS, FLATTEN, Stored, ingest_archive
 from punctua.plans.delay_lists import delay_lists, write_lists
 from punctua.session import build_session
 from punctua.sources import day_files, deliveries, master
@@ -76,6 +76,14 @@ def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return master.read_lines_csv(spark, args.lines)
 
 
+def _counts(spark: SparkSession, tables: str) -> DataFrame | None:
+    """Daily counts of the journeys, if every delivery of them has its own."""
+    root = tables.rstrip("/")
+    if deliveries.delivery_days(spark, root, "journeys") != deliveries.delivery_days(spark, root, COUNTS):
+        return None
+    return day_files.read_days(spark, COUNTS, f"{root}/{COUNTS}")
+
+
 def _report(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     tables = {
         name: day_files.read_days(spark, name, f"{args.tables.rstrip('/')}/{name}")
@@ -85,7 +93,7 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     return write_bundle_reports(
         day_files.with_short_line_id(tables["journeys"]),
         day_files.with_short_line_id(tables["stop_events"]),
-        _lines(spark, args), extra, args.target, args.as_of, args.days, args.incident_days,
+        _lines(spark, args), extra, args.target, args.as_of, args.days, args.incident_days, _counts(spark, args.tables),
     )
 
 

@@ -97,28 +97,33 @@ def nested_bundles(lines: DataFrame, unreported: tuple[str, ...] = UNREPORTED) -
 
     A report filters journeys by a part of the bundle name, so a bundle also
     shows up in the reports of every bundle whose name lies inside its own.
-    Each name is spread into its parts and joined by equality, which avoids
-    comparing every name with every other.
+    Each name is spread into its parts of the lengths that reported names have,
+    and joined by equality, which avoids comparing every name with every other.
+    The lengths, no more than the longest name has characters, are collected first.
     """
-    names = lines.where(F.col("bundle").isNotNull()).select("bundle").distinct()
-    size = F.length("bundle")
-    parts = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size),
-            lambda start: F.transform(
-                F.sequence(F.lit(1), size - start + 1),
-                lambda count: F.substring(F.col("bundle"), start, count),
-            ),
-        )
-    )
-    # every name contains the empty one
-    parts = F.when(size > 0, parts).otherwise(F.array().cast("array<string>"))
-    parts = F.array_distinct(F.array_append(parts, F.lit("")))
-    spread = names.select("bundle", F.explode(parts).alias("report_bundle"))
     reported = bundle_list(lines, unreported).withColumnRenamed("bundle", "report_bundle")
+    lengths = [r[0] for r in reported.select(F.length("report_bundle")).distinct().collect()]
+    spread = spread_names(lines, lengths)
     return spread.join(reported, "report_bundle", "inner").select("report_bundle", "bundle")
 
 
+def spread_names(lines: DataFrame, lengths: list[int]) -> DataFrame:
+    """(bundle, report_bundle): distinct parts of each bundle name that have one of these lengths."""
+    names = lines.where(F.col("bundle").isNotNull()).select("bundle").distinct()
+    size = F.length("bundle")
+    none = F.array().cast("array<string>")
+
+    def windows(length: int) -> Column:
+        if length == 0:  # every name contains the empty one
+            return F.array(F.lit(""))
+        starts = F.sequence(F.lit(1), size - length + 1)
+        cut = F.transform(starts, lambda start: F.substring(F.col("bundle"), start, F.lit(length)))
+        return F.when(size >= length, cut).otherwise(none)
+
+    parts = F.array_distinct(F.concat(none, *map(windows, sorted(set(lengths)))))
+    return names.select("bundle", F.explode(parts).alias("report_bundle"))
+
+
 def lines_by_report(
     lines: DataFrame, match: str = "contains", unreported: tuple[str, ...] = UNREPORTED
 ) -> DataFrame:
@@ -142,6 +147,14 @@ def journeys_by_report(
     return joined.select("report_bundle", *JOURNEY_VIEW)
 
 
+def counts_by_report(
+    counts: DataFrame, lines: DataFrame, unreported: tuple[str, ...] = UNREPORTED
+) -> DataFrame:
+    """Daily counts of the journeys (``coverage.daily_counts``) of all bundles in one DataFrame."""
+    chosen = lines_by_report(lines, "contains", unreported).drop("bundle")
+    return counts.join(if_small(chosen), "line_id_short", "inner")
+
+
 def stops_by_report(
     stop_events: DataFrame, lines: DataFrame, unreported: tuple[str, ...] = UNREPORTED
 ) -> DataFrame:

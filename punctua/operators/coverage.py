@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from punctua.functions import days, incidents, match, numbers
 from punctua.functions.days import operating_day as day
@@ -17,10 +18,23 @@ from punctua.operators.listing import order, sort
 
 
 
-def _counted(flag: str) -> list[Column]:
+def _counted(journeys: DataFrame, flag: str) -> list[Column]:
+    """Totals of journeys, or of their daily counts (``daily_counts``), whose flags are numbers."""
+    if isinstance(journeys.schema[flag].dataType, LongType):
+        return [F.sum("total").alias("total"), F.sum(flag).alias("total_rt")]
     return [F.count("*").alias("total"), F.count_if(F.col(flag)).alias("total_rt")]
 
 
+def daily_counts(journeys: DataFrame) -> DataFrame:
+    """Journeys by day and line: what coverage by day, bundle, tier or line needs of them.
+
+    Counts of several deliveries add up, so each delivery keeps its own, and a
+    replaced delivery takes its counts along.
+    """
+    flags = (F.count_if(flag).alias(flag) for flag in ("has_realtime", "ever_reported"))
+    return journeys.groupBy("operating_day", "line_id_short", "line_short").agg(F.count("*").alias("total"), *flags)
+
+
 def operator_coverage(
     journeys: DataFrame, as_of: str | days.Day, recent: tuple[int, ...] = (1, 2, 3)
 ) -> DataFrame:
@@ -50,7 +64,7 @@ def line_coverage_on(journeys: DataFrame, lines: DataFrame, on: str | days.Day)
     return (
         with_lines(journeys.where(days.on_day(day(), on)), lines)
         .groupBy("line_id_short", "operating_day", "bundle")
-        .agg(*_counted("ever_reported"))
+        .agg(*_counted(journeys, "ever_reported"))
         .select(
             "line_id_short",
             "operating_day",
@@ -69,13 +83,13 @@ def bundle_coverage_by_day(
 ) -> DataFrame:
     """Percent with real time per day and bundle, for lines of the given tiers.
 
-    The window leaves its first day out.
+    ``journeys``: rows or their daily counts. The window leaves its first day out.
     """
     recent = journeys.where(days.in_last_days(day(), as_of, window, strict=True))
     return (
         with_lines(recent, lines.where(match.any_of(F.col("tier"), tiers)))
         .groupBy("operating_day", "bundle")
-        .agg(*_counted("ever_reported"))
+        .agg(*_counted(journeys, "ever_reported"))
         .select(
             days.day_text(day()).alias("day"),
             "bundle",
@@ -93,8 +107,8 @@ def incidents_by_day(
 ) -> DataFrame:
     """Daily coverage and incidents of the tier groups that have a report.
 
-    ``by`` adds leading keys, such as the report bundle. ``ordered`` sorts
-    the days; leave it off where another step follows.
+    ``bundle_journeys``: rows or their daily counts. ``by`` adds leading keys,
+    such as the report bundle. ``ordered`` sorts the days; leave it off where another step follows.
     """
     keys = [*by, "operating_day", "tier_group"]
     rate = incidents.float_rate(F.col("total_rt"), F.col("total"))
@@ -103,10 +117,8 @@ def incidents_by_day(
         .withColumn("tier_group", incidents.tier_group(F.col("tier")))
         .where(F.col("tier_group").isin("ebene_1_2", "ebene_3"))
         .groupBy(*keys)
-        .agg(
-            F.count("*").cast("int").alias("total"),
-            F.count_if("ever_reported").cast("int").alias("total_rt"),
-        )
+        .agg(*_counted(bundle_journeys, "ever_reported"))
+        .withColumns({"total": F.col("total").cast("int"), "total_rt": F.col("total_rt").cast("int")})
         .withColumn("rate", rate)
         .withColumn("incidents", incidents.report_incidents(F.col("tier_group"), F.col("rate")))
     )
@@ -123,7 +135,7 @@ def contract_incidents_by_day(
         bundle_journeys.where(days.in_last_days(day(), as_of, window))
         .withColumn("tier_group", incidents.tier_short(F.col("tier")))
         .groupBy(*by, "operating_day", "tier_group")
-        .agg(*_counted("ever_reported"))
+        .agg(*_counted(bundle_journeys, "ever_reported"))
         .withColumn("missing", F.col("total") - F.col("total_rt"))
         .withColumn("rate", numbers.ratio(F.col("total_rt"), F.col("total")))
         .withColumn("incidents", incidents.contract_incidents(group, rate, missing))
@@ -148,7 +160,7 @@ def incomplete_journeys(
         bundle_journeys.where(days.in_last_days(day(), as_of, window))
         .where(match.any_of(F.col("tier"), tiers))
         .groupBy(*by, "tier", "line_short", "journey_no")
-        .agg(*_counted("has_realtime"), F.max(F.when(F.col(dated_by), day())).alias("last_delivery"))
+        .agg(*_counted(bundle_journeys, "has_realtime"), F.max(F.when(F.col(dated_by), day())).alias("last_delivery"))
         .withColumn("missing", F.col("total") - F.col("total_rt"))
         .where(F.col("missing") > 1)
         .select(
@@ -202,11 +214,17 @@ def line_coverage_by_day(
     flag: str = "has_realtime",
     by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Rate per day, tier and line over a span of days, with the last delivery."""
+    """Rate per day, tier and line over a span of days, with the last delivery.
+
+    ``bundle_journeys``: rows or their daily counts.
+    """
     return (
         bundle_journeys.where(days.in_range(day(), first, last))
         .groupBy(*by, "operating_day", "tier", "line_short", "line_id_short")
-        .agg(*_counted(flag), F.max(F.when(F.col(flag), day())).alias("last_delivery"))
+        .agg(
+            *_counted(bundle_journeys, flag),
+            F.max(F.when(F.col(flag).cast("boolean"), day())).alias("last_delivery"),
+        )
         .withColumn(
             "rate", numbers.round_scaled(numbers.ratio(F.col("total_rt"), F.col("total")), 2)
         )
@@ -239,7 +257,7 @@ def line_share(journeys: DataFrame, line_short: str | None = None) -> DataFrame:
     chosen = journeys if line_short is None else journeys.where(F.col("line_short") == line_short)
     return (
         chosen.groupBy("line_short")
-        .agg(*_counted("has_realtime"))
+        .agg(*_counted(chosen, "has_realtime"))
         .select(
             "line_short",
             F.rint(numbers.ratio(F.col("total_rt"), F.col("total")) * 100).alias("percent_rt"),

@@ -24,6 +24,10 @@ SHEET_ORDER = {
 }
 
 
+# Sheets that daily counts suffice for.
+COUNTED = ("incidents", "line_by_day")
+
+
 def bundle_sheet(
     name: str,
     by_report: DataFrame | None,
@@ -81,11 +85,13 @@ def write_bundle_reports(
     as_of: str | days.Day,
     window: int = 21,
     incident_window: int = 35,
+    counts: DataFrame | None = None,
 ) -> dict[str, str]:
     """Write every sheet's data below ``target``, in one folder per bundle.
 
     The journeys of the span are joined to their reports once and kept for the
-    five sheets built from them; a lost executor recomputes its part.
+    sheets built from them; a lost executor recomputes its part. Incidents and
+    the pivot come from ``counts``, the journeys' daily counts, if given.
     """
     longest = max(window, incident_window)
     span = days.in_last_days(F.col("operating_day"), as_of, longest)
@@ -94,6 +100,10 @@ def write_bundle_reports(
     try:
         stops = bundles.stops_by_report(stop_events.where(span), lines)
         sheets = bundle_reports(by_report, stops, extra_runs, as_of, window, incident_window)
+        if counts is not None:
+            counted = bundles.counts_by_report(counts.where(span), lines)
+            for name in COUNTED:
+                sheets[name] = bundle_sheet(name, counted, None, None, as_of, window, incident_window)
         written = {}
         for name, rows in sheets.items():
             written[name] = f"{target.rstrip('/')}/{name}"

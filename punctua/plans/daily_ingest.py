@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctua.functions.days import as_day
+from punctua.operators.coverage import daily_counts
 from punctua.operators.delays import reports_with_station_names
 from punctua.schemas import struct
 from punctua.sources import archive_xml, day_files, deliveries
@@ -19,9 +20,15 @@ FLATTEN = {
     "extras": archive_xml.journeys_from_archive,
     "stop_events": archive_xml.stop_events_from_archive,
 }
+COUNTS = "journey_counts"
 log = logging.getLogger(__name__)
 
 
+def journey_counts(archive: DataFrame) -> DataFrame:
+    return daily_counts(day_files.with_short_line_id(archive_xml.journeys_from_archive(archive)))
+
+
+
 def delay_matrix(archive: DataFrame) -> DataFrame:
     """Delay reports with station names, from one archive."""
     reports = archive_xml.delay_reports_from_archive(archive, number_as_text=True)
@@ -74,11 +81,13 @@ def store_delivery(
     Elements that no table can take, and files without any element, go to the table ``rejected``;
     if there are some, nothing is published unless ``allow_rejected``. The same delivery day again
     replaces these tables of that delivery; its other tables, other deliveries and their rejects
-    stay. ``files`` names all files, so that empty ones are missed.
+    stay. With journeys come their daily counts (table ``journey_counts``), from which reports add
+    up days and lines without reading journeys. ``files`` names all files, so that empty ones are missed.
     """
     spark, target = archive.sparkSession, target.rstrip("/")
     day, version = as_day(delivery_day).isoformat(), deliveries.new_version()
-    below = {t: f"{t}/{VERSION}={version}/{DELIVERY}={day}" for t in (*tables, REJECTED, ACCOUNTS)}
+    more = (COUNTS,) if "journeys" in tables else ()
+    below = {t: f"{t}/{VERSION}={version}/{DELIVERY}={day}" for t in (*tables, *more, REJECTED, ACCOUNTS)}
     accounts = _accounted(archive, f"{target}/{below[ACCOUNTS]}", files)
     total = accounts.agg(
         F.count("*").alias("files"), F.count_if(F.col("elements") == 0).alias("empty"),
@@ -95,9 +104,11 @@ def store_delivery(
     if refused and not allow_rejected:
         raise RejectedElements(f"{refused} elements of {day} cannot be used, see {target}/{below[REJECTED]}")
     rows = {REJECTED: refused, ACCOUNTS: total.files}
-    for table in tables:
-        made = delay_matrix(archive) if table == "delay_reports" else FLATTEN[table](archive)
-        rows[table] = day_files.write_version(made, f"{target}/{below[table]}", ("operating_day",))
+    for table in below:
+        if table in (REJECTED, ACCOUNTS):
+            continue
+        make = delay_matrix if table == "delay_reports" else journey_counts if table == COUNTS else FLATTEN[table]
+        rows[table] = day_files.write_version(make(archive), f"{target}/{below[table]}", ("operating_day",))
     earlier = [p.arrived_at for p in deliveries.publications(spark, target) if p.delivery_day == day and p.arrived_at]
     # what is stored by hand stays until something newer than all before arrives
     at = max([*earlier, total.at or 0]) or None

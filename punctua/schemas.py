@@ -34,6 +34,12 @@ DELAY_REPORTS = """
     reported_at string, station_name string
 """
 
+# Journeys of a delivery counted by day and line; flags hold the number of journeys that have them.
+JOURNEY_COUNTS = """
+    operating_day date, line_id_short string, line_short string,
+    total bigint, has_realtime bigint, ever_reported bigint
+"""
+
 STATIONS = "station_no string, lat double, lon double, station_name string"
 
 LINES = "line string, bundle string, tier string, line_id_short string, id string"
@@ -42,6 +48,7 @@ PUBLICATION_TARGETS = "slug string, project_url string, folder_id int"
 
 TABLES = {
     "journeys": JOURNEYS,
+    "journey_counts": JOURNEY_COUNTS,
     "extras": EXTRAS,
     "stop_events": STOP_EVENTS,
     "delay_reports": DELAY_REPORTS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -114,6 +114,22 @@ def read_days(
     return stored if delivery_day else stored.drop(DELIVERY)
 
 
+def newest_rows(
+    stored: DataFrame, keys: tuple[str, ...] = ("operating_day", "line_id", "journey_no"), number: str = "journey_no"
+) -> DataFrame:
+    """Of each key the rows of the newest delivery that has it; ``stored`` as ``read_days`` gives it
+    with the delivery day.
+
+    What an earlier delivery says of a journey that came again is left out; a delivery's own rows
+    of one key all stay. Rows without a journey number are of no known journey and all stay. The
+    older rows that one scan task sees leave there (window group limit).
+    """
+    unknown = F.coalesce(F.trim(number) == "", F.lit(True))
+    newest = Window.partitionBy(*keys).orderBy(F.col(DELIVERY).desc())
+    known = stored.where(~unknown).withColumn("_age", F.rank().over(newest)).where("_age = 1").drop("_age")
+    return known.unionByName(stored.where(unknown))
+
+
 def read_day(spark: SparkSession, table: str, path: str, day: str) -> DataFrame:
     """One operating day of a table, from all deliveries."""
     return read_days(spark, table, path).where(F.col("operating_day") == F.lit(day).cast("date"))

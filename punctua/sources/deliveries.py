@@ -141,9 +141,26 @@ def _day(name: str) -> str | None:
 
 
 def paths(spark: SparkSession, root: str, table: str) -> list[str]:
-    """Folders of the table's present deliveries, below the root."""
+    """Folders of the table's present deliveries, below the root.
+
+    A version of which all deliveries are present counts as one folder.
+    """
+    found = publications(spark, root)
+    present = {p.tables[table] for (_, name), p in current(found).items() if name == table}
+    by_version: dict[str, set[str]] = {}
+    for path in {p.tables[table] for p in found if table in p.tables}:
+        by_version.setdefault(path.rpartition("/")[0], set()).add(path)
+    folders: set[str] = set()
+    for version, deliveries in by_version.items():
+        whole = VERSION + "=" in version and deliveries <= present
+        folders |= {version} if whole else deliveries & present
+    return sorted(folders)
+
+
+def delivery_days(spark: SparkSession, root: str, table: str) -> set[tuple[str | None, int]]:
+    """Delivery days of a table, each with the number of its publication."""
     now = current(publications(spark, root))
-    return sorted({p.tables[table] for (_, name), p in now.items() if name == table})
+    return {(p.delivery_day, p.number) for (_, name), p in now.items() if name == table}
 
 
 def side_paths(spark: SparkSession, root: str, table: str) -> list[str]:

@@ -9,6 +9,7 @@ import pytest
 from test_archive_xml import BARE, BROKEN, ENVELOPE, TAG, journeys_numbered
 
 from punctua.__main__ import main
+from punctua.operators import bundles, coverage
 from punctua.plans import daily_ingest
 from punctua.plans.daily_ingest import RejectedElements, ingest_archive, read_rejected
 from punctua.sources import archive_xml as ax
@@ -126,7 +127,7 @@ def test_rejects_belong_to_the_tables_they_came_with(spark, world):
     assert read_rejected(spark, world.target).count() == 1
     done = world.ingest(world.put("a.xml", 7, 8, root="again"), "2024-01-10")
     assert read_rejected(spark, world.target).count() == 0
-    assert done.rows == {"journeys": 2, "stop_events": 0, "rejected": 0, "accounts": 1}
+    assert done.rows == {"journeys": 2, "stop_events": 0, "journey_counts": 1, "rejected": 0, "accounts": 1}
 
 
 def test_a_job_stopped_between_two_tables_leaves_the_old_delivery_whole(spark, world, monkeypatch):
@@ -141,7 +142,7 @@ def test_a_job_stopped_between_two_tables_leaves_the_old_delivery_whole(spark, w
     assert world.journeys() == ["1", "2"]
     left = world.versions()
     gone = main(["expire", "--target", world.target])
-    assert len(gone) == 3 and len(left) == 7  # journeys, rejected and accounts of the stopped job
+    assert len(gone) == 3 and len(left) == 8  # journeys, rejected and accounts of the stopped job
     assert world.journeys() == ["1", "2"]
 
 
@@ -182,7 +183,7 @@ def test_files_are_accounted_for(spark, world):
     assert [(r.source_file[-5:], r.elements, r.used, r.rejected) for r in rows] == [
         ("a.xml", 2, 2, 0), ("b.xml", 2, 1, 1), ("c.xml", 0, 0, 0), ("d.xml", 0, 0, 0),
     ]
-    assert done.rows == {"journeys": 3, "stop_events": 0, "rejected": 3, "accounts": 4}
+    assert done.rows == {"journeys": 3, "stop_events": 0, "journey_counts": 1, "rejected": 3, "accounts": 4}
     assert sorted(r.reason for r in read_rejected(spark, world.target).collect()) == [
         "does not parse", "no element", "no element",
     ]
@@ -219,3 +220,43 @@ def test_migration_refuses_a_folder_with_deliveries(spark, world, tmp_path):
 def test_a_streams_own_elements_keep_their_print(spark):
     df = spark.createDataFrame([(BARE,), (None,)], "xml string")
     assert sorted(r.elements for r in ax.accounts(ax.parse_archive(df, "xml")).collect()) == [1]
+
+
+def test_counts_of_replaced_deliveries_equal_a_scan(spark, world):
+    """Three deliveries, each replaced once: sheets from counts are those from journeys, which they do not read."""
+    lines = spark.createDataFrame([("b", "HB", "1", "a:b:", "7")], "line string, bundle string, tier string, line_id_short string, id string")
+    for again in (0, 1):
+        for n in range(3):
+            day = f"2024-01-1{n}"
+            texts = [t.replace("2024-01-11", f"2024-01-0{1 + (n + i + again) % 4}") for i, t in enumerate(journeys_numbered(*range(7 + again + n)))]
+            texts = [t.replace("<destination/>", "<realtimeHasEverBeenReported>true</realtimeHasEverBeenReported>") if i % 3 else t for i, t in enumerate(texts)]
+            world.ingest(world.put(f"{again}{n}.xml", text="".join(texts), root="by-hand"), day, "--tables", "journeys")
+    root = world.target
+    journeys = day_files.with_short_line_id(day_files.read_days(spark, "journeys", f"{root}/journeys"))
+    counts = day_files.read_days(spark, "journey_counts", f"{root}/journey_counts")
+    assert journeys.count() == 8 + 9 + 10
+    for build in (
+        lambda rows: coverage.bundle_coverage_by_day(rows, lines, ("1",), "2024-01-12"),
+        lambda rows: coverage.incidents_by_day(bundles.with_lines(rows, lines), "2024-01-12"),
+        lambda rows: coverage.contract_incidents_by_day(bundles.with_lines(rows, lines), "2024-01-12"),
+        lambda rows: coverage.line_coverage_by_day(bundles.with_lines(rows, lines), "2024-01-01", "2024-01-12", "ever_reported"),
+    ):
+        added, scanned = build(counts), build(journeys)
+        assert added.dtypes == scanned.dtypes and added.count() > 0
+        assert sorted(map(str, added.collect())) == sorted(map(str, scanned.collect()))
+        assert not any("/journeys/" in f for f in added.inputFiles())
+
+
+def test_the_newest_delivery_of_a_journey_counts(spark, tmp_path):
+    schema = "operating_day string, line_id string, journey_no string, destination string, delivery_day string"
+    rows = spark.createDataFrame(
+        [("2024-01-01", "l", "1", "old", "2024-01-02"), ("2024-01-01", "l", "1", "new", "2024-01-03"),
+         ("2024-01-01", "l", "1", "new too", "2024-01-03"), ("2024-01-01", "l", "2", "only", "2024-01-02"),
+         ("2024-01-01", None, "3", "a", "2024-01-02"), ("2024-01-01", None, "3", "b", "2024-01-03"),
+         ("2024-01-01", "l", None, "x", "2024-01-02"), ("2024-01-01", "l", None, "x", "2024-01-03"),
+         ("2024-01-01", "l", " ", "y", "2024-01-02")], schema,
+    )
+    newest = day_files.newest_rows(rows)
+    assert sorted(r.destination for r in newest.collect()) == ["b", "new", "new too", "only", "x", "x", "y"]
+    assert newest.columns == rows.columns and day_files.newest_rows(rows.limit(0)).count() == 0
+    assert "WindowGroupLimit" in newest._jdf.queryExecution().executedPlan().toString()

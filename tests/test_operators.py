@@ -38,6 +38,11 @@ def test_nested_bundles_against_all_pairs(rows):
     )
     got = {tuple(r) for r in bundles.nested_bundles(lines).collect()}
     assert got == {(r, b) for r in names if r != "nahsh" for b in names if r in b}
+    # only windows of the lengths that reported names have
+    lengths = {len(n) for n in names if n != "nahsh"}
+    spread = bundles.spread_names(lines, list(lengths)).groupBy("bundle").count().collect()
+    assert all(r["count"] <= max(1, len(r.bundle)) * len(lengths) for r in spread)
+    assert sum(r["count"] for r in bundles.spread_names(lines, [2]).groupBy("bundle").count().collect()) < 40
     plan = bundles.nested_bundles(lines)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 

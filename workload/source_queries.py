@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from punctua import schemas
+from punctua.operators import bundles, coverage
 from punctua.plans.daily_ingest import delay_matrix, ingest_archive, read_rejected
 from punctua.session import shared_folder
 from punctua.sources import archive_xml, catalog, day_files, deliveries, master
@@ -94,6 +95,42 @@ def served_arrivals(spark, sf):
     return told.where(~F.col("table").isin(deliveries.REJECTED, deliveries.ACCOUNTS))
 
 
+@query("S5 U1 S12", """
+  SELECT operating_day::text AS operating_day, journey_no, line_id, has_realtime AND operating_day < DATE '1999-10-01' AS has_realtime,
+    CASE WHEN operating_day < DATE '1999-10-01' THEN '2000-01-01' ELSE '2000-01-02' END AS delivery_day
+  FROM (SELECT * REPLACE (date_trunc('month', operating_day)::date AS operating_day) FROM journeys)""")
+def newest_journeys(spark, sf):
+    """Three months come in two deliveries: of each journey the newest delivery counts, once."""
+    target, rows = shared_folder(spark, "deliveries"), by_month(spark, sf)
+    turn, stray = F.lit("2000-01-01").cast("date"), F.lit("1999-10-01").cast("date")
+    day_files.write_days(rows.where(F.col("operating_day") < turn), target, "2000-01-01")
+    second = rows.where(F.col("operating_day") >= stray).withColumn("has_realtime", F.lit(False))
+    day_files.write_days(second, target, "2000-01-02")
+    newest = day_files.newest_rows(day_files.read_days(spark, "journeys", target, delivery_day=True))
+    return newest.select("operating_day", "journey_no", "line_id", "has_realtime", "delivery_day")
+
+
+@query("A12 S12 A5", """
+  SELECT operating_day::text AS operating_day, tier, line_short, line_id_short, count(*) AS total,
+    count(*) FILTER (ever_reported) AS total_rt,
+    round(count(*) FILTER (ever_reported) / count(*) * 100) / 100 AS rate,
+    (max(operating_day) FILTER (ever_reported))::text AS last_delivery
+  FROM (SELECT * REPLACE (date_trunc('month', operating_day)::date AS operating_day) FROM known_journeys)
+  GROUP BY operating_day, tier, line_short, line_id_short""")
+def line_coverage_from_daily_counts(spark, sf):
+    """Counts kept with each delivery, of which one is replaced, add up to those of all journeys."""
+    target, rows = shared_folder(spark, "deliveries"), by_month(spark, sf)
+    late = F.col("operating_day") >= F.lit("1998-01-01").cast("date")
+    for part, delivery in ((rows.where(late), "2000-01-01"), (rows.where(late), "2000-01-02"), (rows.where(~late), "2000-01-01")):
+        folder = shared_folder(spark, "batch")
+        archive_text.journey_documents(spark, sf, part).write.text(folder)
+        ingest_archive(spark, folder, target, delivery, ("journeys",))
+    counts = day_files.read_days(spark, "journey_counts", f"{target}/journey_counts")
+    # lines of the supplied tables carry the short id itself
+    known = bundles.with_lines(counts, st.lines(spark, sf))
+    return coverage.line_coverage_by_day(known, "1990-01-01", st.AS_OF, "ever_reported")
+
+
 @query("S1 S12", """
   SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'does not parse' WHEN o_orderkey % 11 = 0 THEN 'no end tag'
     WHEN o_orderkey % 13 = 0 THEN 'no operating day' END AS reason, count(*) AS total FROM orders GROUP BY 1
@@ -201,10 +238,14 @@ OLD_ROWS = """
   FROM (SELECT *, 'de:NET:' || split_part(line_id, ':', 3) AS line_id_padded FROM journeys) WHERE {where}"""
 
 
-@query("S5 U1 C9 T6 T7 T18", OLD_ROWS.format(cancelled="journey_cancelled", last="end_station_id", where="operating_day < DATE '1998-01-01'")
-       + " UNION ALL " + OLD_ROWS.format(cancelled="CASE WHEN journey_cancelled THEN true END", last="NULL", where="operating_day >= DATE '1998-01-01'"))
-def day_files_of_two_generations(spark, sf):
-    """Files with declared types, and older ones with old names, text days and a column less; stored once as days."""
+_OLD_FILES: dict[tuple[str, str], list[str]] = {}
+
+
+def old_day_files(spark, sf):
+    """Folders of recent and of older day files, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _OLD_FILES and all(deliveries.exists(spark, f) for f in _OLD_FILES[key]):
+        return _OLD_FILES[key]
     rows = st.journeys(spark, sf)
     boundary = F.lit("1998-01-01").cast("date")
     recent, older = shared_folder(spark, "day-files"), shared_folder(spark, "old-day-files")
@@ -218,7 +259,15 @@ def day_files_of_two_generations(spark, sf):
         .withColumnsRenamed(new_to_old)
         .write.parquet(older)
     )
-    return day_files.migrate_day_files(spark, "journeys", [recent, older], shared_folder(spark, "days"))
+    _OLD_FILES[key] = [recent, older]
+    return _OLD_FILES[key]
+
+
+@query("S5 U1 C9 T6 T7 T18", OLD_ROWS.format(cancelled="journey_cancelled", last="end_station_id", where="operating_day < DATE '1998-01-01'")
+       + " UNION ALL " + OLD_ROWS.format(cancelled="CASE WHEN journey_cancelled THEN true END", last="NULL", where="operating_day >= DATE '1998-01-01'"))
+def day_files_of_two_generations(spark, sf):
+    """Files with declared types, and older ones with old names, text days and a column less; stored once as days."""
+    return day_files.migrate_day_files(spark, "journeys", old_day_files(spark, sf), shared_folder(spark, "days"))
 
 
 @query("S5", """
