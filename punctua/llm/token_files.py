@@ -49,7 +49,7 @@ JOINED = 50  # words of a text for the library
 MARK = b"\x01"
 PLAIN_LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100))).replace("÷", "")
 PLAIN = re.compile(f"([{PLAIN_LETTERS}]+)([.,;:!?]*)").fullmatch
-BLOCK_IDS = 1 << 21  # ids read back at once
+BLOCK_IDS = 1 << 19  # ids read back at once
 
 
 class WordwiseEncoder:
