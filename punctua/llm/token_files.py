@@ -43,7 +43,7 @@ LEAST_BYTES = 1 << 20
 SAMPLE = 2000  # documents the dictionary is trained on, at most
 SAMPLE_BYTES = 4096  # length of their texts, at most
 DICTIONARY_BYTES = 64 << 10
-KEPT = 1 << 18  # words whose ids a worker keeps before it starts anew
+KEPT = 3 << 17  # words whose ids a worker keeps before it starts anew
 LONGEST_KEPT = 128  # bytes of such a word
 JOINED = 50  # words of a text for the library
 MARK = b"\x01"
