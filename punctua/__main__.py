@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     ingest = commands.add_parser("ingest", help="archive XML of one delivery to day tables")
     ingest.add_argument("xml", nargs="+", help="files, folders or globs")
     ingest.add_argument("--delivery-day", required=True, type=days.as_day)
+    ingest.add_argument("--names-of-day", action="store_true", help="delay reports take the station's name of their day, none twice")
     land = commands.add_parser("land", help="append newly landed archive files to a landing table")
     land.add_argument("folder")
     land.add_argument("--landing", required=True)
@@ -102,8 +103,9 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
     spark = build_session(f"punctua-{args.command}")
     if args.command == "ingest":
         return ingest_archive(
-            spark, args.xml, args.target, args.delivery_day, tuple(args.tables or MAIN), args.allow_rejected
-        )
+            spark, args.xml, args.target, args.delivery_day, tuple(args.tables or MAIN), args.allow_rejected,
+            args.names_of_day,
+        )
     if args.command == "land":
         land_new_files(
             spark, args.folder, args.landing, args.checkpoint, args.day_pattern, args.arrival_pattern, args.recursive

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from punctua.functions import days, text
 from punctua.functions.days import operating_day as day
+from punctua.operators import quantiles
 from punctua.operators.bundles import if_small
 from punctua.operators.listing import order, sort
 
@@ -91,7 +92,8 @@ def reports_with_station_names(
 
     Numbers are compared as the texts delivered, so "0012" is not "12"; the
     result has them as integers. A station listed with several names or
-    places repeats its reports. The list is broadcast if a count finds it
+    places repeats its reports (``stations.reports_with_names_of_day`` takes
+    the name of the day). The list is broadcast if a count finds it
     small, as the reports are the largest table and busy stations its heavy keys.
     ``ordered`` sorts the rows by line, journey and report time.
     """
@@ -159,12 +161,19 @@ def _inside() -> Column:
 
 
 def boxplot(
-    df: DataFrame, keys: tuple[str, ...] = ("line_short", "journey_no", "idx"), value: str = "dep_delay"
+    df: DataFrame,
+    keys: tuple[str, ...] = ("line_short", "journey_no", "idx"),
+    value: str = "dep_delay",
+    continuous: bool = False,
 ) -> DataFrame:
     """Median, quartiles, whisker ends and number of outliers per group.
 
     Whiskers end at the last value within 1.5 box heights, never inside the box.
+    ``continuous`` is for values that seldom repeat, see ``quantiles``: the same
+    figures, at three passes instead of one, and no task holds a whole group.
     """
+    if continuous:
+        return quantiles.boxplot(df, keys, value, WHISKER)
     inside = F.when(_inside(), F.col("v"))
     return (
         _value_counts(df, keys, value)
@@ -190,9 +199,14 @@ def boxplot(
 
 
 def boxplot_outliers(
-    df: DataFrame, keys: tuple[str, ...] = ("line_short", "journey_no", "idx"), value: str = "dep_delay"
+    df: DataFrame,
+    keys: tuple[str, ...] = ("line_short", "journey_no", "idx"),
+    value: str = "dep_delay",
+    continuous: bool = False,
 ) -> DataFrame:
-    """Values beyond the fences, each with its frequency."""
+    """Values beyond the fences, each with its frequency; ``continuous`` as in ``boxplot``."""
+    if continuous:
+        return quantiles.outliers(df, keys, value, WHISKER)
     return (
         _value_counts(df, keys, value)
         .where(~_inside())

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from punctua.functions.days import as_day
 from punctua.operators.coverage import daily_counts
 from punctua.operators.delays import reports_with_station_names
+from punctua.operators.stations import reports_with_names_of_day, station_intervals
 from punctua.schemas import struct
 from punctua.sources import archive_xml, day_files, deliveries
 from punctua.sources.deliveries import ACCOUNTS, DELIVERY, REJECTED, VERSION, Publication
@@ -29,9 +30,17 @@ def journey_counts(archive: DataFrame) -> DataFrame:
 
 
 
-def delay_matrix(archive: DataFrame) -> DataFrame:
-    """Delay reports with station names, from one archive."""
+def delay_matrix(archive: DataFrame, names_of_day: bool = False) -> DataFrame:
+    """Delay reports with station names, from one archive.
+
+    A station that has several names in the archive repeats its reports, unless ``names_of_day``
+    takes the name it had on the day of the report.
+    """
     reports = archive_xml.delay_reports_from_archive(archive, number_as_text=True)
+    if names_of_day:
+        calls = archive_xml.stop_events_from_archive(archive).where("station_name <> '-'")  # '-': not named
+        intervals = station_intervals(calls, ("station_name",))
+        return reports_with_names_of_day(reports, intervals).select(*struct("delay_reports").fieldNames())
     named = reports_with_station_names(reports, archive_xml.stations_from_archive(archive))
     return named.select(*struct("delay_reports").fieldNames())
 
@@ -74,6 +83,7 @@ def store_delivery(
     source: str = "batch",
     arrival: str | None = None,
     files: DataFrame | None = None,
+    names_of_day: bool = False,
 ) -> Stored:
     """Write the tables of one delivery below ``target`` and publish them together.
 
@@ -83,6 +93,7 @@ def store_delivery(
     replaces these tables of that delivery; its other tables, other deliveries and their rejects
     stay. With journeys come their daily counts (table ``journey_counts``), from which reports add
     up days and lines without reading journeys. ``files`` names all files, so that empty ones are missed.
+    ``names_of_day`` as in ``delay_matrix``.
     """
     spark, target = archive.sparkSession, target.rstrip("/")
     day, version = as_day(delivery_day).isoformat(), deliveries.new_version()
@@ -107,8 +118,11 @@ def store_delivery(
     for table in below:
         if table in (REJECTED, ACCOUNTS):
             continue
-        make = delay_matrix if table == "delay_reports" else journey_counts if table == COUNTS else FLATTEN[table]
-        rows[table] = day_files.write_version(make(archive), f"{target}/{below[table]}", ("operating_day",))
+        if table == "delay_reports":
+            made = delay_matrix(archive, names_of_day)
+        else:
+            made = journey_counts(archive) if table == COUNTS else FLATTEN[table](archive)
+        rows[table] = day_files.write_version(made, f"{target}/{below[table]}", ("operating_day",))
     earlier = [p.arrived_at for p in deliveries.publications(spark, target) if p.delivery_day == day and p.arrived_at]
     # what is stored by hand stays until something newer than all before arrives
     at = max([*earlier, total.at or 0]) or None
@@ -131,6 +145,7 @@ def ingest_archive(
     delivery_day: str,
     tables: tuple[str, ...] = ("journeys", "stop_events"),
     allow_rejected: bool = False,
+    names_of_day: bool = False,
 ) -> Stored:
     """``store_delivery`` of archive files.
 
@@ -140,8 +155,9 @@ def ingest_archive(
     """
     archive = archive_xml.read_archive(spark, paths).persist(StorageLevel.DISK_ONLY)
     try:
+        files = archive_xml.file_names(spark, paths)
         return store_delivery(
-            archive, target, delivery_day, tables, allow_rejected, files=archive_xml.file_names(spark, paths)
+            archive, target, delivery_day, tables, allow_rejected, files=files, names_of_day=names_of_day
         )
     finally:
         archive.unpersist()

@@ -99,6 +99,23 @@ def test_delay_reports(spark, tmp_path):
     assert {r.station_name for r in got} == {"A Markt"}
 
 
+def test_renamed_stations(spark, tmp_path):
+    """A station that changes its name within the archive: one row a report, on request."""
+    later = FULL.replace("2024-01-10T00:00", "2024-01-11T00:00").replace("<stationName>A Markt", "<stationName>B Markt")
+    unnamed = FULL.replace("2024-01-10T00:00", "2024-01-12T00:00").replace("<stationName>A Markt</stationName>", "")
+    folder = write(tmp_path, FULL, later, unnamed)
+    archive = ax.read_archive(spark, folder)
+    once = delay_matrix(archive, names_of_day=True)
+    assert once.columns == delay_matrix(archive).columns
+    names = {(r.operating_day.day, r.station_name): r["count"] for r in once.groupBy("operating_day", "station_name").count().collect()}
+    a_day = sum(n for (day, _), n in names.items() if day == 10)
+    assert names == {(10, "A Markt"): a_day, (11, "B Markt"): a_day, (12, "B Markt"): a_day}
+    assert delay_matrix(archive).count() > 3 * a_day
+    target = str(tmp_path / "named")
+    stored = ingest_archive(spark, folder, target, "2024-01-12", ("delay_reports",), names_of_day=True)
+    assert stored.rows["delay_reports"] == 3 * a_day
+
+
 def test_every_start_tag_is_used_or_set_aside(spark, tmp_path):
     spaced = BARE.replace(f"</{TAG}>", f"</{TAG} >")
     cut_off = FULL[:900]

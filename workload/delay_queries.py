@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from punctua.functions import geo
-from punctua.operators import delays, segments
+from punctua.operators import delays, segments, stations
 from workload import standins as st
 from workload.coverage_queries import AS_OF
 from workload.registry import query
@@ -153,6 +153,28 @@ def boxplot_outliers(spark, sf):
     return delays.boxplot_outliers(st.stop_events(spark, sf))
 
 
+PRICES = """
+  WITH chosen AS (SELECT l_returnflag, l_linestatus, l_extendedprice::double AS price FROM lineitem),
+  box AS (
+    SELECT l_returnflag, l_linestatus, count(*) AS n, quantile_cont(price, 0.25) AS q1,
+      quantile_cont(price, 0.5) AS median, quantile_cont(price, 0.75) AS q3
+    FROM chosen WHERE price IS NOT NULL GROUP BY ALL),
+  fenced AS (
+    SELECT c.*, n, q1, median, q3, price BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
+    FROM chosen c JOIN box USING (l_returnflag, l_linestatus) WHERE price IS NOT NULL)
+"""
+
+
+@query("A22", PRICES + """
+  SELECT l_returnflag, l_linestatus, n, q1, median, q3, least(min(price) FILTER (inside), q1) AS whisker_low,
+    greatest(max(price) FILTER (inside), q3) AS whisker_high, count(*) FILTER (NOT inside) AS outliers
+  FROM fenced GROUP BY l_returnflag, l_linestatus, n, q1, median, q3""", prelude=False)
+def boxplot_of_continuous(spark, sf):
+    """Few groups, each with a large part of all rows, of values that seldom repeat."""
+    rows = st.table(spark, sf, "lineitem")
+    return delays.boxplot(rows, ("l_returnflag", "l_linestatus"), "l_extendedprice", continuous=True)
+
+
 NEXT = """
   , linked AS (
     SELECT *, lead(idx) OVER w AS idx_next, lead(station_no) OVER w AS station_no_next,
@@ -241,6 +263,48 @@ def padded_station_numbers(spark, sf):
     return delays.reports_with_station_names(reports, both)
 
 
+# Stations of the line items: every third one is renamed with each year, on its first day.
+RENAMED = """
+  , calls AS (
+    SELECT operating_day, station_no, CASE WHEN station_no::int % 3 = 0
+      THEN 'Halt ' || station_no || ' of ' || year(operating_day) ELSE station_name END AS station_name
+    FROM stop_reports),
+  daily AS (
+    SELECT station_no, operating_day, station_name FROM calls GROUP BY station_no, operating_day, station_name
+    QUALIFY row_number() OVER (PARTITION BY station_no, operating_day ORDER BY count(*) DESC, station_name) = 1),
+  changes AS (
+    SELECT *, row_number() OVER w = 1 AS first_of_all, lag(station_name) OVER w AS earlier
+    FROM daily WINDOW w AS (PARTITION BY station_no ORDER BY operating_day)),
+  intervals AS (
+    SELECT station_no, station_name, CASE WHEN NOT first_of_all THEN operating_day END AS valid_from,
+      lead(operating_day) OVER (PARTITION BY station_no ORDER BY operating_day) - 1 AS valid_until
+    FROM changes WHERE first_of_all OR earlier <> station_name)
+"""
+
+
+def _intervals(spark, sf):
+    year, number = F.year("operating_day").cast("string"), F.col("station_no")
+    renamed = F.when(number.cast("int") % 3 == 0, F.concat(F.lit("Halt "), number, F.lit(" of "), year))
+    calls = st.stop_reports(spark, sf).withColumn("station_name", renamed.otherwise(F.col("station_name")))
+    return stations.station_intervals(calls, ("station_name",))
+
+
+@query("S4 J5", RENAMED + """
+  SELECT station_no, station_name, valid_from::text AS valid_from, valid_until::text AS valid_until FROM intervals""")
+def station_name_intervals(spark, sf):
+    return _intervals(spark, sf)
+
+
+@query("J5 S4", RENAMED + """
+  SELECT r.operating_day::text AS operating_day, r.line_id, r.journey_no, r.station_no, r.sched_dep, r.reported_at, i.station_name
+  FROM delay_reports r LEFT JOIN intervals i ON r.station_no::text = i.station_no
+    AND r.operating_day >= coalesce(i.valid_from, DATE '0001-01-01') AND r.operating_day <= coalesce(i.valid_until, DATE '9999-12-31')
+  WHERE r.sched_dep <> ''""")
+def reports_with_names_of_day(spark, sf):
+    named = stations.reports_with_names_of_day(st.delay_reports(spark, sf), _intervals(spark, sf))
+    return named.select("operating_day", "line_id", "journey_no", "station_no", "sched_dep", "reported_at", "station_name")
+
+
 def _metres(lat: str, lon: str, suffix: str) -> str:
     """The projection as SQL, one subquery level per step."""
     k = geo.KRUEGER
