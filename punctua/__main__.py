@@ -13,7 +13,7 @@ from punctua.plans.bundle_report import write_bundle_reports
 from punctua.plans.daily_ingest import COUNTS, FLATTEN, Stored, ingest_archive
 from punctua.plans.delay_lists import delay_lists, write_lists
 from punctua.session import build_session
-from punctua.sources import day_files, deliveries, master
+from punctua.sources import clustered, day_files, deliveries, master
 from punctua.streaming.ingest import AGAIN_IN_NAME, DAY_IN_PATH, EXTRA_IN_PATH, MAIN, land_new_files, serve_deliveries
 
 INGESTED = (*FLATTEN, "delay_reports")
@@ -64,6 +64,10 @@ def parser() -> argparse.ArgumentParser:
         reads.add_argument("--as-of", required=True, type=days.as_day)
     expire = commands.add_parser("expire", help="delete versions of day tables that no delivery uses any more")
     expire.add_argument("--target", required=True, help="folder of the day tables")
+    cluster = commands.add_parser("cluster", help="lay out new deliveries by journey, beside the day tables")
+    cluster.add_argument("--target", required=True, help="folder of the day tables")
+    cluster.add_argument("--tables", nargs="+", choices=INGESTED, default=["stop_events"])
+    cluster.add_argument("--buckets", required=True, type=int, help="the same for tables to be joined")
     publish = commands.add_parser("publish", help="bundles with and without a publication target")
     _lines_from(publish)
     publish.add_argument("--targets", required=True, help="publication list, ';' separated")
@@ -119,6 +123,9 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
         return {day: args.target for day in served}
     if args.command == "expire":
         return {path: "deleted" for path in deliveries.expire(spark, args.target.rstrip("/"))}
+    if args.command == "cluster":
+        done = {table: clustered.cluster_days(spark, args.target, table, args.buckets) for table in args.tables}
+        return {table: ", ".join(map(str, days)) or "up to date" for table, days in done.items()}
     if args.command == "report":
         return _report(spark, args)
     if args.command == "delays":

@@ -10,6 +10,7 @@ from punctua.functions.days import operating_day as day
 from punctua.operators import quantiles
 from punctua.operators.bundles import if_small
 from punctua.operators.listing import order, sort
+from punctua.operators.segments import clustering
 
 # Whisker length in box heights, and the delay a boxplot leaves out from.
 WHISKER = 1.5
@@ -61,7 +62,12 @@ def reports_with_stops(
     and it would pair all unnumbered reports of a line at a station with all
     its unnumbered stops of the day. ``match_empty`` lets it match itself.
     ``ordered`` sorts the rows by day, line, journey, stop and report time.
+    Tables clustered by journey are joined without a shuffle; their unnumbered
+    rows are spread, so ``match_empty`` is not for them.
     """
+    by = clustering(reports, stop_events)
+    if by and match_empty:
+        raise ValueError("tables clustered by journey cannot match rows without a number")
     chosen = reports.where(~F.col("stop_cancelled"))
     if line_short is not None:
         chosen = chosen.where(F.col("line_short") == line_short)
@@ -74,9 +80,9 @@ def reports_with_stops(
     spread = F.xxhash64("station_no", "reported_at", "sched_dep", "journey_no").bitwiseOR(F.lit(1))
     left = chosen.withColumn("piece", F.when(keyless, spread).otherwise(F.lit(0)))
     right = stop_events.select(
-        *keys, "idx", "arr_delay", "dep_delay", F.lit(0).cast("bigint").alias("piece")
+        *by, *keys, "idx", "arr_delay", "dep_delay", F.lit(0).cast("bigint").alias("piece")
     )
-    matched = left.join(right, [*keys, "piece"], "left").select(
+    matched = left.join(right, [*by, *keys, "piece"], "left").select(
         "operating_day", "line_short", "line_id", "journey_no", "idx", "station_name",
         "sched_dep", "delay_arrival", "delay_departure", "reported_at",
         "arr_delay", "dep_delay",

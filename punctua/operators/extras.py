@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from punctua.functions import days, match
 from punctua.functions.days import operating_day as day
 from punctua.operators.listing import order
-
+from punctua.operators.segments import clustering
 
 
 def without_realtime(
@@ -19,6 +19,7 @@ def without_realtime(
     by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Distinct journeys that lacked real time by ``flag``."""
+    by = (*clustering(bundle_journeys), *by)
     return (
         bundle_journeys.where(days.in_last_days(day(), as_of, window) & ~F.col(flag))
         .select(*by, "operating_day", "tier", "line_short", "journey_no", "has_realtime")
@@ -33,7 +34,7 @@ def extra_journeys(
     recent = extras.where(days.in_last_days(day(), as_of, window))
     if pattern is not None:
         recent = recent.where(match.full_match(F.col("line_id"), pattern))
-    return recent.select("operating_day", "line_short", "line_id", "journey_no", "operator").distinct()
+    return recent.select(*clustering(extras), "operating_day", "line_short", "line_id", "journey_no", "operator").distinct()
 
 
 def match_extras(missing: DataFrame, extras: DataFrame, null_safe: bool = False) -> DataFrame:
@@ -70,17 +71,18 @@ def missing_days_per_journey(
     Counts the rows ``match_extras`` would give, fan-out included, without
     forming them: both sides are counted per day and number first, so the join
     meets at most one row of extras per key. Groups without a line or number
-    drop out.
+    drop out. Tables clustered by journey meet without a shuffle, and there a
+    journey without a number ('') has no extras.
     """
-    keys = [*by, "line_short", "journey_no"]
+    keys, near = [*by, "line_short", "journey_no"], clustering(missing, extras)
     left = (
         missing.where(F.col("line_short").isNotNull() & F.col("journey_no").isNotNull())
-        .groupBy(*keys, "operating_day")
+        .groupBy(*near, *keys, "operating_day")
         .agg(F.count("*").alias("rows"))
     )
-    right = extras.groupBy("operating_day", "journey_no").agg(F.count("*").alias("matches"))
+    right = extras.groupBy(*near, "operating_day", "journey_no").agg(F.count("*").alias("matches"))
     return (
-        left.join(right, ["operating_day", "journey_no"], "left")
+        left.join(right, [*near, "operating_day", "journey_no"], "left")
         .groupBy(*keys)
         .agg(
             F.min(day()).alias("first_day"),

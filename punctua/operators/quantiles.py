@@ -3,7 +3,7 @@
 Counting equal values, as ``delays.boxplot`` does, bounds what a task holds only while values
 repeat. Here a mergeable sketch of each group names a narrow range around each quartile. One
 further pass counts: rows outside the ranges add up to seven sums a group, values inside are kept.
-The order statistics are then found by running sums, so a task sees about 1 in 800 of a large
+The order statistics are then found by running sums, so a task sees about 1 in 500 of a large
 group's values, and the result does not depend on how near the sketch came.
 """
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from punctua.functions import geo
 
 JOURNEY = ("operating_day", "line_id", "journey_no")
+# Hash of day and journey number; tables clustered by it bring it along (``sources.clustered``).
+JOURNEY_KEY = "journey_key"
 CARRIED = (
     "idx", "station_no", "station_name", "sched_dep", "sched_arr",
     "dep_delay", "arr_delay", "lat", "lon",
@@ -19,6 +21,11 @@ def numbered() -> Column:
     return F.coalesce(F.col("journey_no") != "", F.lit(False))
 
 
+def clustering(*sides: DataFrame) -> tuple[str, ...]:
+    """The column that all sides are clustered by, if they are: to be put before the keys."""
+    return (JOURNEY_KEY,) if all(JOURNEY_KEY in side.columns for side in sides) else ()
+
+
 def one_row_per_stop(stop_events: DataFrame, tie: tuple[str, ...]) -> DataFrame:
     """One row per journey and index: the first in the order of the ``tie`` columns.
 
@@ -49,10 +56,11 @@ def next_stops(stops: DataFrame, carried: tuple[str, ...] = CARRIED) -> DataFram
     number or index, which no journey can be made of. Of repeated rows of a
     journey and index (see ``repeated_stops``) only the last in the order of
     the carried columns is linked onwards, and none to another of them.
+    Stops clustered by journey are not shuffled.
     """
     ahead = F.struct(*[F.col(c).alias(c) for c in carried])
     usable = stops.where(numbered() & F.col("idx").isNotNull())
-    along = Window.partitionBy(*JOURNEY).orderBy("idx", *[c for c in carried if c != "idx"])
+    along = Window.partitionBy(*clustering(stops), *JOURNEY).orderBy("idx", *[c for c in carried if c != "idx"])
     pair = F.struct(F.lead(ahead).over(along).alias("ahead"), F.lead("idx").over(along).alias("idx"))
     return (
         usable.withColumn("then", pair)

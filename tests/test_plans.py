@@ -22,6 +22,7 @@ def plan(df) -> str:
 WRITING = {
     "streamed_archive_journeys", "rewritten_days", "redelivered_days", "archive_rejects",
     "day_files_of_two_generations", "materialised_result",
+    "next_stops_of_clustered_days", "reports_with_clustered_stops",
 }
 
 

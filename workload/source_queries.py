@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from punctua import schemas
-from punctua.operators import bundles, coverage
+from punctua.operators import bundles, coverage, delays, segments
 from punctua.plans.daily_ingest import delay_matrix, ingest_archive, read_rejected
 from punctua.session import shared_folder
-from punctua.sources import archive_xml, catalog, day_files, deliveries, master
+from punctua.sources import archive_xml, catalog, clustered, day_files, deliveries, master
 from punctua.streaming import ingest
 from workload import archive_text
 from workload import standins as st
@@ -345,3 +345,48 @@ def materialised_result(spark, sf):
 def delay_matrix_from_archive(spark, sf):
     archive = archive_xml.read_archive(spark, archive_text.archive_folder(spark, sf, "stops"))
     return delay_matrix(archive)
+
+
+def _clustered(spark, root, name, rows):
+    """A table of two deliveries, clustered by journey; a journey's rows come with different ones."""
+    dated = day_files.align(rows.withColumn("operating_day", F.trunc("operating_day", "quarter")), schemas.struct(name))
+    dated = dated.withColumn("part", F.pmod(F.xxhash64(*dated.columns), F.lit(2)))
+    lines = []
+    for part, day in enumerate(("2001-07-30", "2001-07-31")):
+        below = f"{name}/{deliveries.VERSION}={deliveries.new_version()}/{deliveries.DELIVERY}={day}"
+        day_files.write_version(dated.where(F.col("part") == part).drop("part"), f"{root}/{below}", ("operating_day",))
+        lines.append(deliveries.Publication(day, {name: below}))
+    deliveries.publish(spark, root, lines)
+    clustered.cluster_days(spark, root, name, 8)
+    return clustered.read_clustered(spark, root, name, 8)
+
+
+def _dated(rows):
+    """Journeys numbered by their day, as the tables below are dated by quarter."""
+    number = F.concat("journey_no", F.lit("-"), F.col("operating_day").cast("string"))
+    return rows.withColumn("journey_no", number)
+
+
+@query("W1 J9 S12", """
+  SELECT date_trunc('quarter', operating_day)::date::text AS operating_day, line_id,
+    journey_no || '-' || operating_day AS journey_no, idx, station_no,
+    lead(idx) OVER w AS idx_next, lead(station_no) OVER w AS station_no_next
+  FROM stop_events WINDOW w AS (PARTITION BY operating_day, line_id, journey_no ORDER BY idx) QUALIFY idx_next IS NOT NULL""")
+def next_stops_of_clustered_days(spark, sf):
+    stops = _clustered(spark, shared_folder(spark, "clustered"), "stop_events", _dated(st.stop_events(spark, sf)))
+    linked = segments.next_stops(stops, ("idx", "station_no"))
+    return linked.select("operating_day", "line_id", "journey_no", "idx", "station_no", "idx_next", "station_no_next")
+
+
+@query("J4 S12", """
+  SELECT date_trunc('quarter', m.operating_day)::date::text AS operating_day, m.line_short, m.line_id,
+    m.journey_no || '-' || m.operating_day AS journey_no, v.idx, m.station_name,
+    m.sched_dep, m.delay_arrival, m.delay_departure, m.reported_at, v.arr_delay, v.dep_delay
+  FROM delay_reports m LEFT JOIN stop_events v
+    ON m.operating_day = v.operating_day AND m.line_short = v.line_short
+    AND m.journey_no = v.journey_no AND m.station_name = v.station_name
+  WHERE stop_cancelled = false""")
+def reports_with_clustered_stops(spark, sf):
+    root = shared_folder(spark, "clustered")
+    reports = _clustered(spark, root, "delay_reports", _dated(st.delay_reports(spark, sf)))
+    return delays.reports_with_stops(reports, _clustered(spark, root, "stop_events", _dated(st.stop_events(spark, sf))))
