@@ -7,7 +7,9 @@ such probabilities later.
 
 The models are logistic regressions over the presence of words and of word beginnings, a
 beginning also by whether several words of the text have it. The vocabulary is chosen over
-all training rows by how much more often toxic texts have such a sign.
+all training rows by how much more often toxic texts have such a sign; what the models that
+give the out-of-fold probabilities see (vocabulary, categories, weights) is chosen without
+the fold.
 
 The earlier categories come from the training labels: in each language the strong signs are
 parted into two groups by the toxic texts they share, see ``sign_groups``. No word is given.
@@ -61,63 +63,104 @@ def _signs(text: str | None) -> set[str]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts, toxic or not, that have a sign."""
+    """Texts of each fold, toxic or not, that have a sign."""
     for batch in batches:
-        toxic, other = Counter(), Counter()
-        labels = batch.column("label").to_pylist()
-        for text, label in zip(batch.column("body").to_pylist(), labels, strict=True):
-            (toxic if label else other).update(_signs(text))
-        names = [*toxic, *(w for w in other if w not in toxic)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([toxic[w] for w in names], pa.int64()),
-             pa.array([other[w] for w in names], pa.int64())],
-            names=["word", "toxic", "other"],
-        )
+        counts: dict[tuple[int, int], Counter] = defaultdict(Counter)
+        rows = (batch.column(c).to_pylist() for c in ("body", "fold", "label"))
+        for text, fold, label in zip(*rows, strict=True):
+            counts[fold, int(bool(label))].update(_signs(text))
+        for (fold, label), found in counts.items():
+            times = np.fromiter(found.values(), np.int64, len(found))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.string()), pa.array(np.full(len(found), fold)),
+                 pa.array(times * label), pa.array(times * (1 - label))],
+                names=["word", "fold", "toxic", "other"],
+            )
+
 
+def _presence(vocabularies: dict[str, list[str]]):
+    """Adds a column for each vocabulary: the places of the signs that a text has.
 
-def _presence(vocabulary: list[str]):
-    place = {w: i for i, w in enumerate(vocabulary)}
+    Only words and beginnings that some vocabulary has are looked at.
+    """
+    places: dict[str, list[tuple[str, int]]] = defaultdict(list)
+    for name, words in vocabularies.items():
+        for i, w in enumerate(words):
+            places[w].append((name, i))
+    heads = {sign.partition("*")[0] for sign in places if "*" in sign}
+
+    def found_in(text: str | None) -> dict[str, list[int]]:
+        words = Counter(WORD.findall((text or "").lower()))
+        begun: Counter = Counter()
+        for word, times in words.items():
+            for n in BEGINNINGS:
+                if len(word) > n and (head := word[:n]) in heads:
+                    begun[head] += times
+        signs = [w for w in words if w in places]
+        signs += [f"{head}*{least}" for head, times in begun.items() for least in SEVERAL if least <= times]
+        out: dict[str, list[int]] = {name: [] for name in vocabularies}
+        for sign in signs:
+            for name, i in places.get(sign, ()):
+                out[name].append(i)
+        return {name: sorted(own) for name, own in out.items()}
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signs = map(_signs, batch.column("body").to_pylist())
-            found = [sorted(place[s] for s in own if s in place) for own in signs]
+            found = [found_in(text) for text in batch.column("body").to_pylist()]
             kept = [i for i, n in enumerate(batch.schema.names) if n != "body"]
+            added = [pa.array([own[name] for own in found], pa.list_(pa.int32())) for name in vocabularies]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in kept), pa.array(found, pa.list_(pa.int32()))],
-                names=[*(batch.schema.names[i] for i in kept), "found"],
+                [*(batch.column(i) for i in kept), *added],
+                names=[*(batch.schema.names[i] for i in kept), *vocabularies],
             )
 
     return mark
 
 
-def choose_vocabulary(training: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """The ``size`` signs whose share among toxic texts exceeds that among others most.
+def _suffix(fold: int | None) -> str:
+    """Of columns that are chosen without a fold; none for those that see all rows."""
+    return "" if fold is None else f"_without{fold}"
+
+
+def choose_vocabularies(training: DataFrame, size: int, folder: str) -> dict[str, list[str]]:
+    """``found``: the ``size`` signs whose share among toxic texts exceeds that among others most.
 
-    The order is by the signed root of the chi-square statistic, then by word.
+    ``found_without<fold>``: the same, as chosen without the rows of a fold.
+    ``training``: (body, label, fold). The order is by the signed root of the chi-square statistic,
+    then by word. Texts are counted by sign and fold once.
     """
-    n = training.agg(F.sum("label"), F.count("*")).first()
-    n_toxic, n_all = n[0] or 0, n[1]
-    if not n_toxic or n_toxic == n_all:
-        return []
-    schema = "word string, toxic bigint, other bigint"
-    counted = training.select("body", "label").mapInArrow(_counted, schema)
-    words = counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    both = F.col("toxic") + F.col("other")
-    expected = both * (n_toxic / n_all)
-    strength = (F.col("toxic") - expected) / F.sqrt(expected * (1 - n_toxic / n_all))
-    best = (
-        words.filter(F.col("toxic") >= LEAST_TEXTS)
-        .select("word", strength.alias("strength"))
-        .orderBy(F.desc("strength"), "word")
-        .limit(size)
-        .collect()
-    )
-    return [r["word"] for r in best]
+    schema = "word string, fold bigint, toxic bigint, other bigint"
+    counted = training.select("body", "label", "fold").mapInArrow(_counted, schema)
+    sums = []
+    for fold in (None, *range(FOLDS)):
+        for c in ("toxic", "other"):
+            sums.append(F.sum(F.when(F.lit(fold is None) | (F.col("fold") != (fold or 0)), F.col(c)).otherwise(0)).alias(c + _suffix(fold)))
+    words = written(counted.groupBy("word").agg(*sums), folder, "signs")
+    rows = {r.fold: (r.toxic or 0, r.n) for r in training.groupBy("fold").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).collect()}
+    chosen = {}
+    for fold in (None, *range(FOLDS)):
+        seen = [rows[f] for f in rows if f != fold]
+        n_toxic, n_all = sum(t for t, _ in seen), sum(n for _, n in seen)
+        name = f"found{_suffix(fold)}"
+        if not n_toxic or n_toxic == n_all:
+            chosen[name] = []
+            continue
+        toxic, other = (F.col(c + _suffix(fold)) for c in ("toxic", "other"))
+        expected = (toxic + other) * (n_toxic / n_all)
+        strength = (toxic - expected) / F.sqrt(expected * (1 - n_toxic / n_all))
+        best = (
+            words.filter(toxic >= LEAST_TEXTS)
+            .select("word", strength.alias("strength"))
+            .orderBy(F.desc("strength"), "word")
+            .limit(size)
+            .collect()
+        )
+        chosen[name] = [r["word"] for r in best]
+    return chosen
 
 
 def _strength(toxic: int, both: int, n_toxic: int, n_all: int) -> float:
-    """Signed root of the chi-square statistic, as in ``choose_vocabulary``."""
+    """Signed root of the chi-square statistic, as in ``choose_vocabularies``."""
     expected = both * n_toxic / n_all
     return (toxic - expected) / (expected * (1 - n_toxic / n_all)) ** 0.5
 
@@ -184,23 +227,30 @@ def sign_groups(training: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
     return groups
 
 
-def with_targets(training: DataFrame) -> DataFrame:
-    """Adds y_<category>: a toxic row with a sign of its language's group, and the label itself."""
-    found = [(language, *groups) for language, groups in sign_groups(training).items()]
+def with_targets(training: DataFrame, fold: int | None = None) -> DataFrame:
+    """Adds y_<category>: a toxic row with a sign of its language's group, and the label itself.
+
+    With a ``fold`` the groups are found in the other folds, and the columns are named so.
+    """
+    more = _suffix(fold)
+    seen = training if fold is None else training.filter(F.col("fold") != fold)
+    seen = seen.select("language", "label", F.col(f"found{more}").alias("found"))
+    found = [(language, *groups) for language, groups in sign_groups(seen).items()] if CATEGORIES else []
     schema = ", ".join(["language string", *(f"signs_{c} array<int>" for c in CATEGORIES)])
     groups = training.sparkSession.createDataFrame(found, schema)
     rows = training.join(F.broadcast(groups), "language", "left")
     targets = {
-        f"y_{c}": (F.coalesce(F.arrays_overlap("found", f"signs_{c}"), F.lit(False)) & (F.col("label") == 1))
-        .cast("double")
+        f"y_{c}{more}": (
+            F.coalesce(F.arrays_overlap(f"found{more}", f"signs_{c}"), F.lit(False)) & (F.col("label") == 1)
+        ).cast("double")
         for c in CATEGORIES
     }
-    targets["y_toxic"] = F.col("label").cast("double")
-    return rows.withColumns(targets).drop("language", *(f"signs_{c}" for c in CATEGORIES))
+    targets[f"y_{CHAIN[-1]}{more}"] = F.col("label").cast("double")
+    return rows.withColumns(targets).drop(*(f"signs_{c}" for c in CATEGORIES))
 
 
 def _vector(size: int, earlier: list[str]):
-    """Presence of each word as 0 or 1, then the logits of the earlier categories."""
+    """Presence of each word as 0 or 1, then the probabilities of the earlier categories."""
     there = F.array().cast("array<double>") if not size else F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),
         lambda i: F.array_contains("found", i).cast("double"),
@@ -221,30 +271,41 @@ def _fit(rows: DataFrame, category: str, size: int, earlier: list[str]) -> np.nd
     return np.append(model.coefficients.toArray(), model.intercept)
 
 
-def _probability(weights: np.ndarray, size: int, earlier: list[str]):
+def _probability(weights: np.ndarray, earlier: list[str], found: str = "found"):
+    size = len(weights) - len(earlier) - 1
     w = F.lit([float(x) for x in weights[:size]]).cast("array<double>")
     logit = F.aggregate(
-        "found", F.lit(float(weights[-1])), lambda a, i: a + F.element_at(w, i + 1)
+        found, F.lit(float(weights[-1])), lambda a, i: a + F.element_at(w, i + 1)
     )
     for c, x in zip(earlier, weights[size:-1], strict=True):
         logit = logit + F.col(f"p_{c}") * float(x)
     return 1 / (1 + F.exp(-logit))
 
 
-def fit_chain(training: DataFrame, size: int, folder: str) -> dict[str, np.ndarray]:
+def _without(training: DataFrame, fold: int) -> DataFrame:
+    """The rows of the other folds, with the signs and targets that were chosen without this one."""
+    others = training.filter(F.col("fold") != fold)
+    own = {c.removesuffix(_suffix(fold)): F.col(c) for c in training.columns if c.endswith(_suffix(fold))}
+    return others.withColumns(own) if own else others
+
+
+def fit_chain(training: DataFrame, sizes: dict[str, int], folder: str) -> dict[str, np.ndarray]:
     """One weight vector for each category of the chain.
 
-    ``training``: (found, fold, y_<category>...). Later models see out-of-fold probabilities.
+    ``training``: (found, fold, y_<category>...), and for each fold the same found and y columns as
+    chosen without it (``_without<fold>``); where there are none, those of all rows serve.
+    ``sizes``: of the vocabulary of each found column. Later models see out-of-fold probabilities.
     """
     models, earlier = {}, []
     for category in CHAIN:
-        models[category] = _fit(training, category, size, earlier)
+        models[category] = _fit(training, category, sizes["found"], earlier)
         if category == CHAIN[-1]:
             break
         guess = F.lit(None).cast("double")
         for fold in range(FOLDS):
-            apart = _fit(training.filter(F.col("fold") != fold), category, size, earlier)
-            guess = F.when(F.col("fold") == fold, _probability(apart, size, earlier)).otherwise(guess)
+            found = f"found{_suffix(fold)}" if f"found{_suffix(fold)}" in sizes else "found"
+            apart = _fit(_without(training, fold), category, sizes[found], earlier)
+            guess = F.when(F.col("fold") == fold, _probability(apart, earlier, found)).otherwise(guess)
         training = written(training.withColumn(f"p_{category}", guess), folder, f"chain-{category}")
         earlier.append(category)
     return models
@@ -267,11 +328,12 @@ def toxicity_scores(
     ``keep_out``: condition on the id column ``id`` for labels that must not be trained on.
     ``language``: column by which the earlier categories are found apart; null is a language
     of its own, and without the column all rows are of one.
-    Words are runs of letters, digits and ``_``, in lower case. ``score`` is the last
+    Words are runs of letters, digits and ``_``, in lower case, of the whole text however long. ``score`` is the last
     probability of the chain, ``predicted`` 1 if it is at least 0.5. Null and empty texts
     have no words and get the models' intercepts. Null labels and labels without document
     are left out; repeated rows count as often as they occur; rows with null id are scored
     and not trained on. Without toxic training rows all scores are near 0.
+    An empty table gives no rows; other columns, whatever their names, are not read.
     """
     prepare_workers(df.sparkSession)
     folder = new_folder(df, "toxicity")
@@ -285,21 +347,22 @@ def toxicity_scores(
     sample = known.orderBy(F.xxhash64("id"), "id", "label").limit(most_labels)
     spoken = F.coalesce(column(language).cast("string"), F.lit("")) if language else F.lit("")
     texts = df.select(column(id).alias("id"), body.alias("body"), spoken.alias("language"))
-    labelled = written(texts.join(F.broadcast(sample), "id"), folder, "labelled")
-    words = choose_vocabulary(labelled, vocabulary)
-    size = len(words)
+    fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)).alias("fold")
+    labelled = written(texts.join(F.broadcast(sample), "id").select("*", fold), folder, "labelled")
+    words = choose_vocabularies(labelled, vocabulary, folder)
+    sizes = {name: len(own) for name, own in words.items()}
+
+    found = ", ".join(f"{name} array<int>" for name in words)
+    marked = labelled.mapInArrow(_presence(words), extended(labelled.drop("body"), found))
+    training = with_targets(written(marked, folder, "marked"))
+    for apart in range(FOLDS if CATEGORIES else 0):
+        training = with_targets(training, apart)
+    models = fit_chain(written(training.drop("language"), folder, "training"), sizes, folder)
 
     marked_schema = extended(source.select("id"), "found array<int>")
-    labelled_schema = extended(labelled.drop("body"), "found array<int>")
-    marked = labelled.mapInArrow(_presence(words), labelled_schema)
-    fold = F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS))
-    marked = written(marked.withColumn("fold", fold), folder, "marked")
-    training = written(with_targets(marked), folder, "training")
-    models = fit_chain(training, size, folder)
-
-    scored, earlier = source.mapInArrow(_presence(words), marked_schema), []
+    scored, earlier = source.mapInArrow(_presence({"found": words["found"]}), marked_schema), []
     for category in CHAIN:
-        scored = scored.withColumn(f"p_{category}", _probability(models[category], size, earlier))
+        scored = scored.withColumn(f"p_{category}", _probability(models[category], earlier))
         earlier.append(category)
     score = F.col(f"p_{CHAIN[-1]}")
     return scored.select(

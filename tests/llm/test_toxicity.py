@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from conftest import SF_DIR
 
 from punctua.llm import queries, toxicity
@@ -51,7 +52,7 @@ def test_chain_uses_earlier_categories(spark, rows, tmp_path):
     training = rows(
         "found array<int>, fold bigint, y_insult double, y_contempt double, y_toxic double", data
     )
-    models = toxicity.fit_chain(training, 6, str(tmp_path))
+    models = toxicity.fit_chain(training, {"found": 6}, str(tmp_path))
     assert [len(models[c]) for c in toxicity.CHAIN] == [7, 8, 9]
     assert models["toxic"][6] > 1  # weight of the probability of "insult"
 
@@ -98,3 +99,43 @@ def test_nulls_repeats_and_empty_tables(rows):
     none = rows("doc_id int, toxic int", [])
     assert all(r.predicted == 0 for r in toxicity.toxicity_scores(df, none).collect())
     assert toxicity.toxicity_scores(rows("doc_id int, text string", []), labels).collect() == []
+
+
+def test_presence_equals_signs():
+    """Looking at a vocabulary's beginnings only finds what all signs of the text would."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["zorpig", "zorpiga", "zorp", "Zorpes", "blickt", "blickte", "xy"], 9)) for _ in range(40)]
+    texts += [None, "", "zorpig " * 50_000]
+    every = sorted(set().union(*map(toxicity._signs, texts)))
+    vocabularies = {"found": every[::2], "found_without0": every[1::3], "found_without1": []}
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "body": texts})
+    (out,) = toxicity._presence(vocabularies)(iter([batch]))
+    assert out.schema.names == ["id", *vocabularies]
+    for name, words in vocabularies.items():
+        wanted = [[i for i, w in enumerate(words) if w in toxicity._signs(t)] for t in texts]
+        assert out.column(name).to_pylist() == wanted
+
+
+def test_a_fold_chooses_without_its_rows(spark, rows, tmp_path):
+    """A sign that only one fold's toxic texts have is in no vocabulary and no group made without it."""
+    data = []
+    for i in range(240):
+        fold, toxic = i % toxicity.FOLDS, i % 4 == 0
+        data.append((" ".join([f"plain{i % 7}", *([f"only{fold}", "all"] if toxic else [])]), int(toxic), fold, "xx"))
+    training = rows("body string, label int, fold bigint, language string", data)
+    words = toxicity.choose_vocabularies(training, 100, str(tmp_path))
+    assert {"all", "only0", "only1", "only2"} <= set(words["found"])
+    schema = "label int, fold bigint, language string, " + ", ".join(f"{n} array<int>" for n in words)
+    marked = training.mapInArrow(toxicity._presence(words), schema)
+    for fold in range(toxicity.FOLDS):
+        own = words[f"found_without{fold}"]
+        assert f"only{fold}" not in own and {"all", f"only{(fold + 1) % 3}"} <= set(own)
+        seen = [(t, y) for t, y, f, _ in data if f != fold]
+        strength = {}
+        for w in set().union(*(toxicity._signs(t) for t, _ in seen)):
+            has = [y for t, y in seen if w in toxicity._signs(t)]
+            if sum(has) >= toxicity.LEAST_TEXTS:
+                strength[w] = toxicity._strength(sum(has), len(has), sum(y for _, y in seen), len(seen))
+        assert own == sorted(strength, key=lambda w: (-strength[w], w))[:100]
+        targets = toxicity.with_targets(marked, fold)
+        assert {f"y_{c}_without{fold}" for c in toxicity.CHAIN} <= set(targets.columns)
