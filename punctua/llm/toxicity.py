@@ -135,7 +135,8 @@ def choose_vocabularies(training: DataFrame, size: int, folder: str) -> dict[str
     for fold in (None, *range(FOLDS)):
         for c in ("toxic", "other"):
             sums.append(F.sum(F.when(F.lit(fold is None) | (F.col("fold") != (fold or 0)), F.col(c)).otherwise(0)).alias(c + _suffix(fold)))
-    words = written(counted.groupBy("word").agg(*sums), folder, "signs")
+    # too few toxic texts of all folds are too few without one
+    words = written(counted.groupBy("word").agg(*sums).filter(F.col("toxic") >= LEAST_TEXTS), folder, "signs")
     rows = {r.fold: (r.toxic or 0, r.n) for r in training.groupBy("fold").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).collect()}
     chosen = {}
     for fold in (None, *range(FOLDS)):
