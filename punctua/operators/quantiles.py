@@ -22,12 +22,13 @@ MARGIN = 2  # half the width of a bracket, in such errors; one more is the sketc
 def _join(left: DataFrame, groups: DataFrame, keys: tuple[str, ...], how: str = "inner") -> DataFrame:
     """Join one row a group to its rows; NULL keys are a group too.
 
-    The size of ``groups`` is known once it is aggregated: AQE then broadcasts it below the
-    session's limit and otherwise splits heavy keys of the larger side.
+    The rows stream past the groups of their task and are not sorted, so that memory follows the
+    groups; AQE splits heavy keys of the larger side. It would not broadcast few groups by itself, as
+    most of their partitions are empty, but sort the rows of a group in one task.
     """
     named = groups.select(*(F.col(k).alias(f"_key_{k}") for k in keys), *(c for c in groups.columns if c not in keys))
     same = reduce(Column.__and__, [left[k].eqNullSafe(named[f"_key_{k}"]) for k in keys])
-    return left.join(named, same, how).drop(*(f"_key_{k}" for k in keys))
+    return left.join(named.hint("shuffle_hash"), same, how).drop(*(f"_key_{k}" for k in keys))
 
 
 def _values(df: DataFrame, keys: tuple[str, ...], value: str) -> DataFrame:

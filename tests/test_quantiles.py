@@ -69,3 +69,14 @@ def test_boxplot_and_outliers_equal_the_counted_form(rows):
             assert a[0] == b[0] and list(b[1:]) == pytest.approx(list(a[1:]), rel=1e-12)
     none = rows("k string, x double", [])
     assert delays.boxplot(none, ("k",), "x", continuous=True).collect() == []
+
+
+def test_rows_of_a_group_are_not_sorted_to_join(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS g", "cast(id AS double) AS x")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = quantiles.boxplot(df, ("g",), "x", 1.5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("ShuffledHashJoin") >= 2 and "SortMergeJoin" not in text
