@@ -84,8 +84,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_lines(raw_lines(spark, sf_dir))
 
 
-def stop_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as stop events; repeated items of an order are repeated reports."""
+# Stored columns that wider ones are made of.
+STORED = (
+    "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+)
+
+
+def _stop_columns() -> list[Column]:
+    """Columns of stop reports, of those of line items."""
     trip = F.floor(F.col("l_orderkey") / STOP_DAYS).cast("bigint")
     day = F.date_sub(F.lit(AS_OF).cast("date"), (F.col("l_orderkey") % STOP_DAYS).cast("int"))
     stop, flag, status = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
@@ -96,7 +102,7 @@ def stop_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when((place % 7 == 0) & (flag == "R"), _text("Endstelle", place)).otherwise(
         _text("Ort", place % 10, " Halt ", place)
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return [
         day.alias("operating_day"),
         flag.alias("operator"),
         _text("net#dev#c", trip % 13).alias("device_id"),
@@ -123,15 +129,28 @@ def stop_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         (flag == "R").alias("reported_cancelled"),
         F.col("l_partkey").alias("report_no"),
         F.col("l_extendedprice").alias("report_size"),
-    )
+    ]
+
+
+def stop_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as stop events; repeated items of an order are repeated reports."""
+    return table(spark, sf_dir, "lineitem").select(*_stop_columns())
 
 
 def stop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stop events with one row per journey and stop index."""
-    from punctua.operators.segments import one_row_per_stop
+    """Stop events with one row per journey and stop index.
+
+    Items are sorted and shuffled as they are stored, beside journey and order; the wider columns are
+    made of those that stay.
+    """
+    from punctua.operators.segments import JOURNEY, one_row_per_stop
 
     tie = ("report_no", "report_size", "station_no", "operator", "additional")
-    return one_row_per_stop(stop_reports(spark, sf_dir), tie).drop("report_no", "report_size")
+    items, columns = table(spark, sf_dir, "lineitem"), _stop_columns()
+    named = dict(zip(items.select(*columns).columns, columns, strict=True))
+    keyed = items.select(*STORED, *(named[c] for c in (*JOURNEY, "idx", *tie)))
+    made = [F.col(c) if c in keyed.columns else column for c, column in named.items()]
+    return one_row_per_stop(keyed, tie).select(*made).drop("report_no", "report_size")
 
 
 def delay_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
