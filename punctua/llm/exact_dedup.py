@@ -29,7 +29,8 @@ def exact_duplicates(
     with the largest id stays (a null id is the smallest); of rows equal in id and text one
     stays, so every group keeps exactly one row. ``keep_id`` is the id of the row that
     stays. Texts of any length are hashed whole; an empty table stays empty. The carried columns
-    are written once. Columns with the new names are replaced.
+    of rows that may have a twin are written once; all others stay where they are and are read
+    again with the result. Columns with the new names are replaced.
     """
     folder = new_folder(df, "exact-dedup")
     body = F.coalesce(column(text), F.lit(""))
@@ -46,25 +47,21 @@ def exact_duplicates(
     groups = by_prefix.filter("n > 1").join(shared, "length", "left_semi")
     groups = written(groups.select("length", "prefix"), folder, "groups")
     code = F.xxhash64("length", "prefix")
-    hashed = with_maybe(rows, code, groups, code, BITS, MOST_BITS).select(
-        "row", "id", F.when(F.col("maybe"), F.unhex(F.sha2("body", 256))).alias("full")
-    ).withColumn("tag", F.monotonically_increasing_id())
+    judged = with_maybe(rows, code, groups, code, BITS, MOST_BITS)
+    hashed = judged.filter("maybe").select("row", "id", F.unhex(F.sha2("body", 256)).alias("full"))
+    hashed = hashed.withColumn("tag", F.monotonically_increasing_id())
     # Written so that the tags, which tell equal rows apart, stay what they are.
     stored = written(hashed, folder, "hashed")
     first = F.struct(F.col("id"), (-F.col("tag")).alias("minus_tag"))
-    classes = (
-        stored.filter(F.col("full").isNotNull())
-        .groupBy("full")
-        .agg(F.max(first).alias("stays"), F.count("*").alias("size"))
-    )
+    classes = stored.groupBy("full").agg(F.max(first).alias("stays"), F.count("*").alias("size"))
     # Written, so that both sides of the join are plain tables: Spark can then split the
     # rows of a very large group, which it does not where one side is still an aggregate.
     classes = written(classes, folder, "classes")
-    grouped = stored.filter(F.col("full").isNotNull()).join(classes, "full").select(
+    grouped = stored.join(classes, "full").select(
         "row", F.col("stays.id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("tag") == -F.col("stays.minus_tag")).alias("kept"),
     )
-    alone = stored.filter(F.col("full").isNull()).select(
+    alone = judged.filter("NOT maybe").select(
         "row", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"),
     )

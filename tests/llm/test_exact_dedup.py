@@ -6,6 +6,7 @@ from conftest import SF_DIR
 from punctua.llm import exact_dedup, queries
 from punctua.llm.exact_dedup import exact_duplicates
 from punctua.llm.rows import written
+from punctua.session import CLEANUP
 
 
 def test_query_against_sql(spark, oracle):
@@ -67,3 +68,31 @@ def test_full_hashes_stay_in_proportion_to_the_groups(rows, monkeypatch):
     got = result(rows("doc_id int, text string", data))
     assert sum(not g[3] for g in got) == 300
     assert 600 <= hashed[0] < 600 + 0.2 * 900
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    out = written(spark.range(1000).repartition(4).groupBy("id").count(), str(tmp_path), "table")
+    assert not shuffle_files(spark) - before
+    assert out.count() == 1000
+    assert spark.conf.get(CLEANUP) == "false"
+
+
+def test_rows_without_a_twin_are_not_written(rows, monkeypatch):
+    sizes = {}
+
+    def counted(df, folder, name):
+        out = written(df, folder, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(exact_dedup, "written", counted)
+    data = [(i, f"text {max(i, 5)}") for i in range(500)]
+    got = result(rows("doc_id int, text string", data))
+    assert [g[3] for g in sorted(got)] == [False] * 5 + [True] * 495
+    assert 6 <= sizes["hashed"] < 30
