@@ -30,18 +30,20 @@ def journey_counts(archive: DataFrame) -> DataFrame:
 
 
 
-def delay_matrix(archive: DataFrame, names_of_day: bool = False) -> DataFrame:
+def delay_matrix(archive: DataFrame, names_of_day: bool = False, stations: DataFrame | None = None) -> DataFrame:
     """Delay reports with station names, from one archive.
 
     A station that has several names in the archive repeats its reports, unless ``names_of_day``
-    takes the name it had on the day of the report.
+    takes the name it had on the day of the report. The stations are counted and then joined:
+    ``stations`` gives the archive's where they were stored, so that it is not parsed for each.
     """
     reports = archive_xml.delay_reports_from_archive(archive, number_as_text=True)
     if names_of_day:
         calls = archive_xml.stop_events_from_archive(archive).where("station_name <> '-'")  # '-': not named
         intervals = station_intervals(calls, ("station_name",))
         return reports_with_names_of_day(reports, intervals).select(*struct("delay_reports").fieldNames())
-    named = reports_with_station_names(reports, archive_xml.stations_from_archive(archive))
+    listed = archive_xml.stations_from_archive(archive) if stations is None else stations
+    named = reports_with_station_names(reports, listed)
     return named.select(*struct("delay_reports").fieldNames())
 
 

@@ -259,3 +259,54 @@ def test_daily_jobs_from_the_command_line(spark, tmp_path):
     targets.write_text("buen;project_url;folder_id\n'hb';'https://example.org/';12\n", encoding="utf-8")
     lists = main(["publish", "--lines", str(lines), "--targets", str(targets), "--target", str(tmp_path / "published")])
     assert [spark.read.parquet(lists[n]).count() for n in ("published", "unpublished")] == [1, 1]
+
+
+ODD = [
+    FULL,
+    FULL.replace("<delay>2</delay>", "soon"),
+    FULL.replace("<delay>2</delay>", "<delay>2</delay_>"),
+    FULL.replace("<delay>2</delay>", "<delay><!-- none --><![CDATA[3]]></delay>"),
+    FULL.replace("<departureDelay><delay>2</delay></departureDelay>", "<departureDelay/><departureDelay>1</departureDelay>"),
+    FULL.replace("<index>1</index>", "<index><more>1</more></index>two"),
+    FULL.replace("<delayDataSets><timestamp>", "<delayDataSets>x<timestamp>"),
+    FULL.replace("<stationName>A Markt</stationName><dhid>", "<stationName>A & B</stationName><dhid>"),
+    FULL.replace("<destination>Köln</destination>", "<destination><a>Köln</destination></a>"),
+    FULL.replace("2024-01-10T00:00:00+01:00</operatingDay>", "soon</operatingDay>"),
+    FULL.replace("journey>", "journeys>"),
+]
+
+
+@pytest.mark.parametrize("table", sorted(ax.PARTS))
+def test_parts_of_an_element_give_the_same_table(spark, tmp_path, table):
+    (tmp_path / "day.xml").write_text("<all>" + "".join(ODD) + "</all>")
+    make = getattr(ax, f"{table}_from_archive")
+    whole, parts = (make(ax.read_archive(spark, str(tmp_path), t)) for t in (None, table))
+    assert parts.schema == whole.schema
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+    assert whole.count() >= 2
+    schema = parts._jdf.queryExecution().optimizedPlan().toString()
+    assert "destination" not in schema
+
+
+def test_stored_stations_spare_the_matrix_a_parse(spark, tmp_path):
+    (tmp_path / "day.xml").write_text("<all>" + "".join(ODD) + "</all>")
+    archive = ax.read_archive(spark, str(tmp_path))
+    ax.stations_from_archive(archive).write.parquet(str(tmp_path / "stations"))
+    stored = spark.read.parquet(str(tmp_path / "stations"))
+    named, again = delay_matrix(archive, stations=stored), delay_matrix(archive)
+    assert sorted(map(str, named.collect())) == sorted(map(str, again.collect()))
+    scans = [d._jdf.queryExecution().optimizedPlan().toString().count("from_xml") for d in (named, again)]
+    assert scans[0] < scans[1]
+
+
+def test_reading_keeps_methods_short_enough_to_be_compiled(spark, tmp_path):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    (tmp_path / "day.xml").write_text(FULL)
+    try:
+        spark.conf.set(key, "65535")
+        ax.read_archive(spark, str(tmp_path))
+        # the tests' session is built with the defaults, which count as not given
+        assert spark.conf.get(key) == "8000"
+    finally:
+        spark.conf.set(key, before)
