@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from punctua.operators.segments import JOURNEY_KEY, numbered
 from punctua.schemas import TABLES
+from punctua.session import shuffles_removed
 from punctua.sources import deliveries
 from punctua.sources.deliveries import DELIVERY, VERSION, Publication
 
@@ -83,9 +84,12 @@ def cluster_days(spark: SparkSession, root: str, table: str, buckets: int) -> li
     name, version = _declared(spark, side, table, buckets), deliveries.new_version()
     rows = deliveries.read(spark, f"{TABLES[table]}, {DELIVERY} date", root, table, sorted(new.values()))
     bucket = F.pmod(F.hash(JOURNEY_KEY), F.lit(buckets))
-    keyed = with_journey_key(rows).withColumn(VERSION, F.lit(version)).withColumn("_bucket", bucket)
+    keyed = with_journey_key(rows).withColumn("_bucket", bucket)
+    # the version's name, long as it is, is added behind the shuffle
     columns = spark.table(name).columns
-    keyed.hint("rebalance", "operating_day", "_bucket").select(*columns).write.mode("append").insertInto(name)
+    near = keyed.hint("rebalance", "operating_day", "_bucket").withColumn(VERSION, F.lit(version))
+    with shuffles_removed(spark):
+        near.select(*columns).write.mode("append").insertInto(name)
     lines = [
         Publication(day, {stored: f"{stored}/{VERSION}={version}/{path.rpartition('/')[2]}"}, source="clustered", arrival=path)
         for day, path in new.items()

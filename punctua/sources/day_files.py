@@ -20,6 +20,7 @@ from pyspark.sql.types import (
 from punctua.functions.days import as_day
 from punctua.functions.text import line_id_padded
 from punctua.schemas import OLD_NAMES, TABLES, struct
+from punctua.session import shuffles_removed
 from punctua.sources import deliveries
 from punctua.sources.deliveries import DELIVERY, VERSION, Publication
 
@@ -151,13 +152,14 @@ def write_version(
     """
     keys = [c for c in sort_by if c in df.columns]
     counted = Observation()
-    (
-        df.hint("rebalance", *partitions)
-        .observe(counted, F.count(F.lit(1)).alias("rows"))
-        .sortWithinPartitions(*partitions, *keys)
-        .write.partitionBy(*partitions)
-        .parquet(path)
-    )
+    with shuffles_removed(df.sparkSession):
+        (
+            df.hint("rebalance", *partitions)
+            .observe(counted, F.count(F.lit(1)).alias("rows"))
+            .sortWithinPartitions(*partitions, *keys)
+            .write.partitionBy(*partitions)
+            .parquet(path)
+        )
     return counted.get["rows"]
 
 

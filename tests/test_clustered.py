@@ -136,3 +136,19 @@ def test_in_step_with_the_deliveries(spark, rows, tmp_path):
     deliveries.expire(spark, f"{root}/by_journey")
     assert read() == ["3", "9"]
     spark.conf.unset(clustered.CO_PARTITION)
+
+
+def shuffled_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() for f in found if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+
+def test_stored_and_clustered_days_leave_no_shuffled_rows(spark, tmp_path):
+    rows = day_files.align(st.delay_reports(spark, SF_DIR), day_files.struct("delay_reports"))
+    rows = rows.withColumn("operating_day", F.trunc("operating_day", "year"))
+    before = shuffled_bytes(spark)
+    day_files.write_days(rows, str(tmp_path / "delay_reports"), "2001-07-30")
+    clustered.cluster_days(spark, str(tmp_path), "delay_reports", BUCKETS)
+    left = {name: n for name, n in shuffled_bytes(spark).items() if name not in before}
+    assert sum(left.values()) < 20_000  # the lists of publications, sorted
